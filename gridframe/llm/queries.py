@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from gridframe.llm import chat, exact, html_text, langid, mixing, mtree, packing
+from gridframe.llm import chat, exact, html_text, langid, lines, mixing, mtree, ngram_join, packing
 
 QUERIES = {
+    "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op3_main_text": html_text.op3_main_text,
     "op4_perspective_chat": chat.op4_perspective_chat,
@@ -12,6 +13,7 @@ QUERIES = {
     "op7_top_inner_products": mtree.op7_top_inner_products,
     "op8_source_mix": mixing.op8_source_mix,
     "op9_exact_copies": exact.op9_exact_copies,
+    "op10_line_dedup": lines.op10_line_dedup,
 }
 SQL = {
     "op4_perspective_chat": chat.OP4_SQL,
