@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridframe.llm import chat, exact, html_text, langid, lines, mixing, mtree, ngram_join, packing
+from gridframe.llm import chat, exact, html_text, langid, lines, mixing, mtree, ngram_join, packing, suffix_dedup
 
 QUERIES = {
     "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_main_text": html_text.op3_main_text,
     "op4_perspective_chat": chat.op4_perspective_chat,
     "op5_language": langid.op5_language,
+    "op6_repeated_spans": suffix_dedup.op6_repeated_spans,
     "op7_top_inner_products": mtree.op7_top_inner_products,
     "op8_source_mix": mixing.op8_source_mix,
     "op9_exact_copies": exact.op9_exact_copies,
