@@ -1,0 +1,4 @@
+"""Registered queries of the library."""
+
+from gridframe.plans import checks_queries  # noqa: F401
+from gridframe.plans.registry import QUERIES, SQL  # noqa: F401
