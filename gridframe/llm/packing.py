@@ -11,6 +11,7 @@ Null text counts as empty (one end id); empty tables give empty results; other c
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,8 @@ CAPACITY = 2048
 LEAF_ITEMS = 8192
 FAN_IN = 8
 CARRY = 2048
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_500_000
+SLICE_ROWS = 4000
 _PUNCTUATION = ".,!?;:"
 
 
@@ -38,22 +40,27 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, np.ndarray] = {}
-
-    def of(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word; closing ASCII punctuation after a letter is a token run of its own."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        split = []
+        self.known: dict[str, bytes] = {}
+
+    def of(self, words: list[str]) -> list[bytes]:
+        """The ids of each word as bytes of unsigned 32-bit integers."""
+        known = self.known
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        cores: dict[str, str] = {}  # closing ASCII punctuation after a letter is a token run of its own
         for w in words:
-            core = w.rstrip(_PUNCTUATION)
-            split.append((core, w[len(core) :]) if core and core[-1].isalpha() and len(core) < len(w) else (w, ""))
-        new = list(dict.fromkeys(x for pair in split for x in pair if x and x not in self.known))
+            if w not in known:
+                core = w.rstrip(_PUNCTUATION)
+                cores[w] = core if core and core[-1].isalpha() else w
+        new = list({x for w, core in cores.items() for x in (core, w[len(core) :]) if x not in known})
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, np.uint32)
-        return [np.concatenate((self.known[a], self.known[b])) if b else self.known[a] for a, b in split]
+                known[w] = array("I", e.ids).tobytes()
+        for w, core in cores.items():
+            if len(core) < len(w):
+                known[w] = known[core] + known[w[len(core) :]]
+        return [known[w] for w in words]
 
 
 _WORDS: dict[str, WordIds] = {}
@@ -72,9 +79,9 @@ def _document_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray,
     bounds = lists.offsets.to_numpy()
     coded = lists.flatten().dictionary_encode()
     where = coded.indices.to_numpy()
-    per_word = _words(path).of(coded.dictionary.to_pylist()) or [np.zeros(0, np.uint32)]
-    sizes = np.array([len(x) for x in per_word], np.int64)
-    flat, first = np.concatenate(per_word), np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    per_word = _words(path).of(coded.dictionary.to_pylist())
+    sizes = np.fromiter(map(len, per_word), np.int64, len(per_word)) // 4
+    flat, first = np.frombuffer(b"".join(per_word), np.uint32), np.cumsum(sizes) - sizes
     counts = sizes[where]
     ends = np.cumsum(counts)
     word_ends = np.concatenate(([0], ends))
@@ -91,8 +98,8 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACI
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
                 ids, cuts = _document_ids(pc.cast(batch.column("text"), pa.string()), tokenizer_path, end_id)
                 rows: list[tuple] = []
                 for doc, a, b in zip(batch.column("doc_id").to_pylist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
@@ -132,10 +139,11 @@ def _best_fit(sizes: np.ndarray, capacity: int) -> tuple[list[int], list[int]]:
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, leaf_items: int = LEAF_ITEMS, carry: int = CARRY, n_items: int | None = None) -> DataFrame:
-    """doc_id, piece, length -> the same with sequence_id and offset; sequences hold at most `capacity` and have no gaps."""
+    """pieces (doc_id, piece, length and others) with sequence_id and offset; sequences hold at most `capacity` and have no gaps."""
     n = pieces.count() if n_items is None else n_items
     nodes = max(1, -(-n // leaf_items))
-    keep = "doc_id long, piece int, length long, sequence_id long, offset long, fill long, done boolean"
+    own = list(pieces.columns)
+    keep = ", ".join(f"{n} {t}" for n, t in pieces.dtypes) + ", sequence_id long, offset long, fill long, done boolean"
 
     def round_of(number: int):
         def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
@@ -152,16 +160,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, leaf_items: int = LEAF_ITE
             done = fills >= capacity - capacity // 64
             rest = np.flatnonzero(~done)
             done[rest[np.argsort(fills[rest], kind="stable")[carry:]]] = True
-            own = bins[item]
+            to = bins[item]
             part["offset"] = part["offset"].to_numpy() + offsets[item]
-            part["sequence_id"] = (number << 57) | (node << 20) | own
-            part["fill"], part["done"] = fills[own], done[own]
-            return part[["doc_id", "piece", "length", "sequence_id", "offset", "fill", "done"]]
+            part["sequence_id"] = (number << 57) | (node << 20) | to
+            part["fill"], part["done"] = fills[to], done[to]
+            return part[[*own, "sequence_id", "offset", "fill", "done"]]
 
         return run
 
     zero = F.lit(0).cast("long")
-    items = pieces.select("doc_id", "piece", "length", zero.alias("sequence_id"), zero.alias("offset"), F.col("length").alias("fill"))
+    items = pieces.select(*own, zero.alias("sequence_id"), zero.alias("offset"), F.col("length").alias("fill"))
     at = items.withColumn("node", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(nodes)))
     rounds, number = [], 0
     while True:
@@ -176,23 +184,19 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, leaf_items: int = LEAF_ITE
     out = rounds[0]
     for r in rounds[1:]:
         out = out.unionByName(r)
-    return out.select("doc_id", "piece", "sequence_id", "offset")
+    return out.select(*own, "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents with their digests and places in the packed sequences."""
     pieces = stored(tokenize_pieces(docs, tokenizer_path, capacity, output="crc32"), "pieces")
-    return pieces.join(pack(pieces, capacity), ["doc_id", "piece"]).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return pack(pieces, capacity)
 
 
-def sequences(pieces: DataFrame, places: DataFrame) -> DataFrame:
-    """sequence_id and its token ids, from pieces with ids and their places; a sequence has a bounded number of ids."""
-    part = F.struct("offset", "ids")
-    return (
-        pieces.join(places, ["doc_id", "piece"])
-        .groupBy("sequence_id")
-        .agg(F.flatten(F.transform(F.array_sort(F.collect_list(part)), lambda x: x["ids"])).alias("ids"))
-    )
+def sequences(packed: DataFrame) -> DataFrame:
+    """sequence_id and its token ids, from packed pieces that carry ids; a sequence has a bounded number of ids."""
+    part = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    return packed.groupBy("sequence_id").agg(F.flatten(F.transform(part, lambda x: x["ids"])).alias("ids"))
 
 
 def op2_best_fit_packing(spark, sf_dir: str) -> DataFrame:
