@@ -100,6 +100,7 @@ def episodes(df: DataFrame, entity: str, ts: str, order: list[str], gap_seconds:
     """Episode number of each row: a new one starts after a gap."""
     w = Window.partitionBy(entity).orderBy(ts, *order)
     # Microseconds as an integer: a sum of rounded seconds would move rows across the gap.
-    wait = F.unix_micros(ts) - F.lag(F.unix_micros(ts)).over(w)
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    wait = micros - F.lag(micros).over(w)
     start = F.when(wait.isNull() | (wait > gap_seconds * 1_000_000), 1).otherwise(0)
     return df.withColumn("start", start).withColumn("episode", F.sum("start").over(w.rowsBetween(Window.unboundedPreceding, 0)))

@@ -248,7 +248,7 @@ def feature_catalogue(spark, d):
     return counts.join(F.broadcast(roles), "feature").select("feature", "role", F.col("missing").cast("long").alias("missing"), (F.col("missing") > 0).alias("nullable"))
 
 
-@query("feature_lineage", "SELECT feature, source, round(missing / total, 6) AS null_rate, CASE WHEN missing = 0 THEN 'complete' ELSE 'partial' END AS verdict FROM (SELECT 'embedding' AS feature, 'vectors' AS source, count(*) FILTER (embedding IS NULL) AS missing, count(*) AS total FROM embeddings UNION ALL SELECT 'label', 'annotation', count(*) FILTER (label IS NULL), count(*) FROM embeddings)")
+@query("feature_lineage", "SELECT feature, source, round(missing / total + 1e-9, 6) AS null_rate, CASE WHEN missing = 0 THEN 'complete' ELSE 'partial' END AS verdict FROM (SELECT 'embedding' AS feature, 'vectors' AS source, count(*) FILTER (embedding IS NULL) AS missing, count(*) AS total FROM embeddings UNION ALL SELECT 'label', 'annotation', count(*) FILTER (label IS NULL), count(*) FROM embeddings)")
 def feature_lineage(spark, d):
     lineage = spark.createDataFrame([("embedding", "vectors"), ("label", "annotation")], "feature string, source string")
     one = table(spark, d, "embeddings").agg(F.count("*").alias("total"), *[F.count_if(F.col(c).isNull()).alias(c) for c in ("embedding", "label")])

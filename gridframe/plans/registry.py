@@ -24,5 +24,5 @@ def query(name: str, sql: str | None = None):
 
 
 def r6(c: str | Column) -> Column:
-    """Six decimals: sums of doubles depend on the order of rows beyond that."""
-    return F.round(c, 6)
+    """Six decimals, as sums of doubles depend on the order of rows; the small addend keeps exact halves from falling either way."""
+    return F.round((F.col(c) if isinstance(c, str) else c) + 1e-9, 6)
