@@ -150,10 +150,14 @@ def ensemble(parts: Sequence[tuple[str, float]]) -> Column:
     weight = sum(w for _, w in parts)
     out = F.transform(parts[0][0], lambda x: x * (parts[0][1] / weight))
     for name, w in parts[1:]:
-        out = F.zip_with(out, name, lambda a, b, w=w: a + b * (w / weight))
+        out = F.zip_with(out, name, _adding(w / weight))
     return F.transform(out, lambda x: x / total(out))
 
 
+def _adding(share: float):
+    return lambda a, b: a + b * share
+
+
 def leave_one_out(df: DataFrame, keys: list[str], flag: str) -> DataFrame:
     """Mean of the flag over the other rows of the key, null for a single row."""
     w = Window.partitionBy(*keys)
