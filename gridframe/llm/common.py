@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -41,6 +42,12 @@ def drop_stored(df: DataFrame | None) -> None:
         at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def join_small(left: DataFrame, small: DataFrame, on: list[str], how: str, rows: int | None = None) -> DataFrame:
     """Join that broadcasts `small` only when its counted rows are few; otherwise it shuffles and AQE splits skewed keys."""
     n = small.count() if rows is None else rows

@@ -9,28 +9,44 @@ from pyspark.sql import functions as F
 
 from gridframe.llm.common import drop_stored, join_small, stored
 
-#: Keys with at most so many rows are compared pair by pair; larger ones by rounds of stars first.
+#: Keys with at most so many rows are compared pair by pair; larger ones by a star first, then by rare tokens.
 LIGHT = 32
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """id, comp (smallest id reachable) of every id in edges (a, b): distributed union-find by least labels and pointer jumping."""
-    edges = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = stored(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "labels")
-    n = labels.count()
-    changed = n
-    while changed:
-        seen = join_small(edges, labels.select(F.col("id").alias("b"), "comp"), ["b"], "inner", n)
-        low = labels.select("id", "comp").unionByName(seen.select(F.col("a").alias("id"), "comp")).groupBy("id").agg(F.min("comp").alias("comp"))
-        low = stored(low, "low")
-        jump = join_small(low, low.select(F.col("id").alias("comp"), F.col("comp").alias("up")), ["comp"], "left", n)
-        new = stored(jump.select("id", F.least("comp", F.coalesce("up", "comp")).alias("comp")), "labels")
-        changed = new.exceptAll(labels).limit(1).count()
+def _least_labels(edges: DataFrame) -> DataFrame:
+    """id, comp of a graph: least label of the neighbours and pointer jumping until nothing changes."""
+    edges = stored(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    labels = stored(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("comp")).withColumn("moved", F.lit(True)), "labels")
+    n = moved = labels.count()
+    while moved:
+        own = labels.select("id", "comp")
+        seen = join_small(edges, own.select(F.col("id").alias("b"), "comp"), ["b"], "inner", n).groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("near"))
+        up = own.select(F.col("id").alias("near"), F.col("comp").alias("up"))
+        # A label is the id of a row itself, so its own label is a step further towards the least one.
+        step = join_small(join_small(own, seen, ["id"], "inner", n), up, ["near"], "left", n)
+        new = stored(step.select("id", F.least("comp", F.coalesce("up", "near")).alias("new"), "comp").select("id", F.col("new").alias("comp"), (F.col("new") < F.col("comp")).alias("moved")), "labels")
+        moved = new.where("moved").limit(1).count()
         drop_stored(labels)
-        drop_stored(low)
         labels = new
     drop_stored(edges)
-    return labels
+    return labels.select("id", "comp")
+
+
+def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame | None:
+    """id, comp (smallest id reachable) of every id in edges (a, b), on top of components known before; None without any."""
+    if labels is not None:
+        edges = join_small(edges, labels.select(F.col("id").alias("a"), F.col("comp").alias("ca")), ["a"], "left")
+        edges = join_small(edges, labels.select(F.col("id").alias("b"), F.col("comp").alias("cb")), ["b"], "left")
+        edges = edges.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    edges = stored(edges.where("a <> b").distinct(), "contracted")
+    if not edges.limit(1).count():
+        return labels
+    roots = _least_labels(edges)
+    if labels is None:
+        return roots
+    moved = join_small(labels, roots.select(F.col("id").alias("comp"), F.col("comp").alias("root")), ["comp"], "left").select("id", F.coalesce("root", "comp").alias("comp"))
+    fresh = roots.join(labels.select("id"), "id", "left_anti")
+    return stored(moved.unionByName(fresh), "labels")
 
 
 def labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -40,8 +56,15 @@ def labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     return join_small(postings, labels, ["id"], "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
 
 
+def crossing(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """key, id, comp, n: postings of keys that still lie in several components, with the key's rows."""
+    rows = labelled(postings, labels)
+    spread = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo < hi")
+    return rows.join(spread.select("key", "n"), "key")
+
+
 def star_pairs(postings: DataFrame) -> DataFrame:
-    """(a, b): each row of a key with the key's smallest id, where their components differ."""
+    """(a, b): each row of a key with the first row of the key's least component, if it isn't in that component."""
     first = postings.groupBy("key").agg(F.min(F.struct("comp", "id")).alias("lead"), F.max("comp").alias("high")).where("lead.comp < high")
     rows = postings.join(first.select("key", "lead"), "key").where("comp <> lead.comp")
     return rows.select(F.least("lead.id", "id").alias("a"), F.greatest("lead.id", "id").alias("b")).distinct()
@@ -55,43 +78,48 @@ def cross_pairs(postings: DataFrame) -> DataFrame:
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def link(cheap: DataFrame, light: DataFrame, heavy: DataFrame | None, verify: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+def rare_first(sets: DataFrame) -> DataFrame:
+    """key, id: the prefix of n - ceil(0.75 n) + 1 tokens of each set (id, tokens), rarest first; similar sets share one."""
+    tokens = sets.select("id", F.explode("tokens").alias("key"))
+    counts = tokens.groupBy("key").agg(F.count("*").alias("df"))
+    # Tokens of one set alone link nothing, but they fill its prefix first: only their number matters.
+    ranked = tokens.join(counts.where("df > 1"), "key").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("often"))
+    sizes = sets.select("id", F.size("tokens").alias("n"))
+    prefix = F.col("n") - F.ceil(F.col("n") * 3 / 4) + 1
+    left = F.greatest(F.lit(0), prefix - (F.col("n") - F.size("often"))).cast("int")
+    return ranked.join(sizes, "id").select("id", F.explode(F.slice("often", F.lit(1), left)).alias("t")).select(F.col("t.key").alias("key"), "id")
+
+
+def link(cheap: DataFrame, light: DataFrame, heavy: DataFrame | None, verify: Callable[[DataFrame], DataFrame], sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
     """id, comp of ids that are linked to another; None if there is no link.
 
     `cheap` keys are few; a star around each key's smallest id finds most links in a number of pairs that is linear in the
     rows, so large groups of near copies become one component at once. `light` and `heavy` keys together are the complete
-    candidate keys: every pair of different components that shares one is verified. Light keys are compared pair by pair,
-    heavy ones by stars until no star finds a link, and what is then left pair by pair.
+    candidate keys: every pair of different components that shares one is compared. Light keys go pair by pair. Heavy ones
+    get a star; the sets of the rows whose keys then still cross components (`sets_of` their ids) are joined anew by their
+    rarest tokens, which is exact and leaves what they share with thousands of others to the end.
+    `verify` returns a stored table of the pairs that are similar.
     """
-    edges = [stored(verify(star_pairs(cheap.withColumn("comp", F.col("id")))), "star")]
-    labels = components(edges[0]) if edges[0].limit(1).count() else None
-
-    def crossing(postings: DataFrame) -> DataFrame:
-        rows = labelled(postings, labels)
-        spread = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-        return rows.join(spread.select("key", "n"), "key")
-
-    rows = stored(crossing(light), "crossing")
-    few, many = rows.where(F.col("n") <= LIGHT).drop("n"), rows.where(F.col("n") > LIGHT).select("key", "id")
-    edges.append(stored(verify(cross_pairs(few)), "light"))
-    heavy = many if heavy is None else many.unionByName(heavy.select("key", "id"))
-    heavy = stored(heavy, "heavy")
-    while True:
-        labels = components(_all(edges))
-        left = stored(crossing(heavy).drop("n"), "left")
-        if not left.limit(1).count():
-            break
-        found = stored(verify(star_pairs(left)), "found")
-        edges.append(found)
-        if not found.limit(1).count():
-            edges.append(stored(verify(cross_pairs(left)), "rest"))
-            labels = components(_all(edges))
-            break
+    labels = components(verify(star_pairs(cheap.withColumn("comp", F.col("id")))))
+    rows = stored(crossing(light, labels), "crossing")
+    few, many = rows.where(F.col("n") <= LIGHT), rows.where(F.col("n") > LIGHT).select("key", "id")
+    labels = components(verify(cross_pairs(few)), labels)
+    return _link_heavy(many if heavy is None else many.unionByName(heavy.select("key", "id")), labels, verify, sets_of)
+
+
+def _link_heavy(heavy: DataFrame, labels: DataFrame | None, verify: Callable, sets_of: Callable) -> DataFrame | None:
+    left = stored(crossing(heavy, labels), "heavy")
+    if not left.limit(1).count():
+        return labels
+    labels = components(verify(star_pairs(left)), labels)
+    left = stored(crossing(left.select("key", "id"), labels), "heavy")
+    ids = stored(left.select("id").distinct(), "ids")
+    if not ids.limit(1).count():
+        return labels
+    rest = stored(crossing(stored(rare_first(sets_of(ids)), "rare"), labels), "rare")
+    labels = components(verify(cross_pairs(rest.where(F.col("n") <= LIGHT))), labels)
+    last = stored(crossing(rest.where(F.col("n") > LIGHT).select("key", "id"), labels), "last")
+    if last.limit(1).count():
+        labels = components(verify(star_pairs(last)), labels)
+        labels = components(verify(cross_pairs(stored(crossing(last.select("key", "id"), labels), "last"))), labels)
     return labels
-
-
-def _all(edges: list[DataFrame]) -> DataFrame:
-    out = edges[0]
-    for e in edges[1:]:
-        out = out.unionByName(e)
-    return out

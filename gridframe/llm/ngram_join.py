@@ -6,8 +6,8 @@ tokens in the prefixes that are one longer. So rare tokens are indexed singly; o
 COMBINED tokens index all 2-combinations of their extended prefix, larger sets single tokens, and sets in between (sizes
 that can link with either) both. Candidates that lie in different components are then verified on the whole sets.
 
-F holds the prefix tokens met at least max(32, postings / 2^20) times, which bounds it to about 2^20 tokens (8 MB) for any
-input; it only shapes the order, so the result is exact whatever it holds. Equal sets are one class. Null or wordless text
+F holds the tokens met at least max(32, postings / 2^20) times, which bounds it to about 2^20 tokens (8 MB) for any input;
+it only shapes the order, so the result is exact whatever it holds. Equal sets are one class. Null or wordless text
 has no shingles and no link; fewer than five words make one shingle; repeated rows are copies; other columns are ignored.
 """
 
@@ -20,15 +20,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridframe.llm.common import join_groups, join_small, stored
+from gridframe.llm.common import drop_stored, join_groups, join_small, release, stored
 from gridframe.llm.linking import link
 
 WORDS = 5
 COMBINED = 48
 STAR_TOKENS = 8
+LOCALLY_OFTEN = 4
+OFTEN = 32
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -87,21 +89,60 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def document_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n, cid (hash of the set) and the prefix tokens in hash order (once a class and task, else empty)."""
+    """doc_id, n and cid (hash of the set) of every document."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for ids, sets in _batches(parts):
-            cids = [_class_id(s) for s in sets]
-            prefixes = []
-            for c, s in zip(cids, sets, strict=True):
-                prefixes.append(s[:0] if c in seen else s[: prefix_length(len(s))] if len(s) else s)
-                seen.add(c)
+            columns = [ids, [len(s) for s in sets], [_class_id(s) for s in sets]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "n", "cid"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, cid long")
+
+
+def token_counts(docs: DataFrame) -> DataFrame:
+    """token, cid, k: a task's prefix tokens in hash order, each once with its count, and its frequent tokens of whole sets.
+
+    A task counts a class once. A token that it met in several prefixes stands with one class; the others get a token of
+    their own with count 2, so that every class that shares a prefix token is known and no token has more rows than tasks.
+    """
+
+    def counted(sets: list[np.ndarray], cids: list[int]) -> pa.RecordBatch:
+        prefixes = [s[: prefix_length(len(s))] for s in sets]
+        tokens = np.concatenate(prefixes)
+        owner = np.repeat(np.array(cids, np.int64), [len(x) for x in prefixes])
+        values, first, inverse, count = np.unique(tokens, return_index=True, return_inverse=True, return_counts=True)
+        rest = np.ones(len(tokens), bool)
+        rest[first] = False
+        shared = np.unique(owner[rest & (count[inverse] > 1)])
+        every, times = np.unique(np.concatenate(sets), return_counts=True)
+        often = times >= LOCALLY_OFTEN
+        token = np.concatenate((values, _mix(shared.view(np.uint64)).view(np.int64), every[often]))
+        cid = np.concatenate((owner[first], shared, np.zeros(often.sum(), np.int64)))
+        k = np.concatenate((count, np.full(len(shared), 2), times[often]))
+        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(cid, mask=np.arange(len(cid)) >= len(values) + len(shared)), pa.array(k.astype(np.int64))], names=["token", "cid", "k"])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        held: list[np.ndarray] = []
+        cids: list[int] = []
+        size = 0
+        for _, sets in _batches(parts):
+            for s in sets:
+                c = _class_id(s)
+                if len(s) and c not in seen:
+                    seen.add(c)
+                    held.append(s)
+                    cids.append(c)
+                    size += len(s)
+            if size > 4_000_000:
+                yield counted(held, cids)
+                held, cids, size = [], [], 0
             if len(seen) > 1_000_000:
                 seen.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(cids, pa.int64()), _lists(prefixes)], names=["doc_id", "n", "cid", "tokens"])
+        if held:
+            yield counted(held, cids)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, cid long, tokens array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "token long, cid long, k long")
 
 
 def index_keys(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,27 +167,27 @@ def index_keys(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np
 
 
 def postings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """key, id (class), heavy: the index entries of every class, once a class and task."""
+    """key, id (class), kind: the index entries of every class, once a class and task; kind 0 star, 1 light, 2 heavy."""
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, sets in _batches(parts, 1000):
-            keys, ids, flags = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+            keys, ids, kinds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
             for s in sets:
                 c = _class_id(s)
                 if not len(s) or c in seen:
                     continue
                 seen.add(c)
-                for k, heavy in zip(index_keys(s, known.value), (False, True), strict=True):
+                for kind, k in enumerate((s[:STAR_TOKENS], *index_keys(s, known.value))):
                     keys.append(k)
                     ids.append(np.full(len(k), c))
-                    flags.append(np.full(len(k), heavy))
+                    kinds.append(np.full(len(k), kind, np.int32))
             if len(seen) > 1_000_000:
                 seen.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, ids, flags)], names=["key", "id", "heavy"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, ids, kinds)], names=["key", "id", "kind"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "key long, id long, heavy boolean")
+    return docs.select("doc_id", "text").mapInArrow(run, "key long, id long, kind int")
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
@@ -162,14 +203,21 @@ def class_sets(docs: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every document."""
+    spark = docs.sparkSession
     rows = stored(document_classes(docs), "classes")
     total = rows.count()
-    real = rows.where("n > 0")
-    classes = stored(real.groupBy("cid").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id"), F.count("*").alias("size")), "class")
-    tokens = real.select("cid", F.explode("tokens").alias("token"))
-    entries = real.agg(F.sum(F.size("tokens"))).first()[0] or 0
-    often = tokens.groupBy("token").count().where(F.col("count") >= max(32, entries // 2**20)).select("token")
+    classes = stored(rows.where("n > 0").groupBy("cid").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id"), F.count("*").alias("size")), "class")
+
+    # Classes that share no token of their prefixes in hash order have no link and are done.
+    sums = token_counts(docs).withColumn("df", F.sum("k").over(Window.partitionBy("token")))
+    shared = stored(sums.where("df > 1").select("token", "cid", "df"), "shared")
+    release(spark)
+    touched = stored(shared.where("cid is not null").select("cid").distinct().join(classes.select("cid", "doc_id"), "cid"), "touched")
+    n_touched = touched.count()
+    entries = shared.agg(F.sum("df")).first()[0] or 0
+    often = shared.where(F.col("df") >= max(OFTEN, entries // 2**20)).select("token").distinct()
     frequent = np.sort(np.array([r[0] for r in often.collect()], np.int64))  # at most 2^20 tokens
+    drop_stored(shared)
 
     def verify(pairs: DataFrame) -> DataFrame:
         """The pairs whose sets have 100 |A and B| >= 75 |A or B|."""
@@ -181,11 +229,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         sets = stored(class_sets(docs, wanted, wanted.count()), "sets")
         got = k.join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tb")), "b").join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("ta")), "a")
         got = got.withColumn("both", F.size(F.array_intersect("ta", "tb")))
-        return got.where("100 * both >= 75 * (na + nb - both)").select("a", "b")
-
-    cheap = real.select(F.col("cid").alias("id"), F.explode(F.slice("tokens", 1, STAR_TOKENS)).alias("key")).distinct()
-    keys = postings(docs, frequent)
-    labels = link(cheap.select("key", "id"), keys.where("not heavy").drop("heavy"), keys.where("heavy").drop("heavy"), verify)
+        out = stored(got.where("100 * both >= 75 * (na + nb - both)").select("a", "b"), "links")
+        for t in (k, wanted, sets):
+            drop_stored(t)
+        del got, sets, k
+        release(spark)
+        return out
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """id and tokens of the given classes."""
+        wanted = stored(ids.withColumnRenamed("id", "cid").join(classes.select("cid", "doc_id"), "cid"), "wanted")
+        return stored(class_sets(docs, wanted, wanted.count()).withColumnRenamed("cid", "id"), "sets")
+
+    met = join_small(docs.select("doc_id", "text"), touched.select("doc_id"), ["doc_id"], "left_semi", n_touched)
+    keys = postings(met, frequent)
+    ends = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
+    keys = stored(keys.join(ends, "key"), "keys")
+    release(spark)
+    labels = link(*(keys.where(F.col("kind") == kind).select("key", "id") for kind in range(3)), verify, sets_of) if n_touched else None
     comp = classes.select("cid", "doc_id", "size")
     comp = comp.withColumn("comp", F.col("cid")) if labels is None else join_small(comp, labels.withColumnRenamed("id", "cid"), ["cid"], "left").withColumn("comp", F.coalesce("comp", "cid"))
     comp = stored(comp, "comp")
