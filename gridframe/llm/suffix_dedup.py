@@ -23,11 +23,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridframe.llm.common import BROADCAST_ROWS, join_small, stored
+from gridframe.llm.common import join_small, stored
 
 LENGTH = 100
 GRAM = 24
-LOCALLY_OFTEN = 32
+LOCALLY_OFTEN = 128
 OFTEN = 100_000
 _M = np.uint64(0xD6E8FEB86659FD93)
 _BASE = 0x9E3779B97F4A7C15
@@ -156,7 +156,7 @@ def suffixes(docs: DataFrame, hot: np.ndarray, length: int = LENGTH, gram: int =
             if size > 200_000:
                 yield flush()
                 held, size = [], 0
-                if len(met) > 1_500_000:
+                if len(met) > 500_000:
                     met.clear()
         if size:
             yield flush()
@@ -216,7 +216,9 @@ def merge_scan(rows: DataFrame, hot: np.ndarray, keep_new: bool) -> DataFrame:
 def windows(docs: DataFrame, compare: DataFrame, hot: np.ndarray, length: int = LENGTH) -> DataFrame:
     """Runs to compare with their bytes; those of common k-grams window by window."""
     n = compare.count()
-    wanted = compare.groupBy("doc_id").agg(F.collect_list(F.struct("h", "first", "count", "fresh")).alias("runs"))
+    # Two integers a run keep the lists small: its k-gram, and place, number of windows and freshness together.
+    packed = F.shiftleft(F.col("first").cast("long"), 20) + F.col("count") * 2 + F.col("fresh").cast("int")
+    wanted = compare.groupBy("doc_id").agg(F.flatten(F.collect_list(F.array("h", packed))).alias("runs"))
     texts = join_small(docs.select("doc_id", "text"), wanted, ["doc_id"], "inner", n)
     common = docs.sparkSession.sparkContext.broadcast(hot)
     schema = "part long, h long, doc_id long, first int, fresh boolean, bytes binary"
@@ -228,15 +230,15 @@ def windows(docs: DataFrame, compare: DataFrame, hot: np.ndarray, length: int =
                 out: list[tuple] = []
                 for (i, data), runs in zip(_texts(iter([batch])), batch.column("runs").to_pylist(), strict=True):
                     text = data.tobytes()
-                    frequent = _within(common.value, np.array([r["h"] for r in runs], np.int64))
-                    for r, one_by_one in zip(runs, frequent.tolist(), strict=True):
-                        a, n = r["first"], r["count"]
+                    grams = np.array(runs[::2], np.int64)
+                    for h, code, one_by_one in zip(runs[::2], runs[1::2], _within(common.value, grams).tolist(), strict=True):
+                        a, n, fresh = code >> 20, (code & 0xFFFFF) >> 1, bool(code & 1)
                         if one_by_one:
                             for s in range(a, a + n):
                                 key = int.from_bytes(hashlib.blake2b(text[s : s + length], digest_size=8).digest(), "little", signed=True)
-                                out.append((key, r["h"], i, s, r["fresh"], text[s : s + length]))
+                                out.append((key, h, i, s, fresh, text[s : s + length]))
                         else:
-                            out.append((r["h"], r["h"], i, a, r["fresh"], text[a : a + n - 1 + length]))
+                            out.append((h, h, i, a, fresh, text[a : a + n - 1 + length]))
                 cols = list(zip(*out, strict=True)) or [[]] * 6
                 types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["part", "h", "doc_id", "first", "fresh", "bytes"])
