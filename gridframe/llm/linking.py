@@ -71,11 +71,11 @@ def star_pairs(postings: DataFrame) -> DataFrame:
 
 
 def cross_pairs(postings: DataFrame) -> DataFrame:
-    """(a, b): rows of one key whose components differ."""
+    """(a, b, shared): rows of one key whose components differ, with the number of keys they share."""
     left = postings.select("key", F.col("id").alias("a"), F.col("comp").alias("ca"))
     right = postings.select("key", F.col("id").alias("b"), F.col("comp").alias("cb"))
     both = left.join(right, "key").where("ca < cb")
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return both.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("shared"))
 
 
 def rare_first(sets: DataFrame) -> DataFrame:
@@ -98,7 +98,7 @@ def link(cheap: DataFrame, light: DataFrame, heavy: DataFrame | None, verify: Ca
     candidate keys: every pair of different components that shares one is compared. Light keys go pair by pair. Heavy ones
     get a star; the sets of the rows whose keys then still cross components (`sets_of` their ids) are joined anew by their
     rarest tokens, which is exact and leaves what they share with thousands of others to the end.
-    `verify` returns a stored table of the pairs that are similar.
+    `verify` returns a stored table of the pairs that are similar; pairs from light keys come with the number they share.
     """
     labels = components(verify(star_pairs(cheap.withColumn("comp", F.col("id")))))
     rows = stored(crossing(light, labels), "crossing")
@@ -117,9 +117,9 @@ def _link_heavy(heavy: DataFrame, labels: DataFrame | None, verify: Callable, se
     if not ids.limit(1).count():
         return labels
     rest = stored(crossing(stored(rare_first(sets_of(ids)), "rare"), labels), "rare")
-    labels = components(verify(cross_pairs(rest.where(F.col("n") <= LIGHT))), labels)
+    labels = components(verify(cross_pairs(rest.where(F.col("n") <= LIGHT)).drop("shared")), labels)
     last = stored(crossing(rest.where(F.col("n") > LIGHT).select("key", "id"), labels), "last")
     if last.limit(1).count():
         labels = components(verify(star_pairs(last)), labels)
-        labels = components(verify(cross_pairs(stored(crossing(last.select("key", "id"), labels), "last"))), labels)
+        labels = components(verify(cross_pairs(stored(crossing(last.select("key", "id"), labels), "last")).drop("shared")), labels)
     return labels

@@ -23,12 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridframe.llm.common import drop_stored, join_groups, join_small, release, stored
-from gridframe.llm.linking import link
+from gridframe.llm.common import drop_stored, hold, join_groups, join_small, release, stored
+from gridframe.llm.linking import LIGHT, link
 
 WORDS = 5
 COMBINED = 48
-STAR_TOKENS = 8
+STAR_TOKENS = 4
 LOCALLY_OFTEN = 4
 OFTEN = 32
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -77,6 +77,7 @@ def _class_id(tokens: np.ndarray) -> int:
 
 
 def _batches(parts: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[tuple[list, list[np.ndarray]]]:
+    hold("ngram_join", lambda: None)
     for whole in parts:
         for at in range(0, whole.num_rows, rows):
             b = whole.slice(at, rows)
@@ -88,19 +89,9 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64)))
 
 
-def document_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n and cid (hash of the set) of every document."""
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _batches(parts):
-            columns = [ids, [len(s) for s in sets], [_class_id(s) for s in sets]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "n", "cid"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, cid long")
-
-
-def token_counts(docs: DataFrame) -> DataFrame:
-    """token, cid, k: a task's prefix tokens in hash order, each once with its count, and its frequent tokens of whole sets.
+def scan_documents(docs: DataFrame) -> DataFrame:
+    """kind, token, cid, k. Kind 0 is a document: its doc_id, its class (hash of the set) and the size of the set. Kind 1 is
+    a task's prefix tokens in hash order, each once with its count, and its frequent tokens of whole sets.
 
     A task counts a class once. A token that it met in several prefixes stands with one class; the others get a token of
     their own with count 2, so that every class that shares a prefix token is known and no token has more rows than tasks.
@@ -119,16 +110,20 @@ def token_counts(docs: DataFrame) -> DataFrame:
         token = np.concatenate((values, _mix(shared.view(np.uint64)).view(np.int64), every[often]))
         cid = np.concatenate((owner[first], shared, np.zeros(often.sum(), np.int64)))
         k = np.concatenate((count, np.full(len(shared), 2), times[often]))
-        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(cid, mask=np.arange(len(cid)) >= len(values) + len(shared)), pa.array(k.astype(np.int64))], names=["token", "cid", "k"])
+        return table(1, token, pa.array(cid, mask=np.arange(len(cid)) >= len(values) + len(shared)), k.astype(np.int64))
+
+    def table(kind: int, *columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), kind, np.int32)), *[pa.array(c, pa.int64()) for c in columns]], names=["kind", "token", "cid", "k"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held: list[np.ndarray] = []
         cids: list[int] = []
         size = 0
-        for _, sets in _batches(parts):
-            for s in sets:
-                c = _class_id(s)
+        for ids, sets in _batches(parts):
+            own = [_class_id(s) for s in sets]
+            yield table(0, ids, own, [len(s) for s in sets])
+            for c, s in zip(own, sets, strict=True):
                 if len(s) and c not in seen:
                     seen.add(c)
                     held.append(s)
@@ -142,7 +137,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
         if held:
             yield counted(held, cids)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "token long, cid long, k long")
+    return docs.select("doc_id", "text").mapInArrow(run, "kind int, token long, cid long, k long")
 
 
 def index_keys(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,16 +196,45 @@ def class_sets(docs: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
     return texts.mapInArrow(run, "cid long, tokens array<long>")
 
 
+def _enough(pairs: DataFrame, unknown: DataFrame) -> DataFrame:
+    """Pairs (na, nb, shared) that can still reach the overlap of 3 (na + nb) / 7.
+
+    What two sets have in common lies in both prefixes, or behind the prefix that ends first. `shared` counts the light keys
+    of both; of the others (`unknown`: id, u) they can have at most the smaller number. Small sets with 2-combinations stay.
+    """
+    for side in ("a", "b"):
+        pairs = pairs.join(unknown.select(F.col("id").alias(side), F.col("u").alias(f"u{side}")), side, "left")
+    rest = [F.col(n) - (F.col(n) - F.ceil(F.col(n) * 3 / 4) + 1) for n in ("na", "nb")]
+    most = F.col("shared") + F.least(F.coalesce("ua", F.lit(0)), F.coalesce("ub", F.lit(0))) + F.greatest(*rest)
+    return pairs.where((F.least("na", "nb") <= COMBINED * 4 // 3) | (7 * most >= 3 * (F.col("na") + F.col("nb"))))
+
+
+def _shared_tokens(scan: DataFrame) -> DataFrame:
+    """token, cid, df of prefix tokens that more than one class has."""
+    sums = scan.where("kind = 1").select("token", "cid", "k").withColumn("df", F.sum("k").over(Window.partitionBy("token")))
+    return stored(sums.where("df > 1").select("token", "cid", "df"), "shared")
+
+
+def _shared_keys(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """Index entries (key, id, kind) of keys that more than one class has."""
+    keys = stored(postings(docs, frequent), "postings")
+    ends = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
+    out = stored(keys.join(ends, "key"), "keys")
+    drop_stored(keys)
+    return out
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every document."""
     spark = docs.sparkSession
-    rows = stored(document_classes(docs), "classes")
+    scan = stored(scan_documents(docs), "scan")
+    rows = stored(scan.where("kind = 0").select(F.col("token").alias("doc_id"), F.col("k").alias("n"), "cid"), "documents")
     total = rows.count()
     classes = stored(rows.where("n > 0").groupBy("cid").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id"), F.count("*").alias("size")), "class")
 
     # Classes that share no token of their prefixes in hash order have no link and are done.
-    sums = token_counts(docs).withColumn("df", F.sum("k").over(Window.partitionBy("token")))
-    shared = stored(sums.where("df > 1").select("token", "cid", "df"), "shared")
+    shared = _shared_tokens(scan)
+    drop_stored(scan)
     release(spark)
     touched = stored(shared.where("cid is not null").select("cid").distinct().join(classes.select("cid", "doc_id"), "cid"), "touched")
     n_touched = touched.count()
@@ -223,7 +247,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         """The pairs whose sets have 100 |A and B| >= 75 |A or B|."""
         n = classes.select("cid", "n")
         k = pairs.join(n.select(F.col("cid").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("cid").alias("b"), F.col("n").alias("nb")), "b")
-        k = stored(k.where("4 * least(na, nb) >= 3 * greatest(na, nb)"), "pairs")
+        k = k.where("4 * least(na, nb) >= 3 * greatest(na, nb)")
+        if "shared" in k.columns:
+            k = _enough(k, unknown).select("a", "b", "na", "nb")
+        k = stored(k, "pairs")
         ids = k.select(F.col("a").alias("cid")).unionByName(k.select(F.col("b").alias("cid"))).distinct()
         wanted = stored(ids.join(classes.select("cid", "doc_id"), "cid"), "wanted")
         sets = stored(class_sets(docs, wanted, wanted.count()), "sets")
@@ -242,10 +269,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return stored(class_sets(docs, wanted, wanted.count()).withColumnRenamed("cid", "id"), "sets")
 
     met = join_small(docs.select("doc_id", "text"), touched.select("doc_id"), ["doc_id"], "left_semi", n_touched)
-    keys = postings(met, frequent)
-    ends = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
-    keys = stored(keys.join(ends, "key"), "keys")
+    keys = _shared_keys(met, frequent)
     release(spark)
+    spread = keys.where("kind > 0").withColumn("rows", F.count("*").over(Window.partitionBy("key", "kind")))
+    unknown = stored(spread.where(f"kind = 2 or rows > {LIGHT}").groupBy("id").agg(F.count("*").alias("u")), "unknown")
     labels = link(*(keys.where(F.col("kind") == kind).select("key", "id") for kind in range(3)), verify, sets_of) if n_touched else None
     comp = classes.select("cid", "doc_id", "size")
     comp = comp.withColumn("comp", F.col("cid")) if labels is None else join_small(comp, labels.withColumnRenamed("id", "cid"), ["cid"], "left").withColumn("comp", F.coalesce("comp", "cid"))
