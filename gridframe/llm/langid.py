@@ -16,13 +16,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridframe.llm.common import hold
+
 DOCS_PER_LANG = 400
 CHARS_PER_LANG = 60_000
 MAX_LANGS = 200
+_PARTS = 1 << 30
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -89,7 +91,7 @@ class Model:
         words = words_of(text) if text else None
         if not words or not self.langs:
             return "und", 0.0
-        if len(self.known) > 500_000:
+        if len(self.known) > 250_000:
             self.known.clear()
         known, rows = self.known, []
         for w in words:
@@ -115,6 +117,7 @@ _MODELS: dict[int, Model] = {}
 
 def _model(samples: dict[str, str]) -> Model:
     """The automata are built once a worker process; another sample replaces them."""
+    hold("langid", _MODELS.clear)
     key = hash(tuple(sorted(samples.items())))
     if key not in _MODELS:
         _MODELS.clear()
@@ -124,17 +127,22 @@ def _model(samples: dict[str, str]) -> Model:
 
 def sample_texts(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, chars_per_lang: int = CHARS_PER_LANG) -> dict[str, str]:
     """A bounded sample of labelled text (text, lang, key) a language, chosen by a hash of the key."""
+    labelled = labelled.where("lang is not null")
+    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    share = F.lit(0)  # so few rows a language reach the ranking, however many there are
+    for row in counts:
+        share = F.when(F.col("lang") == row["lang"], min(_PARTS, -(-_PARTS * 4 * docs_per_lang // row["count"]))).otherwise(share)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
     few = (
-        labelled.where("lang is not null and text is not null and length(text) > 0")
+        labelled.where(F.pmod(F.xxhash64("key"), F.lit(_PARTS)) < share)
+        .where("text is not null and length(text) > 0")
         .select("lang", "key", F.substring("text", 1, 10 * chars_per_lang // docs_per_lang).alias("text"))
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= docs_per_lang)
     )
     texts: dict[str, list[str]] = {}
     for row in few.orderBy("lang", "rank").collect():  # at most docs_per_lang short rows a language
-        if len(texts) < MAX_LANGS or row["lang"] in texts:
-            texts.setdefault(row["lang"], []).append(row["text"])
+        texts.setdefault(row["lang"], []).append(row["text"])
     out = {}
     for lang, parts in texts.items():
         words = [" ".join(_LETTERS.findall(p.lower())) for p in parts]
