@@ -195,6 +195,11 @@ def test_html_article():
     assert kept == ["Head & tail", "First bold text here.", "Second!"]
 
 
+def test_html_names():
+    page = '<body class="no-sidebar"><div class="wrap with-ads"><main><div class="post-header"><h1>T</h1></div><article class="post tag-ad"><p>A</p></article><article class="comment">c</article><div id="site-footer">f</div></main></div></body>'
+    assert [t for _, kind, t in html_text.page_blocks(page) if kind == 2] == ["T", "A"]
+
+
 def test_html_style_tree_drops_repeated_branches(spark):
     def page(i):
         return f"<body><div class=top>Always the same</div><div class=body><p>Text number {i} of its own</p><p>More {i * 7}</p></div><div class=end>Same end</div></body>"
