@@ -12,7 +12,6 @@ different texts with one SHA-256 would stop the job with an error instead of dro
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd

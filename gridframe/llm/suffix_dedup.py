@@ -143,7 +143,9 @@ def suffixes(docs: DataFrame, hot: np.ndarray, length: int = LENGTH, gram: int =
 
         def flush():
             h, whole, doc, first, count, known = (np.concatenate(c) for c in zip(*held, strict=True))
-            part = np.where(known | _within(common.value, h), whole, h)
+            # What a task knows to be a repeat needs no partner: it is dealt evenly.
+            alone = _mix(doc.view(np.uint64) * _M + first.view(np.uint64)).view(np.int64)
+            part = np.where(known, alone, np.where(_within(common.value, h), whole, h))
             return _table({"part": (part, pa.int64()), "h": (h, pa.int64()), "whole": (whole, pa.int64()), "doc_id": (doc, pa.int64()), "first": (first, pa.int32()), "count": (count, pa.int32()), "fresh": (np.ones(len(h), bool), pa.bool_()), "known": (known, pa.bool_())})
 
         for i, data in _texts(parts):
