@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,16 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, drop: Callable[[], None]) -> None:
+    """Called in a Python worker by an operator that keeps something between tasks: what other operators kept goes."""
+    for other in [n for n in _HELD if n != name]:
+        _HELD.pop(other)()
+    _HELD[name] = drop
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -21,14 +21,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridframe.llm.common import stored
+from gridframe.llm.common import hold, stored
 
 CAPACITY = 2048
 LEAF_ITEMS = 8192
 FAN_IN = 8
 CARRY = 2048
-CACHE_WORDS = 1_500_000
-SLICE_ROWS = 4000
+CACHE_WORDS = 900_000
+SLICE_ROWS = 2000
 _PUNCTUATION = ".,!?;:"
 
 
@@ -68,6 +68,7 @@ _WORDS: dict[str, WordIds] = {}
 
 def _words(path: str) -> WordIds:
     """One vocabulary and its known words a worker process."""
+    hold("packing", _WORDS.clear)
     if path not in _WORDS:
         _WORDS[path] = WordIds(path)
     return _WORDS[path]
