@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from gridframe.llm.common import drop_stored, join_small, stored
 
 #: Keys with at most so many rows are compared pair by pair; larger ones by a star first, then by rare tokens.
-LIGHT = 32
+LIGHT = 16
+#: Stars that are drawn in turn around large keys before what is left is joined anew.
+STARS = 3
 
 
 def _least_labels(edges: DataFrame) -> DataFrame:
@@ -63,9 +65,10 @@ def crossing(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(spread.select("key", "n"), "key")
 
 
-def star_pairs(postings: DataFrame) -> DataFrame:
-    """(a, b): each row of a key with the first row of the key's least component, if it isn't in that component."""
-    first = postings.groupBy("key").agg(F.min(F.struct("comp", "id")).alias("lead"), F.max("comp").alias("high")).where("lead.comp < high")
+def star_pairs(postings: DataFrame, seed: int = 0) -> DataFrame:
+    """(a, b): each row of a key with one row of it, drawn by a hash, if they are in different components."""
+    draw = F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "comp", "id")
+    first = postings.groupBy("key").agg(F.min(draw).alias("lead"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
     rows = postings.join(first.select("key", "lead"), "key").where("comp <> lead.comp")
     return rows.select(F.least("lead.id", "id").alias("a"), F.greatest("lead.id", "id").alias("b")).distinct()
 
@@ -79,15 +82,18 @@ def cross_pairs(postings: DataFrame) -> DataFrame:
 
 
 def rare_first(sets: DataFrame) -> DataFrame:
-    """key, id: the prefix of n - ceil(0.75 n) + 1 tokens of each set (id, tokens), rarest first; similar sets share one."""
+    """key, id, n, reach: the prefix of n - ceil(0.75 n) + 1 tokens of each set (id, tokens), rarest first; similar sets share one.
+
+    n is the size of the set, reach the number of its prefix tokens that other sets have; tokens of one set alone are left out.
+    """
     tokens = sets.select("id", F.explode("tokens").alias("key"))
     counts = tokens.groupBy("key").agg(F.count("*").alias("df"))
-    # Tokens of one set alone link nothing, but they fill its prefix first: only their number matters.
     ranked = tokens.join(counts.where("df > 1"), "key").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("often"))
     sizes = sets.select("id", F.size("tokens").alias("n"))
     prefix = F.col("n") - F.ceil(F.col("n") * 3 / 4) + 1
-    left = F.greatest(F.lit(0), prefix - (F.col("n") - F.size("often"))).cast("int")
-    return ranked.join(sizes, "id").select("id", F.explode(F.slice("often", F.lit(1), left)).alias("t")).select(F.col("t.key").alias("key"), "id")
+    reach = F.greatest(F.lit(0), prefix - (F.col("n") - F.size("often"))).cast("int")
+    rows = ranked.join(sizes, "id").withColumn("reach", reach)
+    return rows.select("id", "n", "reach", F.explode(F.slice("often", F.lit(1), F.col("reach"))).alias("t")).select(F.col("t.key").alias("key"), "id", "n", "reach")
 
 
 def link(cheap: DataFrame, light: DataFrame, heavy: DataFrame | None, verify: Callable[[DataFrame], DataFrame], sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
@@ -96,8 +102,8 @@ def link(cheap: DataFrame, light: DataFrame, heavy: DataFrame | None, verify: Ca
     `cheap` keys are few; a star around each key's smallest id finds most links in a number of pairs that is linear in the
     rows, so large groups of near copies become one component at once. `light` and `heavy` keys together are the complete
     candidate keys: every pair of different components that shares one is compared. Light keys go pair by pair. Heavy ones
-    get a star; the sets of the rows whose keys then still cross components (`sets_of` their ids) are joined anew by their
-    rarest tokens, which is exact and leaves what they share with thousands of others to the end.
+    get a few stars; the sets of the rows whose keys then still cross components (`sets_of` their ids) are joined anew by
+    their rarest tokens, which is exact and leaves what they share with thousands of others to the end.
     `verify` returns a stored table of the pairs that are similar; pairs from light keys come with the number they share.
     """
     labels = components(verify(star_pairs(cheap.withColumn("comp", F.col("id")))))
@@ -109,17 +115,29 @@ def link(cheap: DataFrame, light: DataFrame, heavy: DataFrame | None, verify: Ca
 
 def _link_heavy(heavy: DataFrame, labels: DataFrame | None, verify: Callable, sets_of: Callable) -> DataFrame | None:
     left = stored(crossing(heavy, labels), "heavy")
-    if not left.limit(1).count():
-        return labels
-    labels = components(verify(star_pairs(left)), labels)
-    left = stored(crossing(left.select("key", "id"), labels), "heavy")
+    for seed in range(STARS):  # each star tries what the ones before have left
+        if not left.limit(1).count():
+            return labels
+        labels = components(verify(star_pairs(left, seed + 1)), labels)
+        left = stored(crossing(left.select("key", "id"), labels), "heavy")
     ids = stored(left.select("id").distinct(), "ids")
     if not ids.limit(1).count():
         return labels
-    rest = stored(crossing(stored(rare_first(sets_of(ids)), "rare"), labels), "rare")
-    labels = components(verify(cross_pairs(rest.where(F.col("n") <= LIGHT)).drop("shared")), labels)
-    last = stored(crossing(rest.where(F.col("n") > LIGHT).select("key", "id"), labels), "last")
-    if last.limit(1).count():
-        labels = components(verify(star_pairs(last)), labels)
-        labels = components(verify(cross_pairs(stored(crossing(last.select("key", "id"), labels), "last")).drop("shared")), labels)
-    return labels
+    rest = stored(rare_first(sets_of(ids)), "rare")
+    near = _rare_pairs(labelled(rest.select("key", "id"), labels), rest.select("id", "n", "reach").distinct())
+    return components(verify(near), labels)
+
+
+def _rare_pairs(postings: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(a, b) of different components that share a key and can still reach the overlap of 3 (na + nb) / 7.
+
+    `reach` is the number of a set's prefix tokens that other sets have. What two sets have in common is at most that, and
+    what lies behind the prefix that ends first.
+    """
+    rows = postings.join(sizes, "id").withColumn("behind", F.ceil(F.col("n") * 3 / 4) - 1)
+    left = rows.select("key", *[F.col(c).alias(f"{c}_a") for c in ("id", "comp", "n", "reach", "behind")])
+    right = rows.select("key", *[F.col(c).alias(f"{c}_b") for c in ("id", "comp", "n", "reach", "behind")])
+    most = F.least("reach_a", "reach_b") + F.greatest("behind_a", "behind_b")
+    fit = (F.col("comp_a") < F.col("comp_b")) & (7 * most >= 3 * (F.col("n_a") + F.col("n_b"))) & (4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b"))
+    both = left.join(right, "key").where(fit)
+    return both.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
