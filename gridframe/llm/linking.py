@@ -96,34 +96,33 @@ def rare_first(sets: DataFrame) -> DataFrame:
     return rows.select("id", "n", "reach", F.explode(F.slice("often", F.lit(1), F.col("reach"))).alias("t")).select(F.col("t.key").alias("key"), "id", "n", "reach")
 
 
-def link(cheap: DataFrame, light: DataFrame, heavy: DataFrame | None, verify: Callable[[DataFrame], DataFrame], sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+def link(cheap: DataFrame, light: DataFrame, heavy: DataFrame | None, verify: Callable[[DataFrame], DataFrame], anew: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
     """id, comp of ids that are linked to another; None if there is no link.
 
     `cheap` keys are few; a star around each key's smallest id finds most links in a number of pairs that is linear in the
     rows, so large groups of near copies become one component at once. `light` and `heavy` keys together are the complete
     candidate keys: every pair of different components that shares one is compared. Light keys go pair by pair. Heavy ones
-    get a few stars; the sets of the rows whose keys then still cross components (`sets_of` their ids) are joined anew by
-    their rarest tokens, which is exact and leaves what they share with thousands of others to the end.
+    get a few stars; the postings that then still cross components are joined pair by pair, as `anew` gives them (key, id, n,
+    reach; see rare_first), with a bound on the overlap before any set is read.
     `verify` returns a stored table of the pairs that are similar; pairs from light keys come with the number they share.
     """
     labels = components(verify(star_pairs(cheap.withColumn("comp", F.col("id")))))
     rows = stored(crossing(light, labels), "crossing")
     few, many = rows.where(F.col("n") <= LIGHT), rows.where(F.col("n") > LIGHT).select("key", "id")
     labels = components(verify(cross_pairs(few)), labels)
-    return _link_heavy(many if heavy is None else many.unionByName(heavy.select("key", "id")), labels, verify, sets_of)
+    return _link_heavy(many if heavy is None else many.unionByName(heavy.select("key", "id")), labels, verify, anew)
 
 
-def _link_heavy(heavy: DataFrame, labels: DataFrame | None, verify: Callable, sets_of: Callable) -> DataFrame | None:
+def _link_heavy(heavy: DataFrame, labels: DataFrame | None, verify: Callable, anew: Callable) -> DataFrame | None:
     left = stored(crossing(heavy, labels), "heavy")
     for seed in range(STARS):  # each star tries what the ones before have left
         if not left.limit(1).count():
             return labels
         labels = components(verify(star_pairs(left, seed + 1)), labels)
         left = stored(crossing(left.select("key", "id"), labels), "heavy")
-    ids = stored(left.select("id").distinct(), "ids")
-    if not ids.limit(1).count():
+    if not left.limit(1).count():
         return labels
-    rest = stored(rare_first(sets_of(ids)), "rare")
+    rest = stored(anew(left), "rare")
     near = _rare_pairs(labelled(rest.select("key", "id"), labels), rest.select("id", "n", "reach").distinct())
     return components(verify(near), labels)
 

@@ -1,8 +1,8 @@
 """Jaccard join on sets of distinct five-word shingles, by prefixes of tokens and token combinations.
 
 A token is the 64-bit hash of a shingle. Tokens have one global order: rare ones by hash, then the frequent class F by
-hash. Two sets with a Jaccard similarity of 0.75 share a token in their prefixes of n - ceil(0.75 n) + 1 tokens, and two
-tokens in the prefixes that are one longer. So rare tokens are indexed singly; of the frequent class, sets of at most
+frequency and hash. Two sets with a Jaccard similarity of 0.75 share a token in their prefixes of n - ceil(0.75 n) + 1
+tokens, and two tokens in the prefixes that are one longer. So rare tokens are indexed singly; of the frequent class, sets of at most
 COMBINED tokens index all 2-combinations of their extended prefix, larger sets single tokens, and sets in between (sizes
 that can link with either) both. Candidates that lie in different components are then verified on the whole sets.
 
@@ -140,14 +140,14 @@ def scan_documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "kind int, token long, cid long, k long")
 
 
-def index_keys(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a set from rare tokens, and from frequent ones (single or 2-combinations)."""
+def index_keys(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a set from rare tokens, and from frequent ones (single or 2-combinations), the least frequent first."""
     n = len(tokens)
     p = prefix_length(n)
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
         often = frequent[at] == tokens
-        rare, common = tokens[~often], tokens[often]
+        rare, common = tokens[~often], tokens[often][np.argsort(rank[at[often]])]
     else:
         rare, common = tokens, tokens[:0]
     small, border = n <= COMBINED, COMBINED < n <= COMBINED * 4 // 3
@@ -161,7 +161,7 @@ def index_keys(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np
     return light, np.concatenate(heavy) if heavy else common[:0]
 
 
-def postings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+def postings(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """key, id (class), kind: the index entries of every class, once a class and task; kind 0 star, 1 light, 2 heavy."""
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -174,7 +174,7 @@ def postings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 if not len(s) or c in seen:
                     continue
                 seen.add(c)
-                for kind, k in enumerate((s[:STAR_TOKENS], *index_keys(s, known.value))):
+                for kind, k in enumerate((s[:STAR_TOKENS], *index_keys(s, *known.value))):
                     keys.append(k)
                     ids.append(np.full(len(k), c))
                     kinds.append(np.full(len(k), kind, np.int32))
@@ -215,7 +215,7 @@ def _shared_tokens(scan: DataFrame) -> DataFrame:
     return stored(sums.where("df > 1").select("token", "cid", "df"), "shared")
 
 
-def _shared_keys(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+def _shared_keys(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Index entries (key, id, kind) of keys that more than one class has."""
     keys = stored(postings(docs, frequent), "postings")
     ends = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
@@ -239,8 +239,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     touched = stored(shared.where("cid is not null").select("cid").distinct().join(classes.select("cid", "doc_id"), "cid"), "touched")
     n_touched = touched.count()
     entries = shared.agg(F.sum("df")).first()[0] or 0
-    often = shared.where(F.col("df") >= max(OFTEN, entries // 2**20)).select("token").distinct()
-    frequent = np.sort(np.array([r[0] for r in often.collect()], np.int64))  # at most 2^20 tokens
+    often = shared.where(F.col("df") >= max(OFTEN, entries // 2**20)).select("token", "df").distinct().orderBy("token").toArrow()
+    tokens, df = (often.column(n).to_numpy() for n in ("token", "df"))  # at most 2^20 tokens
+    frequent = (tokens, np.argsort(np.lexsort((tokens, df))))
     drop_stored(shared)
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -263,17 +264,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         release(spark)
         return out
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        """id and tokens of the given classes."""
-        wanted = stored(ids.withColumnRenamed("id", "cid").join(classes.select("cid", "doc_id"), "cid"), "wanted")
-        return stored(class_sets(docs, wanted, wanted.count()).withColumnRenamed("cid", "id"), "sets")
-
     met = join_small(docs.select("doc_id", "text"), touched.select("doc_id"), ["doc_id"], "left_semi", n_touched)
     keys = _shared_keys(met, frequent)
     release(spark)
     spread = keys.where("kind > 0").withColumn("rows", F.count("*").over(Window.partitionBy("key", "kind")))
     unknown = stored(spread.where(f"kind = 2 or rows > {LIGHT}").groupBy("id").agg(F.count("*").alias("u")), "unknown")
-    labels = link(*(keys.where(F.col("kind") == kind).select("key", "id") for kind in range(3)), verify, sets_of) if n_touched else None
+    sizes = classes.select(F.col("cid").alias("id"), "n").join(keys.where("kind > 0").groupBy("id").agg(F.count("*").cast("int").alias("reach")), "id")
+    sizes = sizes.withColumn("reach", F.when(F.col("n") <= COMBINED * 4 // 3, F.col("n").cast("int")).otherwise(F.col("reach")))
+    labels = link(*(keys.where(F.col("kind") == kind).select("key", "id") for kind in range(3)), verify, lambda left: left.select("key", "id").join(sizes, "id")) if n_touched else None
     comp = classes.select("cid", "doc_id", "size")
     comp = comp.withColumn("comp", F.col("cid")) if labels is None else join_small(comp, labels.withColumnRenamed("id", "cid"), ["cid"], "left").withColumn("comp", F.coalesce("comp", "cid"))
     comp = stored(comp, "comp")
