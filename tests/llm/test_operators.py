@@ -409,6 +409,44 @@ def test_line_dedup_odd_rows(odd, empty):
     assert lines.dedup_lines(empty.drop("comp")).count() == 0
 
 
+def test_line_dedup_short_and_unspaced_lines(spark):
+    pairs = [
+        ("subscribe to our newsletter today", "subscribe to our newsletter today!!"),  # five words
+        ("read more here now", "read more here now."),
+        ("第一章介绍了分布式数据库系统的基本原理以及一致性协议的设计与实现", "第一章介绍了分布式数据库系统的基本原理以及一致性协议的设计与实现。"),
+        ("id\tname\tprice\tcolour\tweight\tmaker", "id\tname\tprice\tcolour\tweight\tmakers"),
+        ("the committee will publish its final report on the matter early next month", "the committee will publish its final report on the matter late next month"),
+        ("-----", "------------"),
+    ]
+    rows = [(2 * i + k, t) for i, pair in enumerate(pairs) for k, t in enumerate(pair)]
+    rows += [(100, "abc"), (101, "abd"), (102, "a line that is like no other one here")]
+    got = {r.doc_id: r.n_removed for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i % 2 if i < 100 else 0 for i, _ in rows}
+
+
+def test_line_dedup_recall_of_character_shingles(spark, texts):
+    first, sets = {}, {}
+    for i in sorted(texts):
+        for p, line in enumerate((texts[i] or "").split("\n")):
+            t = line.strip(" ").lower()
+            if t and t not in first:
+                first[t], sets[t] = (i, p), {t[k : k + 5] for k in range(max(1, len(t) - 4))}
+    by_size = sorted(first, key=lambda t: len(sets[t]))
+    links = []
+    for k, a in enumerate(by_size):
+        for b in by_size[k + 1 :]:
+            if 4 * len(sets[a]) < 3 * len(sets[b]):
+                break
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                links.append((a, b))
+    docs = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")
+    kept = {r.h: (r.keep_doc, r.keep_pos) for r in lines.repeated_lines(docs).collect()}
+    h = {r.t: r.h for r in lines.lines_of(docs).select("t", "h").distinct().collect()}
+    found = sum(h[a] in kept and kept[h[a]] == kept.get(h[b]) for a, b in links)
+    assert len(links) > 30 and found >= 0.99 * len(links)
+
+
 # ---- pipeline
 
 
