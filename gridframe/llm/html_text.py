@@ -6,7 +6,8 @@ text of one page has 0. Presentation gives importance too: inside `article` or `
 footers, sidebars, notices, adverts, forms and comments it is 0. Branches of low importance go from every page.
 
 Blocks are trimmed, white space inside a block becomes one space, blocks are joined by a newline in page order. Null html
-gives an empty text, a null or odd url the host ''; repeated rows are pages like others; other columns are ignored.
+gives an empty text, a null or odd url the host ''; other columns are ignored. Equal html of one host is one page to the style tree,
+so copies never make a page a template; each row still gets its text. A path is weak only if MIN_PAGES different pages show it.
 """
 
 from __future__ import annotations
@@ -131,7 +132,7 @@ def page_blocks(html: str | None) -> list[tuple[str, int, str]]:
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """page_id, url, host and blocks (path, kind, text) of every page."""
+    """page_id, url, host, digest of the html and blocks (path, kind, text) of every page."""
 
     @F.pandas_udf("array<struct<path string, kind int, text string>>")
     def blocks(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -139,15 +140,19 @@ def parse_pages(pages: DataFrame) -> DataFrame:
             yield pd.Series([[{"path": p, "kind": k, "text": t} for p, k, t in page_blocks(x)] for x in part])
 
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1), F.lit("")))
-    return pages.select("page_id", "url", host.alias("host"), blocks("html").alias("blocks"))
+    return pages.select("page_id", "url", host.alias("host"), F.md5(F.col("html").cast("binary")).alias("digest"), blocks("html").alias("blocks"))
 
 
 def style_tree(parsed: DataFrame) -> DataFrame:
-    """Nodes of the merged trees: host, path, pages, importance."""
-    texts = parsed.select("page_id", "host", F.explode("blocks").alias("b")).select("page_id", "host", "b.path", F.xxhash64("b.text").alias("t"))
-    seen = texts.groupBy("host", "path", "t").agg(F.count("*").alias("c"))
-    # A text that stands c times on m pages, evenly, has the entropy log c / log m.
-    per = seen.groupBy("host", "path").agg(F.sum("c").alias("pages"), F.avg(F.ln("c")).alias("h"))
+    """Nodes of the merged trees: host, path, pages (different ones that show it), importance."""
+    seen = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), F.xxhash64(b["text"]).alias("t"))))
+    different = parsed.where("size(blocks) > 0").select("host", "digest", seen.alias("seen")).dropDuplicates(["host", "digest"])
+    different = different.withColumn("paths", F.array_distinct(F.transform("seen", lambda b: b["path"])))
+    # A path's own count of pages goes along as a text that is null, so the pages are dealt once.
+    marks = F.concat("seen", F.transform("paths", lambda p: F.struct(p.alias("path"), F.lit(None).cast("long").alias("t"))))
+    counts = different.select("host", F.explode(marks).alias("b")).groupBy("host", "b.path", "b.t").agg(F.count("*").alias("c"))
+    per = counts.groupBy("host", "path").agg(F.max(F.when(F.col("t").isNull(), F.col("c"))).alias("pages"), F.avg(F.when(F.col("t").isNotNull(), F.ln("c"))).alias("h"))
+    # A text that stands on c of m pages has the entropy log c / log m.
     return per.withColumn("importance", F.when(F.col("pages") < 2, 1.0).otherwise(1 - F.col("h") / F.ln("pages"))).drop("h")
 
 

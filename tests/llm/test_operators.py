@@ -211,6 +211,18 @@ def test_html_style_tree_drops_repeated_branches(spark):
     assert html_text.main_texts(pages.limit(0)).count() == 0
 
 
+def test_html_copies_are_no_template(spark):
+    alone = "<body><div class=body><h1>Title</h1><p>One.</p><p>Two.</p><p>Three.</p></div></body>"
+    cells = "<table><tr>" + "<td>same" * 6 + "</table>"
+    own = [f"<div class=top>Same</div><div class=text>Own {i}</div>" for i in range(6)]
+    rows = [(i, "http://copies.example/a", alone) for i in range(40)] + [(100 + i, None, alone) for i in range(10)]
+    rows += [(200, "http://cells.example/", cells)] + [(300 + i, "http://site.example/", x) for i, x in enumerate(own)]
+    got = {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {got[i] for i in (*range(40), *range(100, 110))} == {"Title\nOne.\nTwo.\nThree."}
+    assert got[200] == "\n".join(["same"] * 6)
+    assert [got[300 + i] for i in range(6)] == [f"Own {i}" for i in range(6)]
+
+
 def test_html_pages_keep_every_row(spark):
     got = html_text.op3_main_text(spark, SF).collect()
     assert len(got) == duckdb.sql(f"SELECT count(*) FROM '{SF}/pages.parquet'").fetchall()[0][0]
