@@ -1,29 +1,32 @@
 """Language identification by cross-parsing entropy.
 
 For each language a suffix automaton is built over a bounded sample of labelled text. A text is parsed against each
-automaton into longest matches; the language that needs the fewest phrases per character wins. Phrases end at word ends,
+automaton into longest matches; the language with the least entropy wins: phrases per character times the logarithm of the
+sample's length (of MIN_CHARS where it is shorter), so samples of unequal size compare. Phrases end at word ends,
 so the phrases of a word are counted once per worker and language, and whole texts cost one dictionary lookup a word.
 
-The sample is bounded: `docs_per_lang` documents and `chars_per_lang` characters a language. Labels that are null teach
-nothing. Null or letterless text gives `und` with score 0. Without labelled text every text with letters gives `und`.
+The sample is bounded: `docs_per_lang` documents and `chars_per_lang` characters a language, and TOTAL_DOCS and TOTAL_CHARS
+over all; where these are short the largest samples shrink first, every label stays. Labels that are null teach nothing. Null or letterless text gives `und` with score 0. Without labelled text every text with letters gives `und`.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridframe.llm.common import hold
+from gridframe.llm.common import hold, join_small, stored
 
 DOCS_PER_LANG = 400
 CHARS_PER_LANG = 60_000
-MAX_LANGS = 200
+TOTAL_DOCS = 80_000
+TOTAL_CHARS = 1_200_000
+MIN_CHARS = 2_000
 _PARTS = 1 << 30
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -85,6 +88,7 @@ class Model:
         self.langs = sorted(samples)
         self.samples = samples
         self.automata = [SuffixAutomaton(samples[x]) for x in self.langs]
+        self.bits = np.log(np.array([max(MIN_CHARS, len(samples[x])) for x in self.langs], np.float64))
         self.known: dict[str, tuple[int, ...]] = {}
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -101,7 +105,7 @@ class Model:
             rows.append(row)
         counts = np.fromiter(words.values(), np.float64, len(rows))
         chars = float(counts @ np.fromiter((len(w) + 2 for w in words), np.float64, len(rows)))
-        rates = (counts @ np.array(rows, np.float64)) / chars
+        rates = (counts @ np.array(rows, np.float64)) * self.bits / chars
         best = int(np.argmin(rates))
         if len(rates) == 1:
             return self.langs[0], 1.0
@@ -125,20 +129,32 @@ def _model(samples: dict[str, str]) -> Model:
     return _MODELS[key]
 
 
+def level(sizes: Iterable[tuple[int, int]], bound: int, total: int) -> int:
+    """The largest cap up to `bound`, 1 at least, under which sizes (size, times) cut to it sum to at most `total`."""
+    left = sum(times for _, times in sizes)
+    for size, times in sorted(sizes):
+        if size * left > total:
+            return max(1, min(bound, total // left))
+        total -= size * times
+        left -= times
+    return bound
+
+
 def sample_texts(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, chars_per_lang: int = CHARS_PER_LANG) -> dict[str, str]:
     """A bounded sample of labelled text (text, lang, key) a language, chosen by a hash of the key."""
     labelled = labelled.where("lang is not null")
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    share = F.lit(0)  # so few rows a language reach the ranking, however many there are
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], min(_PARTS, -(-_PARTS * 4 * docs_per_lang // row["count"]))).otherwise(share)
+    counts = stored(labelled.groupBy("lang").agg(F.count("*").alias("of")), "langs")
+    sizes = [(min(row["of"], docs_per_lang), row["times"]) for row in counts.groupBy("of").agg(F.count("*").alias("times")).collect()]
+    docs_each = level(sizes, docs_per_lang, TOTAL_DOCS)
+    # So few rows a language reach the ranking, however many there are.
+    share = counts.select("lang", F.ceil(F.lit(float(_PARTS * 4 * docs_each)) / F.col("of")).alias("share"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
     few = (
-        labelled.where(F.pmod(F.xxhash64("key"), F.lit(_PARTS)) < share)
+        join_small(labelled, share, ["lang"], "inner").where(F.pmod(F.xxhash64("key"), F.lit(_PARTS)) < F.col("share"))
         .where("text is not null and length(text) > 0")
         .select("lang", "key", F.substring("text", 1, 10 * chars_per_lang // docs_per_lang).alias("text"))
         .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= docs_per_lang)
+        .where(F.col("rank") <= docs_each)
     )
     texts: dict[str, list[str]] = {}
     for row in few.orderBy("lang", "rank").collect():  # at most docs_per_lang short rows a language
@@ -148,8 +164,8 @@ def sample_texts(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, chars_
         words = [" ".join(_LETTERS.findall(p.lower())) for p in parts]
         share = max(1, chars_per_lang // max(1, len(words)))
         out[lang] = f" {' '.join(w[: share * 4] for w in words)} "[:chars_per_lang]
-    size = min(map(len, out.values()), default=0)
-    return {k: v[: max(size, 2000)] for k, v in out.items()}
+    size = level([(len(v), 1) for v in out.values()], chars_per_lang, TOTAL_CHARS)
+    return {k: v[:size] for k, v in out.items()}
 
 
 def predict_language(docs: DataFrame, samples: dict[str, str]) -> DataFrame:

@@ -261,6 +261,25 @@ def test_language_odd_rows(odd, empty):
     assert langid.identify(empty).count() == 0
 
 
+def test_language_samples_do_not_depend_on_rare_labels(spark):
+    words = {"aa": "alpha beta gamma delta", "bb": "uno dos tres cuatro"}
+    rows = [(i, f"{words[x]} {i % 7 * 'na'} " * 40, x) for i, x in enumerate(["aa", "bb"] * 50)]
+    common = spark.createDataFrame(rows, "key long, text string, lang string")
+    rare = spark.createDataFrame([(1000, "zzz", "zz")], common.schema)
+    alone, both = langid.sample_texts(common), langid.sample_texts(common.unionByName(rare))
+    assert min(map(len, alone.values())) > 2000 and both == alone | {"zz": " zzz "}
+    model = langid.Model(both)
+    assert [model.predict(x)[0] for x in ("alpha gamma", "tres dos", "zzz")] == ["aa", "bb", "zz"]
+
+
+def test_language_keeps_every_label(spark):
+    rows = [(i, f"{chr(0x4E00 + i) * 3} " * 4, f"l{i:03}") for i in range(230)]
+    samples = langid.sample_texts(spark.createDataFrame(rows, "key long, text string, lang string"))
+    model = langid.Model(samples)
+    assert [model.predict(text)[0] for _, text, _ in rows] == [lang for _, _, lang in rows]
+    assert langid.level([(5, 2), (100, 3)], 60, 100) == 30 and langid.level([(5, 2)], 60, 100) == 60
+
+
 def test_suffix_automaton_counts_longest_matches():
     a = langid.SuffixAutomaton("abcbc")
     assert [a.phrases(x) for x in ("abcbc", "bcab", "zab", "")] == [1, 2, 2, 0]
