@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -10,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side is broadcast only when it is known to have at most this many rows of ids or counters.
-BROADCAST_ROWS = 2_000_000
+#: A side is broadcast only when its counted rows take at most this many bytes.
+BROADCAST_BYTES = 64_000_000
+_LOCAL: list[str] = []
+_WIDTHS = {"boolean": 1, "int": 4, "float": 4}
 
 
 _HELD: dict[str, Callable[[], None]] = {}
@@ -19,19 +22,27 @@ _HELD: dict[str, Callable[[], None]] = {}
 
 def hold(name: str, drop: Callable[[], None]) -> None:
     """Called in a Python worker by an operator that keeps something between tasks: what other operators kept goes."""
-    for other in [n for n in _HELD if n != name]:
+    others = [n for n in _HELD if n != name]
+    for other in others:
         _HELD.pop(other)()
+    if others:
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory otherwise
+        if trim:
+            trim(0)
     _HELD[name] = drop
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder that driver and executors share, from spark.checkpoint.dir; only one-machine sessions may do without."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    local = tempfile.mkdtemp(prefix="spark-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="spark-"))
+    return _LOCAL[0]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -59,10 +70,22 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def join_small(left: DataFrame, small: DataFrame, on: list[str], how: str, rows: int | None = None) -> DataFrame:
-    """Join that broadcasts `small` only when its counted rows are few; otherwise it shuffles and AQE splits skewed keys."""
-    n = small.count() if rows is None else rows
-    return left.join(F.broadcast(small) if n <= BROADCAST_ROWS else small, on, how)
+def size_of(df: DataFrame) -> int:
+    """Bytes of all rows of df, counted: fixed types by their width, arrays by their elements, other columns by their text."""
+    total = F.lit(0).cast("double")
+    for name, kind in df.dtypes:
+        width = F.lit(_WIDTHS.get(kind, 8))
+        if kind.startswith("array<") and "struct" not in kind:
+            width = 16 + F.coalesce(F.size(F.col(name)), F.lit(0)) * _WIDTHS.get(kind[6:-1], 8)
+        elif kind in ("string", "binary") or "<" in kind:
+            width = 16 + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+        total = total + width
+    return int(df.agg(F.coalesce(F.sum(total), F.lit(0.0))).first()[0])
+
+
+def join_small(left: DataFrame, small: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Join that broadcasts `small` only when its counted bytes are few; otherwise it shuffles and AQE splits skewed keys."""
+    return left.join(F.broadcast(small) if size_of(small) <= BROADCAST_BYTES else small, on, how)
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, share: int = 1000) -> DataFrame:

@@ -4,28 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridframe.llm.common import drop_stored, join_small, stored
+from gridframe.llm.common import drop_stored, join_small, release, stored
 
-#: Keys with at most so many rows are compared pair by pair; larger ones by a star first, then by rare tokens.
-LIGHT = 16
-#: Stars that are drawn in turn around large keys before what is left is joined anew.
-STARS = 3
+#: Stars that are drawn in turn around the keys before what is left is compared pair by pair.
+STARS = 4
 
 
 def _least_labels(edges: DataFrame) -> DataFrame:
     """id, comp of a graph: least label of the neighbours and pointer jumping until nothing changes."""
     edges = stored(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = stored(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("comp")).withColumn("moved", F.lit(True)), "labels")
-    n = moved = labels.count()
+    moved = 1
     while moved:
         own = labels.select("id", "comp")
-        seen = join_small(edges, own.select(F.col("id").alias("b"), "comp"), ["b"], "inner", n).groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("near"))
+        seen = join_small(edges, own.select(F.col("id").alias("b"), "comp"), ["b"], "inner").groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("near"))
         up = own.select(F.col("id").alias("near"), F.col("comp").alias("up"))
         # A label is the id of a row itself, so its own label is a step further towards the least one.
-        step = join_small(join_small(own, seen, ["id"], "inner", n), up, ["near"], "left", n)
+        step = join_small(own.join(seen, "id"), up, ["near"], "left")
         new = stored(step.select("id", F.least("comp", F.coalesce("up", "near")).alias("new"), "comp").select("id", F.col("new").alias("comp"), (F.col("new") < F.col("comp")).alias("moved")), "labels")
         moved = new.where("moved").limit(1).count()
         drop_stored(labels)
@@ -59,10 +57,10 @@ def labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def crossing(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """key, id, comp, n: postings of keys that still lie in several components, with the key's rows."""
+    """key, id, comp: postings of keys that still lie in several components."""
     rows = labelled(postings, labels)
-    spread = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-    return rows.join(spread.select("key", "n"), "key")
+    spread = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    return rows.join(spread, "key")
 
 
 def star_pairs(postings: DataFrame, seed: int = 0) -> DataFrame:
@@ -73,70 +71,38 @@ def star_pairs(postings: DataFrame, seed: int = 0) -> DataFrame:
     return rows.select(F.least("lead.id", "id").alias("a"), F.greatest("lead.id", "id").alias("b")).distinct()
 
 
-def cross_pairs(postings: DataFrame) -> DataFrame:
-    """(a, b, shared): rows of one key whose components differ, with the number of keys they share."""
-    left = postings.select("key", F.col("id").alias("a"), F.col("comp").alias("ca"))
-    right = postings.select("key", F.col("id").alias("b"), F.col("comp").alias("cb"))
-    both = left.join(right, "key").where("ca < cb")
-    return both.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("shared"))
-
-
-def rare_first(sets: DataFrame) -> DataFrame:
-    """key, id, n, reach: the prefix of n - ceil(0.75 n) + 1 tokens of each set (id, tokens), rarest first; similar sets share one.
-
-    n is the size of the set, reach the number of its prefix tokens that other sets have; tokens of one set alone are left out.
-    """
-    tokens = sets.select("id", F.explode("tokens").alias("key"))
-    counts = tokens.groupBy("key").agg(F.count("*").alias("df"))
-    ranked = tokens.join(counts.where("df > 1"), "key").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("often"))
-    sizes = sets.select("id", F.size("tokens").alias("n"))
-    prefix = F.col("n") - F.ceil(F.col("n") * 3 / 4) + 1
-    reach = F.greatest(F.lit(0), prefix - (F.col("n") - F.size("often"))).cast("int")
-    rows = ranked.join(sizes, "id").withColumn("reach", reach)
-    return rows.select("id", "n", "reach", F.explode(F.slice("often", F.lit(1), F.col("reach"))).alias("t")).select(F.col("t.key").alias("key"), "id", "n", "reach")
+def cross_pairs(postings: DataFrame, marks: DataFrame, fit: Callable[[str, str], Column]) -> DataFrame:
+    """(a, b) of different components that share a key, if `fit` holds for the marks (id and others) of both."""
+    rows = postings.join(marks, "id")
+    names = [c for c in rows.columns if c != "key"]
+    left = rows.select("key", *[F.col(c).alias(f"{c}_a") for c in names])
+    right = rows.select("key", *[F.col(c).alias(f"{c}_b") for c in names])
+    both = left.join(right, (left["key"] == right["key"]) & (F.col("comp_a") < F.col("comp_b")) & fit("_a", "_b"))
+    return both.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
-def link(cheap: DataFrame, light: DataFrame, heavy: DataFrame | None, verify: Callable[[DataFrame], DataFrame], anew: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], marks: DataFrame, fit: Callable[[str, str], Column]) -> DataFrame | None:
     """id, comp of ids that are linked to another; None if there is no link.
 
-    `cheap` keys are few; a star around each key's smallest id finds most links in a number of pairs that is linear in the
-    rows, so large groups of near copies become one component at once. `light` and `heavy` keys together are the complete
-    candidate keys: every pair of different components that shares one is compared. Light keys go pair by pair. Heavy ones
-    get a few stars; the postings that then still cross components are joined pair by pair, as `anew` gives them (key, id, n,
-    reach; see rare_first), with a bound on the overlap before any set is read.
-    `verify` returns a stored table of the pairs that are similar; pairs from light keys come with the number they share.
+    The keys of `postings` (key, id) are the complete candidates. A star around one row of each key finds most links in a
+    number of pairs that is linear in the rows, so large groups of near copies become one component at once; each further
+    star tries another row of the keys that still cross components. What is left then is compared pair by pair, but only
+    pairs of different components for which `fit` says that they can still be similar. No link is lost.
+    `verify` returns a stored table of the pairs that are similar.
     """
-    labels = components(verify(star_pairs(cheap.withColumn("comp", F.col("id")))))
-    rows = stored(crossing(light, labels), "crossing")
-    few, many = rows.where(F.col("n") <= LIGHT), rows.where(F.col("n") > LIGHT).select("key", "id")
-    labels = components(verify(cross_pairs(few)), labels)
-    return _link_heavy(many if heavy is None else many.unionByName(heavy.select("key", "id")), labels, verify, anew)
-
-
-def _link_heavy(heavy: DataFrame, labels: DataFrame | None, verify: Callable, anew: Callable) -> DataFrame | None:
-    left = stored(crossing(heavy, labels), "heavy")
-    for seed in range(STARS):  # each star tries what the ones before have left
+    labels, left = None, postings
+    for seed in range(STARS):
+        now = stored(crossing(left.select("key", "id"), labels), "crossing")
+        if seed:
+            drop_stored(left)
+        left = now
         if not left.limit(1).count():
             return labels
-        labels = components(verify(star_pairs(left, seed + 1)), labels)
-        left = stored(crossing(left.select("key", "id"), labels), "heavy")
+        near = verify(star_pairs(left, seed))
+        labels = components(near, labels)
+        drop_stored(near)
+        release(postings.sparkSession)
+    left = stored(crossing(left.select("key", "id"), labels), "crossing")
     if not left.limit(1).count():
         return labels
-    rest = stored(anew(left), "rare")
-    near = _rare_pairs(labelled(rest.select("key", "id"), labels), rest.select("id", "n", "reach").distinct())
-    return components(verify(near), labels)
-
-
-def _rare_pairs(postings: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(a, b) of different components that share a key and can still reach the overlap of 3 (na + nb) / 7.
-
-    `reach` is the number of a set's prefix tokens that other sets have. What two sets have in common is at most that, and
-    what lies behind the prefix that ends first.
-    """
-    rows = postings.join(sizes, "id").withColumn("behind", F.ceil(F.col("n") * 3 / 4) - 1)
-    left = rows.select("key", *[F.col(c).alias(f"{c}_a") for c in ("id", "comp", "n", "reach", "behind")])
-    right = rows.select("key", *[F.col(c).alias(f"{c}_b") for c in ("id", "comp", "n", "reach", "behind")])
-    most = F.least("reach_a", "reach_b") + F.greatest("behind_a", "behind_b")
-    fit = (F.col("comp_a") < F.col("comp_b")) & (7 * most >= 3 * (F.col("n_a") + F.col("n_b"))) & (4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b"))
-    both = left.join(right, "key").where(fit)
-    return both.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+    return components(verify(cross_pairs(left, marks, fit)), labels)

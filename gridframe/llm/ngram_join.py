@@ -1,14 +1,22 @@
-"""Jaccard join on sets of distinct five-word shingles, by prefixes of tokens and token combinations.
-
-A token is the 64-bit hash of a shingle. Tokens have one global order: rare ones by hash, then the frequent class F by
-frequency and hash. Two sets with a Jaccard similarity of 0.75 share a token in their prefixes of n - ceil(0.75 n) + 1
-tokens, and two tokens in the prefixes that are one longer. So rare tokens are indexed singly; of the frequent class, sets of at most
-COMBINED tokens index all 2-combinations of their extended prefix, larger sets single tokens, and sets in between (sizes
-that can link with either) both. Candidates that lie in different components are then verified on the whole sets.
-
-F holds the tokens met at least max(32, postings / 2^20) times, which bounds it to about 2^20 tokens (8 MB) for any input;
-it only shapes the order, so the result is exact whatever it holds. Equal sets are one class. Null or wordless text
-has no shingles and no link; fewer than five words make one shingle; repeated rows are copies; other columns are ignored.
+"""Jaccard join on sets of distinct five-word shingles, by extended prefixes and token combinations.
+
+A token is the 64-bit hash of a shingle. Two sets with a Jaccard similarity of 0.75 miss at most n - ceil(0.75 n) tokens of
+either one. So among the first (misses + k) tokens of both sets, in any order that all sets share, they have k in common.
+
+1. Screening. Of each set the first tokens in hash order are looked at, with k = 1 + n // 16. A set with fewer tokens that
+   another set has there too than the least k of sets it can link with is done; in most corpora that is nearly every document.
+2. Order. The tokens of the other sets are counted and ordered by their frequency. Tokens of one set alone come first in
+   it and use up its misses, so its prefix of tokens that others have is short: misses - alone + k tokens.
+3. Index. Rare tokens of the prefix are keys singly, frequent ones (OFTEN sets or more) in 2-combinations. For a size class
+   with B buckets the prefix is extended to k = B + 1 tokens in common; tokens are dealt to buckets by their hash, so two
+   common tokens meet in one bucket and only combinations within buckets are keys: about as many as tokens, for sets of any
+   size. B is a quarter of the class's least size, and sets are in each class where similar ones can be.
+4. Verification. Stars around the keys first, then what still crosses components (see linking), on the whole sets. Before a
+   pair of the latter is verified, the AHEAD first prefix tokens of both must leave room for the overlap.
+
+The order only shapes the index, so the result is exact. Equal sets are one class. Null or wordless text has no shingles and
+no link; fewer than five words make one shingle; repeated rows are copies; a row without doc_id is linked like any other, but
+names no component unless all of its rows lack an id; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,17 +28,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridframe.llm.common import drop_stored, hold, join_groups, join_small, release, stored
-from gridframe.llm.linking import LIGHT, link
+from gridframe.llm.linking import link
 
 WORDS = 5
-COMBINED = 48
-STAR_TOKENS = 4
-LOCALLY_OFTEN = 4
 OFTEN = 32
+AHEAD = 24
+NO_ID = -(2**63)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -89,32 +96,36 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64)))
 
 
+def _enough(n: int) -> int:
+    """Tokens of the screened prefix that other sets must have too."""
+    return 1 + n // 16
+
+
 def scan_documents(docs: DataFrame) -> DataFrame:
-    """kind, token, cid, k. Kind 0 is a document: its doc_id, its class (hash of the set) and the size of the set. Kind 1 is
-    a task's prefix tokens in hash order, each once with its count, and its frequent tokens of whole sets.
+    """kind, token, cid, k. Kind 0 is a document: its doc_id, its class (hash of the set) and the size of the set. Kind 1 is a
+    token of a screened prefix, kind 2 a class with the number of its screened tokens that the task knows to be shared.
 
-    A task counts a class once. A token that it met in several prefixes stands with one class; the others get a token of
-    their own with count 2, so that every class that shares a prefix token is known and no token has more rows than tasks.
+    A task counts a class once. A token that it met in several prefixes stands once, without a class, and is counted in kind
+    2 for each of its classes, so no token has more rows than there are tasks.
     """
 
-    def counted(sets: list[np.ndarray], cids: list[int]) -> pa.RecordBatch:
-        prefixes = [s[: prefix_length(len(s))] for s in sets]
-        tokens = np.concatenate(prefixes)
-        owner = np.repeat(np.array(cids, np.int64), [len(x) for x in prefixes])
-        values, first, inverse, count = np.unique(tokens, return_index=True, return_inverse=True, return_counts=True)
-        rest = np.ones(len(tokens), bool)
-        rest[first] = False
-        shared = np.unique(owner[rest & (count[inverse] > 1)])
-        every, times = np.unique(np.concatenate(sets), return_counts=True)
-        often = times >= LOCALLY_OFTEN
-        token = np.concatenate((values, _mix(shared.view(np.uint64)).view(np.int64), every[often]))
-        cid = np.concatenate((owner[first], shared, np.zeros(often.sum(), np.int64)))
-        k = np.concatenate((count, np.full(len(shared), 2), times[often]))
-        return table(1, token, pa.array(cid, mask=np.arange(len(cid)) >= len(values) + len(shared)), k.astype(np.int64))
-
     def table(kind: int, *columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), kind, np.int32)), *[pa.array(c, pa.int64()) for c in columns]], names=["kind", "token", "cid", "k"])
 
+    def counted(prefixes: list[np.ndarray], cids: list[int]) -> Iterator[pa.RecordBatch]:
+        tokens = np.concatenate(prefixes)
+        owner = np.repeat(np.arange(len(cids)), [len(x) for x in prefixes])
+        order = np.argsort(tokens)
+        tokens, owner = tokens[order], owner[order]
+        first = np.concatenate(([True], tokens[1:] != tokens[:-1]))
+        several = np.concatenate((~first[1:], [False])) | ~first
+        classes = np.array(cids, np.int64)
+        lead = np.flatnonzero(first)
+        yield table(1, tokens[lead], pa.array(classes[owner[lead]], mask=several[lead]), np.ones(len(lead), np.int64))
+        known = np.bincount(owner[several], minlength=len(cids))
+        if (known > 0).any():
+            yield table(2, np.zeros((known > 0).sum(), np.int64), classes[known > 0], known[known > 0])
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held: list[np.ndarray] = []
@@ -126,102 +137,112 @@ def scan_documents(docs: DataFrame) -> DataFrame:
             for c, s in zip(own, sets, strict=True):
                 if len(s) and c not in seen:
                     seen.add(c)
-                    held.append(s)
+                    held.append(s[: prefix_length(len(s)) - 1 + _enough(len(s))])
                     cids.append(c)
-                    size += len(s)
-            if size > 4_000_000:
-                yield counted(held, cids)
+                    size += len(held[-1])
+            if size > 2_000_000:
+                yield from counted(held, cids)
                 held, cids, size = [], [], 0
             if len(seen) > 1_000_000:
                 seen.clear()
         if held:
-            yield counted(held, cids)
+            yield from counted(held, cids)
 
     return docs.select("doc_id", "text").mapInArrow(run, "kind int, token long, cid long, k long")
 
 
-def index_keys(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a set from rare tokens, and from frequent ones (single or 2-combinations), the least frequent first."""
-    n = len(tokens)
-    p = prefix_length(n)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        often = frequent[at] == tokens
-        rare, common = tokens[~often], tokens[often][np.argsort(rank[at[often]])]
-    else:
-        rare, common = tokens, tokens[:0]
-    small, border = n <= COMBINED, COMBINED < n <= COMBINED * 4 // 3
-    longer = p + 1 if small or border else p
-    light = rare[:longer]
-    heavy = [] if small else [common[: max(0, p - len(rare))]]
-    if small or border:
-        c = common[: max(0, longer - len(rare))].view(np.uint64)
-        i, j = np.triu_indices(len(c), 1)
-        heavy.append(_mix(c[i] * _FACTORS[0] + c[j] * _FACTORS[1] + np.uint64(1)).view(np.int64))
-    return light, np.concatenate(heavy) if heavy else common[:0]
-
-
-def postings(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """key, id (class), kind: the index entries of every class, once a class and task; kind 0 star, 1 light, 2 heavy."""
-    known = docs.sparkSession.sparkContext.broadcast(frequent)
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for _, sets in _batches(parts, 1000):
-            keys, ids, kinds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
-            for s in sets:
-                c = _class_id(s)
-                if not len(s) or c in seen:
-                    continue
-                seen.add(c)
-                for kind, k in enumerate((s[:STAR_TOKENS], *index_keys(s, *known.value))):
-                    keys.append(k)
-                    ids.append(np.full(len(k), c))
-                    kinds.append(np.full(len(k), kind, np.int32))
-            if len(seen) > 1_000_000:
-                seen.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, ids, kinds)], names=["key", "id", "kind"])
+def touched_classes(scan: DataFrame, classes: DataFrame) -> DataFrame:
+    """cid and doc_id of the classes that share enough tokens of their screened prefixes."""
+    token = Window.partitionBy("token")
+    rows = scan.where("kind = 1").select("token", "cid").withColumns({"lo": F.min("cid").over(token), "hi": F.max("cid").over(token), "own": F.count("cid").over(token), "all": F.count("*").over(token)})
+    met = rows.where("cid is not null and (lo < hi or own < all)").groupBy("cid").agg(F.count("*").alias("k"))
+    met = met.unionByName(scan.where("kind = 2").select("cid", "k")).groupBy("cid").agg(F.sum("k").alias("k"))
+    return met.join(classes, "cid").where("k >= 1 + (3 * n + 3) div 4 div 16").select("cid", "doc_id")
 
-    return docs.select("doc_id", "text").mapInArrow(run, "key long, id long, kind int")
 
-
-def class_sets(docs: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
-    """cid and its whole set, for the classes in `wanted` (cid, doc_id)."""
+def class_sets(docs: DataFrame, touched: DataFrame) -> DataFrame:
+    """cid, n and the whole set (tokens) of each class in `touched` (cid, doc_id)."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _batches(parts):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists(sets)], names=["cid", "tokens"])
-
-    texts = join_small(docs.select("doc_id", "text"), wanted, ["doc_id"], "inner", rows).select("cid", "text")
-    return texts.mapInArrow(run, "cid long, tokens array<long>")
+        for _, sets in _batches(parts):
+            sets = [s for s in sets if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([_class_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), _lists(sets)], names=["cid", "n", "tokens"])
+
+    # Another row with the same id may have another set, so the class is told from the set itself.
+    ids = touched.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id")).distinct()
+    texts = join_small(docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text"), ids, ["doc_id"], "left_semi")
+    return texts.mapInArrow(run, "cid long, n int, tokens array<long>").join(touched.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
+
+
+def ordered_tokens(sets: DataFrame) -> DataFrame:
+    """id, n and `often`: df and token of the tokens that other sets have too, the least frequent first."""
+    tokens = sets.select("cid", F.explode("tokens").alias("token"))
+    counts = tokens.groupBy("token").agg(F.count("*").cast("int").alias("df")).where("df > 1")
+    often = tokens.join(counts, "token").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("often"))
+    out = often.join(sets.select("cid", "n"), "cid")
+    return out.select(F.col("cid").alias("id"), "n", F.transform("often", lambda x: x["df"]).alias("df"), F.transform("often", lambda x: x["token"]).alias("tokens"))
+
+
+def size_classes(n: int) -> list[int]:
+    """The size classes of a set: that of its own size, and that of the largest sets that are similar to it."""
+    return sorted({n.bit_length() - 1, (4 * n // 3).bit_length() - 1})
+
+
+def index_keys(n: int, df: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Keys of a set of n tokens from those that others have: rare ones singly, frequent ones in 2-combinations within buckets."""
+    left = prefix_length(n) - 1 - (n - len(tokens))  # misses that tokens of this set alone leave
+    if left < 0:
+        return tokens[:0]
+    keys = []
+    for c in size_classes(n):
+        buckets = max(1, (1 << c) // 4)
+        reach = left + 1 + buckets
+        keys.append(tokens[:reach][df[:reach] < OFTEN])
+        x = tokens[:reach][df[:reach] >= OFTEN].view(np.uint64)
+        order = np.argsort(x % np.uint64(buckets), kind="stable")  # within a bucket the common order stays
+        x = x[order]
+        bucket = x % np.uint64(buckets)
+        for step in range(1, len(x)):
+            i = np.flatnonzero(bucket[step:] == bucket[:-step])
+            if not len(i):
+                break
+            keys.append(_mix(x[i] * _FACTORS[0] + x[i + step] * _FACTORS[1] + np.uint64(c)).view(np.int64))
+    return np.unique(np.concatenate(keys))
+
+
+def postings(ordered: DataFrame) -> DataFrame:
+    """key, id: the index entries of every class."""
 
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            df, tokens = (batch.column(c) for c in ("df", "tokens"))
+            ends = tokens.offsets.to_numpy()
+            df, tokens = df.flatten().to_numpy(), tokens.flatten().to_numpy()
+            ends = ends - ends[0]
+            keys = [index_keys(n, df[a:b], tokens[a:b]) for n, a, b in zip(batch.column("n").to_pylist(), ends[:-1], ends[1:], strict=True)]
+            ids = np.repeat(batch.column("id").to_numpy(), [len(k) for k in keys])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*keys, np.zeros(0, np.int64)])), pa.array(ids)], names=["key", "id"])
 
-def _enough(pairs: DataFrame, unknown: DataFrame) -> DataFrame:
-    """Pairs (na, nb, shared) that can still reach the overlap of 3 (na + nb) / 7.
-
-    What two sets have in common lies in both prefixes, or behind the prefix that ends first. `shared` counts the light keys
-    of both; of the others (`unknown`: id, u) they can have at most the smaller number. Small sets with 2-combinations stay.
-    """
-    for side in ("a", "b"):
-        pairs = pairs.join(unknown.select(F.col("id").alias(side), F.col("u").alias(f"u{side}")), side, "left")
-    rest = [F.col(n) - (F.col(n) - F.ceil(F.col(n) * 3 / 4) + 1) for n in ("na", "nb")]
-    most = F.col("shared") + F.least(F.coalesce("ua", F.lit(0)), F.coalesce("ub", F.lit(0))) + F.greatest(*rest)
-    return pairs.where((F.least("na", "nb") <= COMBINED * 4 // 3) | (7 * most >= 3 * (F.col("na") + F.col("nb"))))
+    return ordered.mapInArrow(run, "key long, id long")
 
 
-def _shared_tokens(scan: DataFrame) -> DataFrame:
-    """token, cid, df of prefix tokens that more than one class has."""
-    sums = scan.where("kind = 1").select("token", "cid", "k").withColumn("df", F.sum("k").over(Window.partitionBy("token")))
-    return stored(sums.where("df > 1").select("token", "cid", "df"), "shared")
+def _marks(ordered: DataFrame) -> DataFrame:
+    """id, n, alone (tokens of this set only), ahead (its first AHEAD other tokens as numbers in the common order), last."""
+    place = F.zip_with(F.slice("df", 1, AHEAD), F.slice("tokens", 1, AHEAD), lambda d, t: F.shiftleft(F.least(d, F.lit(2**22)).cast("long"), 40).bitwiseOR(F.shiftrightunsigned(t, 24)))
+    last = F.when(F.size("tokens") <= AHEAD, F.lit(2**63 - 1)).otherwise(F.element_at("ahead", -1))
+    return ordered.select("id", "n", (F.col("n") - F.size("tokens")).alias("alone"), "tokens", place.alias("ahead")).withColumn("last", last).drop("tokens")
 
 
-def _shared_keys(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Index entries (key, id, kind) of keys that more than one class has."""
-    keys = stored(postings(docs, frequent), "postings")
-    ends = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
-    out = stored(keys.join(ends, "key"), "keys")
-    drop_stored(keys)
-    return out
+def _fit(a: str, b: str) -> Column:
+    """Whether neither set misses too much of the other up to the place where both lists of first tokens reach."""
+    n = F.col(f"n{a}") + F.col(f"n{b}")
+    sizes = 4 * F.least(f"n{a}", f"n{b}") >= 3 * F.greatest(f"n{a}", f"n{b}")
+    cheap = sizes & (7 * (F.col(f"n{a}") - F.col(f"alone{a}")) >= 3 * n) & (7 * (F.col(f"n{b}") - F.col(f"alone{b}")) >= 3 * n)
+    for x, y in ((a, b), (b, a)):
+        end = F.least(f"last{a}", f"last{b}")
+        missed = F.size(F.filter(F.array_except(f"ahead{x}", f"ahead{y}"), lambda t, end=end: t <= end))
+        cheap = cheap & (7 * (F.col(f"n{x}") - F.col(f"alone{x}") - missed) >= 3 * n)
+    return cheap
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -231,47 +252,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = stored(scan.where("kind = 0").select(F.col("token").alias("doc_id"), F.col("k").alias("n"), "cid"), "documents")
     total = rows.count()
     classes = stored(rows.where("n > 0").groupBy("cid").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id"), F.count("*").alias("size")), "class")
-
-    # Classes that share no token of their prefixes in hash order have no link and are done.
-    shared = _shared_tokens(scan)
+    touched = stored(touched_classes(scan, classes.select("cid", "n", "doc_id")), "touched")
     drop_stored(scan)
     release(spark)
-    touched = stored(shared.where("cid is not null").select("cid").distinct().join(classes.select("cid", "doc_id"), "cid"), "touched")
-    n_touched = touched.count()
-    entries = shared.agg(F.sum("df")).first()[0] or 0
-    often = shared.where(F.col("df") >= max(OFTEN, entries // 2**20)).select("token", "df").distinct().orderBy("token").toArrow()
-    tokens, df = (often.column(n).to_numpy() for n in ("token", "df"))  # at most 2^20 tokens
-    frequent = (tokens, np.argsort(np.lexsort((tokens, df))))
-    drop_stored(shared)
+
+    sets = stored(class_sets(docs, touched), "sets")
+    ordered = stored(ordered_tokens(sets), "ordered")
+    release(spark)
+    keys = stored(postings(ordered), "keys")
 
     def verify(pairs: DataFrame) -> DataFrame:
         """The pairs whose sets have 100 |A and B| >= 75 |A or B|."""
-        n = classes.select("cid", "n")
-        k = pairs.join(n.select(F.col("cid").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("cid").alias("b"), F.col("n").alias("nb")), "b")
-        k = k.where("4 * least(na, nb) >= 3 * greatest(na, nb)")
-        if "shared" in k.columns:
-            k = _enough(k, unknown).select("a", "b", "na", "nb")
-        k = stored(k, "pairs")
-        ids = k.select(F.col("a").alias("cid")).unionByName(k.select(F.col("b").alias("cid"))).distinct()
-        wanted = stored(ids.join(classes.select("cid", "doc_id"), "cid"), "wanted")
-        sets = stored(class_sets(docs, wanted, wanted.count()), "sets")
-        got = k.join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tb")), "b").join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("ta")), "a")
+        sizes = sets.select("cid", "n")
+        pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b").where("4 * least(na, nb) >= 3 * greatest(na, nb)")
+        got = pairs.join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tb")), "b").join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("ta")), "a")
         got = got.withColumn("both", F.size(F.array_intersect("ta", "tb")))
-        out = stored(got.where("100 * both >= 75 * (na + nb - both)").select("a", "b"), "links")
-        for t in (k, wanted, sets):
-            drop_stored(t)
-        del got, sets, k
-        release(spark)
-        return out
-
-    met = join_small(docs.select("doc_id", "text"), touched.select("doc_id"), ["doc_id"], "left_semi", n_touched)
-    keys = _shared_keys(met, frequent)
-    release(spark)
-    spread = keys.where("kind > 0").withColumn("rows", F.count("*").over(Window.partitionBy("key", "kind")))
-    unknown = stored(spread.where(f"kind = 2 or rows > {LIGHT}").groupBy("id").agg(F.count("*").alias("u")), "unknown")
-    sizes = classes.select(F.col("cid").alias("id"), "n").join(keys.where("kind > 0").groupBy("id").agg(F.count("*").cast("int").alias("reach")), "id")
-    sizes = sizes.withColumn("reach", F.when(F.col("n") <= COMBINED * 4 // 3, F.col("n").cast("int")).otherwise(F.col("reach")))
-    labels = link(*(keys.where(F.col("kind") == kind).select("key", "id") for kind in range(3)), verify, lambda left: left.select("key", "id").join(sizes, "id")) if n_touched else None
+        return stored(got.where("100 * both >= 75 * (na + nb - both)").select("a", "b"), "links")
+
+    labels = link(keys, verify, _marks(ordered), _fit)
     comp = classes.select("cid", "doc_id", "size")
     comp = comp.withColumn("comp", F.col("cid")) if labels is None else join_small(comp, labels.withColumnRenamed("id", "cid"), ["cid"], "left").withColumn("comp", F.coalesce("comp", "cid"))
     comp = stored(comp, "comp")

@@ -217,11 +217,10 @@ def merge_scan(rows: DataFrame, hot: np.ndarray, keep_new: bool) -> DataFrame:
 
 def windows(docs: DataFrame, compare: DataFrame, hot: np.ndarray, length: int = LENGTH) -> DataFrame:
     """Runs to compare with their bytes; those of common k-grams window by window."""
-    n = compare.count()
     # Two integers a run keep the lists small: its k-gram, and place, number of windows and freshness together.
     packed = F.shiftleft(F.col("first").cast("long"), 20) + F.col("count") * 2 + F.col("fresh").cast("int")
     wanted = compare.groupBy("doc_id").agg(F.flatten(F.collect_list(F.array("h", packed))).alias("runs"))
-    texts = join_small(docs.select("doc_id", "text"), wanted, ["doc_id"], "inner", n)
+    texts = join_small(docs.select("doc_id", "text"), wanted, ["doc_id"], "inner")
     common = docs.sparkSession.sparkContext.broadcast(hot)
     schema = "part long, h long, doc_id long, first int, fresh boolean, bytes binary"
 
