@@ -74,9 +74,15 @@ def number_before_unit(c: str | Column, unit: str = "m") -> Column:
 
 
 def first_heading(html: str | Column) -> Column:
-    """Text of the first h1, h2 or h3 without tags."""
+    """Text of the first h1, h2 or h3; a tag counts as a space, white space as one space."""
     inner = F.regexp_extract(html, r"(?is)<h[1-3][^>]*>(.*?)</h[1-3]>", 1)
-    return F.trim(F.regexp_replace(inner, r"<[^>]+>", ""))
+    return F.trim(F.regexp_replace(F.regexp_replace(inner, r"<[^>]+>", " "), r"\s+", " "))
+
+
+def parse_bool(c: str | Column) -> Column:
+    """true for 1, true, yes and false for 0, false, no in any case; null for all else."""
+    t = F.lower(clean(c))
+    return F.when(t.isin("1", "true", "yes"), True).when(t.isin("0", "false", "no"), False)
 
 
 def make_key(date: str | Column, place: str | Column, number: str | Column) -> Column:

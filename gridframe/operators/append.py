@@ -25,11 +25,22 @@ def row_hash(columns: Sequence[str]) -> Column:
     return F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]), 256)
 
 
-def logical_hash(df: DataFrame, columns: Sequence[str], prefix: int = 2) -> DataFrame:
-    """One row: rows and a content hash that ignores their order: row hashes, hashed in order by bucket, then the buckets."""
-    rows = df.select(row_hash(columns).alias("h")).withColumn("b", F.substring("h", 1, prefix))
-    buckets = rows.groupBy("b").agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("h"), F.count("*").alias("n"))
-    return buckets.agg(F.sum("n").alias("n_rows"), F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("b", "h"))), lambda x: x["h"]), ""), 256).alias("content_hash"))
+def logical_hash(df: DataFrame, columns: Sequence[str], prefix: int | None = None, bucket_rows: int = 1 << 20) -> DataFrame:
+    """One row: rows and a content hash that ignores their order: row hashes, hashed in order by bucket, then the buckets.
+
+    A bucket is a prefix of hex digits of the row hashes. Without `prefix` it is two digits, or as many as keep a bucket
+    at about `bucket_rows` rows; more than two are folded two by two, so that no step gathers more than 256 hashes.
+    """
+    rows = df.select(row_hash(columns).alias("h"))
+    if prefix is None:
+        n, prefix = df.count(), 2
+        while n > bucket_rows * 16**prefix:
+            prefix += 2
+    ordered = lambda c: F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("b", "h"))), lambda x: x["h"]), ""), 256).alias("h")
+    level = rows.groupBy(F.substring("h", 1, prefix).alias("b")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("h"), F.count("*").alias("n"))
+    for digits in range(prefix - 2, 0, -2):
+        level = level.withColumn("up", F.substring("b", 1, digits)).groupBy("up").agg(ordered("b"), F.sum("n").alias("n")).withColumnRenamed("up", "b")
+    return level.agg(F.sum("n").alias("n_rows"), ordered("b").alias("content_hash"))
 
 
 def drift(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
@@ -57,12 +68,105 @@ def append_batch(new: DataFrame, path: str, batch_id: str, key: str) -> int:
     return spark.read.parquet(path).where(F.col("batch_id") == batch_id).count()
 
 
-def dry_run(new: DataFrame, old: DataFrame, group: str) -> DataFrame:
-    """One ledger row: rows and groups before, added and after, without writing anything."""
+def dry_run(new: DataFrame, old: DataFrame, group: str, expected: int | None = None) -> DataFrame:
+    """One ledger row: rows and groups before, added and after, without writing anything.
+
+    With `expected` it also records the number of groups that were announced and whether it fits; it is not enforced.
+    """
     fresh = new_only(new, old, group).agg(F.count("*").alias("added_rows"), F.countDistinct(group).alias("added_groups"))
     before = old.agg(F.count("*").alias("before_rows"), F.countDistinct(group).alias("before_groups"))
     j = before.join(fresh)
-    return j.withColumns({"after_rows": F.col("before_rows") + F.col("added_rows"), "after_groups": F.col("before_groups") + F.col("added_groups")})
+    j = j.withColumns({"after_rows": F.col("before_rows") + F.col("added_rows"), "after_groups": F.col("before_groups") + F.col("added_groups")})
+    if expected is None:
+        return j
+    given = new.agg(F.countDistinct(group).alias("actual_groups"))
+    return j.join(given).withColumns({"expected_groups": F.lit(expected).cast("long"), "as_expected": F.col("actual_groups") == expected})
+
+
+#: The steps of an append, in order.
+STEPS = ["backup", "append", "load", "export", "audit", "manifest", "log"]
+
+
+class AppendRun:
+    """An append in seven recorded steps. A run that broke off is resumed: steps in the ledger are not done again.
+
+    Every step writes to a place named by the batch, so one that broke off half-way is simply written anew, and a batch is
+    never in the table twice. `root` is a folder that driver and executors share.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, batch_id: str, group: str) -> None:
+        self.spark, self.root, self.batch_id, self.group = spark, root, batch_id, group
+        self.table = f"{root}/table"
+
+    def _exists(self, path: str) -> bool:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
+
+    def done(self) -> list[str]:
+        """The steps that the ledger has of this batch."""
+        return [s for s in STEPS if self._exists(f"{self.root}/ledger/batch_id={self.batch_id}/step={s}/_SUCCESS")]
+
+    def _own(self) -> DataFrame:
+        return self.spark.read.parquet(self.table).where(F.col("batch_id") == self.batch_id)
+
+    def _write(self, df: DataFrame, name: str) -> int:
+        path = f"{self.root}/{name}/batch_id={self.batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path).count()
+
+    def run(self, new: DataFrame, stop_after: str | None = None) -> list[str]:
+        """Do the steps that are left (up to `stop_after`) and return their names."""
+        left = [s for s in STEPS if s not in self.done()]
+        for step in left:
+            rows = getattr(self, f"_{step}")(new)
+            entry = self.spark.range(1).select(F.lit(rows).cast("long").alias("n_rows"), F.lit("done").alias("status"))
+            entry.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/ledger/batch_id={self.batch_id}/step={step}")
+            if step == stop_after:
+                return left[: left.index(step) + 1]
+        return left
+
+    def _backup(self, new: DataFrame) -> int:
+        """The batches that were there before and their sizes; partitions are never rewritten by another batch."""
+        if not self._exists(self.table):
+            return 0
+        before = self.spark.read.parquet(self.table).where(F.col("batch_id") != self.batch_id)
+        return self._write(before.groupBy(F.col("batch_id").alias("batch")).agg(F.count("*").alias("n_rows")), "backup")
+
+    def _append(self, new: DataFrame) -> int:
+        return append_batch(new, self.table, self.batch_id, self.group)
+
+    def _load(self, new: DataFrame) -> int:
+        """All rows of the batch are in the table, none of their groups in another batch."""
+        own = self._own()
+        twice = own.select(self.group).distinct().join(self.spark.read.parquet(self.table).where(F.col("batch_id") != self.batch_id), self.group, "left_semi")
+        if twice.limit(1).count():
+            raise ValueError(f"batch {self.batch_id} shares groups with another batch")
+        return own.count()
+
+    def _export(self, new: DataFrame) -> int:
+        return self._write(self._own().drop("batch_id"), "export")
+
+    def _audit(self, new: DataFrame) -> int:
+        kinds = self._own().drop("batch_id")
+        return self._write(kinds.agg(F.count("*").alias("n_rows"), F.countDistinct(self.group).alias("n_groups"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in kinds.columns]), "audit")
+
+    def _manifest(self, new: DataFrame) -> int:
+        columns = [c for c in self._own().columns if c != "batch_id"]
+        one = logical_hash(self._own(), columns).withColumn("columns", F.lit(",".join(columns)))
+        return self._write(one.select(F.to_json(F.struct("*")).alias("value")), "manifest")
+
+    def _log(self, new: DataFrame) -> int:
+        return self._write(new.agg(F.count("*").alias("received")).withColumn("appended", F.lit(self._own().count())), "log")
+
+    def ledger(self) -> DataFrame:
+        """batch_id, step, n_rows, status of all batches."""
+        return self.spark.read.parquet(f"{self.root}/ledger").select("batch_id", "step", "n_rows", "status")
+
+
+def json_manifest(df: DataFrame, path: str) -> DataFrame:
+    """Write a one-row table as one JSON text (pretty, in one file) and read it back; the committer publishes it whole."""
+    df.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    return df.sparkSession.read.schema(df.schema).json(path, multiLine=True)
 
 
 def apply_guard(steps: DataFrame, batch: str, hash_column: str) -> DataFrame:

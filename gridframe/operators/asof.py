@@ -13,13 +13,6 @@ def prior(entity: list[str], day: str):
     return Window.partitionBy(*entity).orderBy(day).rangeBetween(Window.unboundedPreceding, -1)
 
 
-def last_rows(df: DataFrame, value: Column, entity: str, day: str, order: list[str], n: int = 5) -> Column:
-    """The last n rows' value(s) of strictly earlier days: the frame before the day's first row."""
-    w = Window.partitionBy(entity).orderBy(day, *order)
-    before = w.rowsBetween(-n, -1)
-    return F.first(value.over(before)).over(Window.partitionBy(entity, day).orderBy(*order))
-
-
 def add_counts(df: DataFrame, entity: str, day: str) -> DataFrame:
     """prior_count: rows of earlier days, null at a cold start."""
     return df.withColumn("prior_count", F.nullif(F.count("*").over(prior([entity], day)), F.lit(0)))
@@ -83,6 +76,18 @@ def interval_join(df: DataFrame, intervals: DataFrame, on: list[str], day: str,
     return both.withColumn("interval_id", F.when(valid, F.col("_g.interval_id"))).drop("_at", "_kind", "_i", "_g")
 
 
+def verified_interval(df: DataFrame, intervals: DataFrame, on: list[str], day: str, start: str, end: str, grade: str, accepted: list[str]) -> DataFrame:
+    """interval_join over intervals of accepted evidence only, with `verified` and the reason where there is none."""
+    good = intervals.where(F.col(grade).isin(*accepted))
+    out = interval_join(df, good, on, day, start, end)
+    # Whether any accepted interval began before: then the one that did has ended.
+    first = good.groupBy(*on).agg(F.min(start).alias("_first"))
+    out = out.join(first, on, "left")
+    none = ~F.coalesce(F.col("_first") < F.col(day), F.lit(False))
+    reason = F.when(F.col("interval_id").isNotNull(), "verified").when(none, "no_earlier_interval").otherwise("interval_ended")
+    return out.withColumns({"verified": F.col("interval_id").isNotNull(), "reason": reason}).drop("_first")
+
+
 def fold_members(df: DataFrame, roles: DataFrame, date: str) -> DataFrame:
     """Every (row, fold, role) whose date lies between the role's bounds; roles is a table of a few rows a fold."""
     return df.join(F.broadcast(roles), F.col(date).between(F.col("start"), F.col("stop")))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridframe.operators.quantiles import exact_quantiles
+
 
 def blank(c: str) -> Column:
     return F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == "")
@@ -88,7 +90,8 @@ def derived_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """feature with mean, population deviation and percentiles (linear interpolation)."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns])).alias("x")).select("x.*")
     qs = [0.01, 0.05, 0.5, 0.95, 0.99]
-    g = long.groupBy("feature").agg(F.count("v").alias("n"), F.count_if(F.col("v").isNull()).alias("cold"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.percentile("v", F.array(*map(F.lit, qs))).alias("q"))
+    g = long.groupBy("feature").agg(F.count("v").alias("n"), F.count_if(F.col("v").isNull()).alias("cold"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
+    g = g.join(exact_quantiles(long, "v", qs, ["feature"]).withColumnRenamed("quantiles", "q"), "feature", "left")
     return g.select("feature", "n", "cold", "mean", "std", *[F.get("q", i).alias(f"p{int(q * 100):02d}") for i, q in enumerate(qs)])
 
 

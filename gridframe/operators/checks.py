@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridframe.functions.text import blank_to_null, clean
+from gridframe.functions.text import blank_to_null, clean, parse_bool
 
 ISSUE = ["row_no", "group_id", "column", "rule", "message"]
 
@@ -20,9 +20,11 @@ def _breaks(kind: str, v: Column, arg) -> Column:
     if kind == "date":
         return ~((F.length(v) == 10) & v.rlike(r"^\d{4}-\d{2}-\d{2}$") & v.try_cast("date").isNotNull())
     if kind == "int":
-        return ~v.rlike(r"^-?\d+$")
+        return ~v.rlike(r"(?U)^-?\d+$")
     if kind == "decimal":
         return v.try_cast("double").isNull()
+    if kind == "bool":
+        return parse_bool(v).isNull()
     if kind == "status":
         return ~(v.isin(*arg) | (v.rlike(r"^\d+$") & F.coalesce(v.try_cast("long") > 0, F.lit(False))))
     raise ValueError(f"no rule kind {kind}")
@@ -68,8 +70,9 @@ def schema_issues(columns: Sequence[str], contract: Sequence[str], forbidden: Se
 
 
 def overlap(new: DataFrame, old: DataFrame, key: str, limit: int = 50) -> DataFrame:
-    """First keys (sorted) of new that old has too."""
-    return new.select(key).distinct().join(old.select(key).distinct(), key, "left_semi").orderBy(key).limit(limit)
+    """First keys (sorted) of new that old has too, each with the number of all of them."""
+    both = new.select(key).distinct().join(old.select(key).distinct(), key, "left_semi")
+    return both.orderBy(key).limit(limit).crossJoin(F.broadcast(both.agg(F.count("*").alias("n_all"))))  # one row
 
 
 def scope_issues(df: DataFrame, column: str, required: str | None = None) -> DataFrame:
@@ -137,8 +140,20 @@ def reconcile(manifest: DataFrame, listing: DataFrame, key: str, hash_column: st
     return both.select(F.col(key).alias("key"), status.alias("status"))
 
 
-def accept_batch(new: DataFrame, old: DataFrame, group: str, member: str, ordinal: str, declared: str, scope: str, meta: Sequence[str], rules: Sequence = ()) -> DataFrame:
-    """rule, issues: number of issues of every check on an incoming batch; an empty batch is an issue itself."""
+def id_issues(df: DataFrame, id_column: str, pattern: str, parts: Sequence[Column]) -> DataFrame:
+    """Rows whose id doesn't match the pattern, or whose columns differ from the id's groups in order."""
+    v = F.col(id_column).cast("string")
+    same = F.lit(True)
+    for k, part in enumerate(parts, 1):
+        same = same & (F.regexp_extract(v, pattern, k) == part.cast("string"))
+    return df.where(~F.coalesce(v.rlike(pattern) & same, F.lit(False)))
+
+
+def accept_batch(new: DataFrame, old: DataFrame, group: str, member: str, ordinal: str, declared: str, scope: str, meta: Sequence[str], rules: Sequence = (), contract: Sequence[str] | None = None, ids: tuple | None = None) -> DataFrame:
+    """rule, issues: number of issues of every check on an incoming batch; an empty batch is an issue itself.
+
+    `contract` is the header that both tables must have in order, `ids` the arguments of id_issues behind the table.
+    """
     parts = {
         "rows": check_rows(new, rules, ordinal, group) if rules else new.limit(0),
         "duplicates": duplicates_in_group(new, group, member, ordinal),
@@ -147,7 +162,12 @@ def accept_batch(new: DataFrame, old: DataFrame, group: str, member: str, ordina
         "metadata": metadata_conflicts(new, group, meta),
         "scope": scope_issues(new, scope).where("verdict <> 'ok'"),
     }
+    if ids is not None:
+        parts["identity"] = id_issues(new, *ids)
     out = new.agg(F.when(F.count("*") == 0, 1).otherwise(0).cast("long").alias("issues")).select(F.lit("empty").alias("rule"), "issues")
     for name, issues in parts.items():
         out = out.unionByName(issues.agg(F.count("*").alias("issues")).select(F.lit(name).alias("rule"), "issues"))
+    if contract is not None:
+        wrong = len(schema_issues(new.columns, contract)) + len(schema_issues(old.columns, contract))
+        out = out.unionByName(new.sparkSession.range(1).select(F.lit("header").alias("rule"), F.lit(wrong).cast("long").alias("issues")))
     return out

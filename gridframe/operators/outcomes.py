@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from gridframe.functions.orders import class_id
 
 
-def target_status(entries: DataFrame, group: str, lane: str, finish: str, lanes: int = 6, least: int | None = None, extra: Sequence[Column] = ()) -> DataFrame:
+def target_status(entries: DataFrame, group: str, lane: str, finish: str, lanes: int = 6, least: int | None = None, extra: Sequence[Column] = (), settled: str | None = None) -> DataFrame:
     """Group, status (void, tied, unique_order), lanes at 1, 2, 3 and the class.
 
-    Void: fewer than `least` entries (exactly `lanes` when it is not given), a lane twice or beyond `lanes`; tied: a finish twice.
+    Void: not `settled` (a flag of the group's rows, if given), fewer than `least` entries (exactly `lanes` when it is not
+    given), a lane twice or beyond `lanes`, or a finish that is missing or outside 1 to `lanes`; else tied: a finish twice.
     """
     g = entries.groupBy(group).agg(
         F.count("*").alias("n"),
@@ -21,14 +22,16 @@ def target_status(entries: DataFrame, group: str, lane: str, finish: str, lanes:
         F.countDistinct(finish).alias("n_finishes"),
         F.max(lane).alias("max_lane"),
         F.min(lane).alias("min_lane"),
+        F.count_if(~F.coalesce(F.col(finish).between(1, lanes), F.lit(False))).alias("n_outside"),
+        (F.min(F.col(settled).cast("int")) if settled else F.lit(1)).alias("settled"),
         *[F.max(F.when(F.col(finish) == k, F.col(lane))).alias(f"f{k}") for k in (1, 2, 3)],
         *extra,
     )
     wrong = (F.col("n") != lanes) if least is None else (F.col("n") < least)
-    void = wrong | (F.col("n") != F.col("n_lanes")) | (F.col("max_lane") > lanes) | (F.col("min_lane") < 1)
+    void = wrong | (F.col("n") != F.col("n_lanes")) | (F.col("max_lane") > lanes) | (F.col("min_lane") < 1) | (F.col("n_outside") > 0) | (F.coalesce("settled", F.lit(0)) < 1)
     status = F.when(void, "void").when(F.col("n_finishes") < F.col("n"), "tied").otherwise("unique_order")
     out = g.withColumn("target_status", status)
-    return out.withColumn("class_id", F.when(F.col("target_status") == "unique_order", class_id("f1", "f2", "f3"))).drop("min_lane")
+    return out.withColumn("class_id", F.when(F.col("target_status") == "unique_order", class_id("f1", "f2", "f3"))).drop("min_lane", "n_outside", "settled")
 
 
 def reasons(*parts: tuple[str, Column]) -> Column:
@@ -36,6 +39,46 @@ def reasons(*parts: tuple[str, Column]) -> Column:
     return F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(cond, name) for name, cond in parts]))))
 
 
+def _differs(column: str):
+    return lambda x: x != F.col(column)
+
+
+def exclusion_reasons(facts: DataFrame, entries: DataFrame, group: str, required: Sequence[str], lane: str, entity: str, identity: Sequence[str], lanes: int) -> DataFrame:
+    """group, reasons: why a group can't be predicted; empty where it can.
+
+    missing_facts, duplicate_facts, missing:column of a required fact, entry_count, lane_set, missing_entity, and
+    identity:column where an entry's column differs from the fact's. Groups of either side come.
+    """
+    f = facts.groupBy(group).agg(F.count("*").alias("_facts"), *[F.count_if(F.trim(F.col(c).cast("string")).isin("") | F.col(c).isNull()).alias(f"_m_{c}") for c in required], *[F.first(c).alias(f"_f_{c}") for c in identity])
+    e = entries.groupBy(group).agg(
+        F.count("*").alias("_n"),
+        F.sort_array(F.collect_set(F.col(lane).cast("int"))).alias("_lanes"),
+        F.count_if(F.col(entity).isNull()).alias("_no_entity"),
+        *[F.collect_set(c).alias(f"_e_{c}") for c in identity],
+    )
+    j = f.join(e, group, "full_outer")
+    none = F.coalesce("_n", F.lit(0))
+    why = reasons(
+        ("missing_facts", F.col("_facts").isNull()),
+        ("duplicate_facts", F.col("_facts") > 1),
+        *[(f"missing:{c}", F.col(f"_m_{c}") > 0) for c in required],
+        ("entry_count", none != lanes),
+        ("lane_set", ~F.coalesce(F.col("_lanes") == F.sequence(F.lit(1), F.lit(lanes)), F.lit(False))),
+        ("missing_entity", F.col("_no_entity") > 0),
+        *[(f"identity:{c}", F.exists(f"_e_{c}", _differs(f"_f_{c}"))) for c in identity],
+    )
+    return j.select(group, why.alias("reasons"))
+
+
+def completeness_reasons(entries: DataFrame, group: str, lane: str, lane_fields: Sequence[str], group_fields: Sequence[str], lanes: int) -> DataFrame:
+    """group, reasons: lane_set, lane_repeated, missing:laneK:field and missing:field of a group's program or preview rows."""
+    rows = entries.groupBy(group, lane).agg(F.count("*").alias("n"), *[F.max(F.col(c).isNull()).alias(c) for c in [*lane_fields, *group_fields]])
+    own = F.array_compact(F.array(*[F.when(F.col(c), F.concat(F.lit("missing:lane"), F.col(lane).cast("string"), F.lit(f":{c}"))) for c in lane_fields], F.when(F.col("n") > 1, F.lit("lane_repeated"))))
+    g = rows.withColumn("_own", own).groupBy(group).agg(F.flatten(F.collect_list("_own")).alias("_own"), F.sort_array(F.collect_set(F.col(lane).cast("int"))).alias("_lanes"), *[F.max(c).alias(c) for c in group_fields])
+    whole = F.array_compact(F.array(F.when(F.col("_lanes") != F.sequence(F.lit(1), F.lit(lanes)), "lane_set"), *[F.when(F.col(c), f"missing:{c}") for c in group_fields]))
+    return g.select(group, F.array_sort(F.array_distinct(F.concat("_own", whole))).alias("reasons"))
+
+
 def outcome_class(results: DataFrame, group: str, lane: str, place: str, payout_count: str | None = None) -> DataFrame:
     """Group and outcome: tied if one of places 1 to 3 has several lanes (or several payouts), unique_order for a full permutation,
     unique_top3_abnormal if only the top three are clear, else void."""
@@ -64,8 +107,13 @@ def scorable(rows: DataFrame, eligible: str, outcome: str, expected: str, combos
     return rows.withColumn("scorable", F.coalesce(ok, F.lit(False)))
 
 
-def build_snapshot(entries: DataFrame, group: str, lane: str, finish: str, meta: Sequence[str], features: Sequence[str], required: Sequence[str], least: int = 3) -> dict[str, DataFrame]:
-    """The snapshot's tables: group_features, entry_features, targets, auxiliary, eligibility."""
+def build_snapshot(entries: DataFrame, group: str, lane: str, finish: str, meta: Sequence[str], features: Sequence[str], required: Sequence[str], least: int = 3, store: Callable[[DataFrame, str], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The snapshot's tables: group_features, entry_features, targets, auxiliary, eligibility.
+
+    `store` writes a table and reads it back; with it the entries and the groups are computed once for all five tables.
+    """
+    if store:
+        entries = store(entries.select(group, lane, finish, *dict.fromkeys([*meta, *features, *required])), "entries")
     missing = [F.count_if(F.col(c).isNull()).alias(f"_m_{c}") for c in required]
     status = target_status(entries, group, lane, finish, least=least, extra=[*[F.first(c).alias(c) for c in meta], *missing])
     why = reasons(
@@ -75,6 +123,8 @@ def build_snapshot(entries: DataFrame, group: str, lane: str, finish: str, meta:
         ("lane_range", F.col("max_lane") > 6),
     )
     full = status.withColumn("why", why).withColumn("eligible", F.size("why") == 0)
+    if store:
+        full = store(full, "groups")
     target_reason = F.when(F.col("target_status") != "unique_order", F.concat(F.lit("target_"), "target_status"))
     all_reasons = F.array_join(F.array_sort(F.array_compact(F.concat("why", F.array(target_reason)))), "|")
     eligibility = full.select(group, *meta, "target_status", "eligible", (F.col("eligible") & (F.col("target_status") == "unique_order")).alias("main"), all_reasons.alias("reasons"))

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridframe.operators.quantiles import exact_quantiles, ordered_places
+
 
 def loss(p: Column) -> Column:
     """-ln p, infinite at zero and below."""
@@ -37,21 +39,21 @@ def class_losses(pred: DataFrame, p: str, actual: str) -> DataFrame:
 
 def metrics(losses: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Mean losses, hit rates, ranks and tails per group."""
-    qs = F.percentile("log_loss", F.array(F.lit(0.9), F.lit(0.95), F.lit(0.99)))
-    return losses.groupBy(*by).agg(
+    tails = exact_quantiles(losses, "log_loss", [0.9, 0.95, 0.99], by).withColumnRenamed("quantiles", "_tails")
+    middle = exact_quantiles(losses, "rank", [0.5], by).withColumnRenamed("quantiles", "_middle")
+    means = losses.groupBy(*by).agg(
         F.count("*").alias("n"),
         F.avg("log_loss").alias("log_loss"),
         F.avg("brier").alias("brier"),
-        *[F.avg((F.col("rank") <= k).cast("double")).alias(f"hit_{k}") for k in (1, 3, 5)],
+        *[F.avg((F.col("rank") <= k).cast("double")).alias(f"hit_{k}") for k in (1, 3, 5, 10, 20)],
         F.avg("rank").alias("mean_rank"),
-        F.percentile("rank", F.lit(0.5)).alias("median_rank"),
         F.avg(1 / F.col("rank")).alias("mrr"),
-        F.get(qs, 0).alias("loss_p90"),
-        F.get(qs, 1).alias("loss_p95"),
-        F.get(qs, 2).alias("loss_p99"),
         F.max("log_loss").alias("loss_max"),
-        *[F.avg((F.col("p_actual") < t).cast("double")).alias(f"below_1e{e}") for e, t in ((3, 1e-3), (4, 1e-4))],
+        *[F.avg((F.col("p_actual") < t).cast("double")).alias(f"below_1e{e}") for e, t in ((3, 1e-3), (4, 1e-4), (6, 1e-6))],
     )
+    for part in (tails, middle):  # one row a group
+        means = means.join(part, list(by)) if by else means.join(part)
+    return means.withColumns({"median_rank": F.get("_middle", 0), **{f"loss_p{p}": F.get("_tails", i) for i, p in enumerate((90, 95, 99))}}).drop("_tails", "_middle")
 
 
 def order_losses(pred: DataFrame, p: str, actual: str, orders: DataFrame) -> DataFrame:
@@ -91,21 +93,26 @@ def order_losses(pred: DataFrame, p: str, actual: str, orders: DataFrame) -> Dat
 LOSSES = ["order_loss", "winner_loss", "exacta_loss", "set_loss", "second_loss", "third_loss", "brier"]
 
 
-def frequency(df: DataFrame, column: str, domain: DataFrame, tau: float) -> DataFrame:
+def _rows(weight: str | None) -> Column:
+    """Number of rows, or their summed weight where rows are counts already."""
+    return F.count("*") if weight is None else F.sum(weight)
+
+
+def frequency(df: DataFrame, column: str, domain: DataFrame, tau: float, weight: str | None = None) -> DataFrame:
     """Smoothed frequency of each domain value: (count + tau/K) / (N + tau)."""
-    counts = df.groupBy(column).agg(F.count("*").alias("c"))
+    counts = df.groupBy(column).agg(_rows(weight).alias("c"))
     full = domain.select(column).join(counts, column, "left").withColumn("c", F.coalesce("c", F.lit(0)))
     w = Window.partitionBy(F.lit(0))  # one row a domain value
     return full.withColumn("p", (F.col("c") + tau / F.count("*").over(w)) / (F.sum("c").over(w) + tau)).select(column, F.col("c").alias("n"), "p")
 
 
-def hierarchical(df: DataFrame, column: str, levels: list[list[str]], domain: DataFrame, tau: float, least: int) -> DataFrame:
+def hierarchical(df: DataFrame, column: str, levels: list[list[str]], domain: DataFrame, tau: float, least: int, weight: str | None = None) -> DataFrame:
     """Backoff frequencies: the finest level with at least `least` rows, smoothed to its parent; levels go from coarse to fine."""
-    out = frequency(df, column, domain, tau).select(column, "p")
+    out = frequency(df, column, domain, tau, weight).select(column, "p")
     known: list[str] = []
     for level in levels:
-        counts = df.groupBy(*level, column).agg(F.count("*").alias("c"))
-        sizes = df.groupBy(*level).agg(F.count("*").alias("size"))
+        counts = df.groupBy(*level, column).agg(_rows(weight).alias("c"))
+        sizes = df.groupBy(*level).agg(_rows(weight).alias("size"))
         grid = sizes.join(out, known, "inner") if known else sizes.join(F.broadcast(out))
         grid = grid.join(counts, [*level, column], "left").withColumn("c", F.coalesce("c", F.lit(0)))
         own = (F.col("c") + tau * F.col("p")) / (F.col("size") + tau)
@@ -158,6 +165,12 @@ def _adding(share: float):
     return lambda a, b: a + b * share
 
 
+def ranked_codes(counts: DataFrame, n: str, value: str) -> DataFrame:
+    """value, code: 1 for the largest count, ties by value."""
+    placed = ordered_places(counts.select(n, value).withColumn("_one", F.lit(1).cast("long")), [F.desc(n), F.col(value)], "_one")
+    return placed.select(value, (F.col("start") + 1).cast("int").alias("code"))
+
+
 def leave_one_out(df: DataFrame, keys: list[str], flag: str) -> DataFrame:
     """Mean of the flag over the other rows of the key, null for a single row."""
     w = Window.partitionBy(*keys)
@@ -166,8 +179,7 @@ def leave_one_out(df: DataFrame, keys: list[str], flag: str) -> DataFrame:
 
 def quantile_edges(train: DataFrame, column: str, bins: int) -> DataFrame:
     """One row: distinct inner edges of equal-frequency bins."""
-    qs = F.array(*[F.lit(k / bins) for k in range(1, bins)])
-    return train.agg(F.array_distinct(F.percentile(column, qs)).alias("edges"))
+    return exact_quantiles(train, column, [k / bins for k in range(1, bins)]).select(F.array_distinct("quantiles").alias("edges"))
 
 
 def bin_of(column: str, edges: str = "edges") -> Column:

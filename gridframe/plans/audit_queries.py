@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from gridframe.operators import asof
 from gridframe.operators import audit as au
 from gridframe.operators import outcomes as oc
+from gridframe.operators.checks import group_size_issues
 from gridframe.plans.registry import query, r6
 from gridframe.plans.views import E, H, T, entry, hist
 from gridframe.session import table
+from gridframe.sources.shared import stored
 
 # ---- audits
 
@@ -62,14 +64,23 @@ def flag_totals(spark, d):
     return entry(spark, d).agg(*[F.count_if(c).alias(n) for n, c in rules.items()])
 
 
-@query("audit_long", "SELECT 'rows' AS section, 'all' AS key, CAST(count(*) AS BIGINT) AS value FROM lineitem UNION ALL SELECT 'groups', 'all', count(DISTINCT l_orderkey) FROM lineitem UNION ALL SELECT 'flag', l_returnflag, count(*) FROM lineitem GROUP BY l_returnflag UNION ALL SELECT 'month', strftime(l_shipdate, '%Y-%m'), count(DISTINCT l_orderkey) FROM lineitem GROUP BY 2 UNION ALL SELECT 'duplicates', 'all', CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) FROM lineitem")
+@query("audit_long", "SELECT 'rows' AS section, 'all' AS key, CAST(count(*) AS BIGINT) AS value FROM lineitem UNION ALL SELECT 'groups', 'all', count(DISTINCT l_orderkey) FROM lineitem UNION ALL SELECT 'flag', l_returnflag, count(*) FROM lineitem GROUP BY l_returnflag UNION ALL SELECT 'month', strftime(l_shipdate, '%Y-%m'), count(DISTINCT l_orderkey) FROM lineitem GROUP BY 2 UNION ALL SELECT 'duplicates', 'all', CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) FROM lineitem UNION ALL SELECT 'status', l_linestatus, count(*) FROM lineitem GROUP BY 2 UNION ALL SELECT 'missing', 'l_discount', count(*) FROM lineitem WHERE l_discount = 0 UNION ALL SELECT 'missing', 'l_tax', count(*) FROM lineitem WHERE l_tax = 0 UNION ALL SELECT 'gaps', 'all', count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_linenumber) < max(l_linenumber) - min(l_linenumber) + 1) UNION ALL SELECT 'feature', 'large', count(*) FILTER (l_quantity > 25) FROM lineitem UNION ALL SELECT 'feature', 'returned', count(*) FILTER (l_returnflag = 'R') FROM lineitem UNION ALL SELECT 'size', reason, count(*) FROM (SELECT CASE WHEN count(DISTINCT x) = 0 THEN 'missing' WHEN count(DISTINCT x) > 1 THEN 'ambiguous' WHEN abs(max(x) - count(*)) > 1 THEN 'mismatch' END AS reason FROM (SELECT l_orderkey, CASE WHEN l_orderkey % 9 = 0 THEN NULL WHEN l_orderkey % 10 = 0 THEN 3 + l_linenumber % 2 ELSE 4 END AS x FROM lineitem) GROUP BY l_orderkey) WHERE reason IS NOT NULL GROUP BY reason")
 def audit_long(spark, d):
     li = table(spark, d, "lineitem")
     one = au.summary(li, "l_orderkey", "l_shipdate").select(F.expr("stack(2, 'rows', n_rows, 'groups', n_groups) AS (section, value)")).withColumn("key", F.lit("all"))
     flags = au.count_by(li, "l_returnflag").select(F.lit("flag").alias("section"), F.col("value").alias("key"), F.col("n").alias("value"))
     months = au.groups_by(li, F.date_format("l_shipdate", "yyyy-MM"), "l_orderkey").select(F.lit("month").alias("section"), F.col("value").alias("key"), F.col("n_groups").alias("value"))
     dup = li.groupBy("l_orderkey", "l_linenumber").count().agg(F.sum(F.col("count") - 1).alias("value")).select(F.lit("duplicates").alias("section"), F.lit("all").alias("key"), "value")
-    return one.unionByName(flags).unionByName(months).unionByName(dup)
+    long = lambda section, rows, key, value: rows.select(F.lit(section).alias("section"), F.col(key).cast("string").alias("key"), F.col(value).cast("long").alias("value"))
+    blanks = li.select(F.nullif("l_discount", F.lit(0.0)).alias("l_discount"), F.nullif("l_tax", F.lit(0.0)).alias("l_tax"))
+    totals = li.agg(F.count_if(F.col("l_quantity") > 25).alias("large"), F.count_if(F.col("l_returnflag") == "R").alias("returned")).unpivot([], [F.col("large"), F.col("returned")], "key", "value")
+    declared = F.when(F.col("l_orderkey") % 9 == 0, F.lit(None)).when(F.col("l_orderkey") % 10 == 0, 3 + F.col("l_linenumber") % 2).otherwise(4)
+    sizes = group_size_issues(li.withColumn("declared", declared), "l_orderkey", "declared", report_missing=True).groupBy("reason").agg(F.count("*").alias("n"))
+    gaps = au.sequence_gaps(li, ["l_orderkey"], "l_linenumber").agg(F.count("*").alias("n")).withColumn("key", F.lit("all"))
+    parts = [flags, months, dup, long("status", au.count_by(li, "l_linestatus"), "value", "n"), long("missing", au.missing_counts(blanks, ["l_discount", "l_tax"]), "column", "missing"), long("gaps", gaps, "key", "n"), long("feature", totals, "key", "value"), long("size", sizes, "reason", "n")]
+    for part in parts:
+        one = one.unionByName(part)
+    return one
 
 
 _MISS = "discount = 0"
@@ -163,10 +174,25 @@ def regime_profile(spark, d):
     return r.select("regime", "n", r6("rate").alias("rate"), r6("delta").alias("delta"), "jump")
 
 
-@query("leakage_canaries", f"WITH {H}, x AS (SELECT day, max(day) OVER (PARTITION BY entity ORDER BY day RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS source_day FROM h) SELECT 'same_day' AS rule, count(*) FILTER (source_day = day) AS rejected FROM x UNION ALL SELECT 'future_day', count(*) FILTER (source_day > day) FROM x")
+_BAD_SOURCE = "CASE event_id % 11 WHEN 0 THEN day WHEN 1 THEN day + 1 WHEN 2 THEN NULL ELSE day - 1 - event_id % 3 END"
+
+
+@query("leakage_canaries", f"WITH {H}, x AS (SELECT *, {_BAD_SOURCE} AS source_day, CASE WHEN event_id % 13 = 0 THEN entity + 1 ELSE entity END AS source_entity, CASE WHEN event_id % 17 = 0 THEN -1 ELSE 1 END AS source_rows, CASE WHEN event_id % 19 = 0 THEN 'payout' ELSE 'history' END AS source_kind FROM h) SELECT unnest(['same_day', 'future_day', 'other_entity', 'negative_rows', 'forbidden_source', 'rows_without_day', 'too_old']) AS rule, unnest([count(*) FILTER (source_day = day), count(*) FILTER (source_day > day), count(*) FILTER (source_entity <> entity), count(*) FILTER (source_rows < 0), count(*) FILTER (source_kind = 'payout'), count(*) FILTER (source_day IS NULL AND source_rows > 0), count(*) FILTER (day - source_day > 3)]) AS rejected FROM x")
 def leakage_canaries(spark, d):
-    rows = asof.add_lineage(hist(spark, d), "entity", "day")
-    return au.violations(rows, {"same_day": F.col("source_day") == F.col("day"), "future_day": F.col("source_day") > F.col("day")})
+    """Rows whose lineage was spoilt on purpose, by rule; the features themselves have none of these (asof_lineage)."""
+    k = F.col("event_id")
+    source = F.when(k % 11 == 0, F.col("day")).when(k % 11 == 1, F.col("day") + 1).when(k % 11 == 2, F.lit(None)).otherwise(F.col("day") - 1 - k % 3)
+    rows = hist(spark, d).withColumns({"source_day": source, "source_entity": F.when(k % 13 == 0, F.col("entity") + 1).otherwise(F.col("entity")), "source_rows": F.when(k % 17 == 0, -1).otherwise(1), "source_kind": F.when(k % 19 == 0, "payout").otherwise("history")})
+    rules = {
+        "same_day": F.col("source_day") == F.col("day"),
+        "future_day": F.col("source_day") > F.col("day"),
+        "other_entity": F.col("source_entity") != F.col("entity"),
+        "negative_rows": F.col("source_rows") < 0,
+        "forbidden_source": F.col("source_kind") == "payout",
+        "rows_without_day": F.col("source_day").isNull() & (F.col("source_rows") > 0),
+        "too_old": F.col("day") - F.col("source_day") > 3,
+    }
+    return au.violations(rows, rules)
 
 
 # ---- as-of features
@@ -232,6 +258,66 @@ def target_status(spark, d):
     return oc.target_status(entry(spark, d), "group_id", "lane", "finish", least=3).select("group_id", "target_status", "f1", "f2", "f3", "class_id")
 
 
+@query("target_status_settled", f"WITH {E}, x AS (SELECT *, status <> 'O' AS settled, CASE WHEN group_id % 11 = 0 AND lane = 1 THEN 9 WHEN group_id % 13 = 0 AND lane = 2 THEN NULL ELSE finish END AS place FROM e), g AS (SELECT group_id, min(CASE WHEN settled THEN 1 ELSE 0 END) AS ok, count(*) AS n, count(DISTINCT lane) AS nl, min(lane) AS lo, max(lane) AS hi, count(DISTINCT place) AS np, count(*) FILTER (place IS NULL OR place NOT BETWEEN 1 AND 6) AS outside, max(CASE WHEN place = 1 THEN lane END) AS f1, max(CASE WHEN place = 2 THEN lane END) AS f2, max(CASE WHEN place = 3 THEN lane END) AS f3 FROM x GROUP BY group_id) SELECT group_id, CASE WHEN ok = 0 OR n < 3 OR n <> nl OR lo < 1 OR hi > 6 OR outside > 0 THEN 'void' WHEN np < n THEN 'tied' ELSE 'unique_order' END AS target_status, f1, f2, f3 FROM g")
+def target_status_settled(spark, d):
+    k = F.col("group_id")
+    place = F.when((k % 11 == 0) & (F.col("lane") == 1), 9).when((k % 13 == 0) & (F.col("lane") == 2), F.lit(None)).otherwise(F.col("finish"))
+    e = entry(spark, d).withColumns({"settled": F.col("status") != "O", "place": place})
+    return oc.target_status(e, "group_id", "lane", "place", least=3, settled="settled").select("group_id", "target_status", "f1", "f2", "f3")
+
+
+def _facts(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("group_id"), F.when(F.col("o_orderkey") % 19 != 0, F.col("o_orderpriority")).alias("priority"), F.when(F.col("o_orderkey") % 21 == 0, " ").otherwise(F.col("o_orderstatus")).alias("clerk"), (F.col("o_orderkey") % 7).alias("place"))
+    o = o.where("group_id % 13 <> 0")
+    return o.unionByName(o.where("group_id % 17 = 0"))
+
+
+_FACTS = "f0 AS (SELECT o_orderkey AS group_id, CASE WHEN o_orderkey % 19 <> 0 THEN o_orderpriority END AS priority, CASE WHEN o_orderkey % 21 = 0 THEN ' ' ELSE o_orderstatus END AS clerk, o_orderkey % 7 AS place FROM orders WHERE o_orderkey % 13 <> 0), f AS (SELECT * FROM f0 UNION ALL SELECT * FROM f0 WHERE group_id % 17 = 0), en AS (SELECT l_orderkey AS group_id, l_linenumber AS lane, CASE WHEN l_suppkey % 23 <> 0 THEN l_suppkey END AS entity, CASE WHEN l_partkey % 29 = 0 THEN -1 ELSE l_orderkey % 7 END AS place FROM lineitem WHERE l_orderkey % 31 <> 0)"
+
+
+def _entries(spark, d):
+    li = table(spark, d, "lineitem").where("l_orderkey % 31 <> 0")
+    return li.select(F.col("l_orderkey").alias("group_id"), F.col("l_linenumber").alias("lane"), F.when(F.col("l_suppkey") % 23 != 0, F.col("l_suppkey")).alias("entity"), F.when(F.col("l_partkey") % 29 == 0, -1).otherwise(F.col("l_orderkey") % 7).alias("place"))
+
+
+_LANES = "list_sort(list(DISTINCT CAST(lane AS INTEGER)))"
+
+
+@query("exclusion_reasons", f"WITH {_FACTS}, a AS (SELECT group_id, count(*) AS facts, count(*) FILTER (priority IS NULL OR trim(priority) = '') AS mp, count(*) FILTER (clerk IS NULL OR trim(clerk) = '') AS mc, any_value(place) AS place FROM f GROUP BY 1), b AS (SELECT group_id, count(*) AS n, {_LANES} AS lanes, count(*) FILTER (entity IS NULL) AS ne, list(DISTINCT place) AS places FROM en GROUP BY 1), j AS (SELECT coalesce(a.group_id, b.group_id) AS group_id, [CASE WHEN facts IS NULL THEN 'missing_facts' END, CASE WHEN facts > 1 THEN 'duplicate_facts' END, CASE WHEN mp > 0 THEN 'missing:priority' END, CASE WHEN mc > 0 THEN 'missing:clerk' END, CASE WHEN coalesce(n, 0) <> 4 THEN 'entry_count' END, CASE WHEN lanes IS NULL OR lanes <> [1, 2, 3, 4] THEN 'lane_set' END, CASE WHEN ne > 0 THEN 'missing_entity' END, CASE WHEN len(list_filter(places, lambda x: x <> place)) > 0 THEN 'identity:place' END] AS r FROM a FULL JOIN b ON a.group_id = b.group_id) SELECT group_id, array_to_string(list_sort(list_filter(r, lambda x: x IS NOT NULL)), '|') AS reasons FROM j")
+def exclusion_reasons(spark, d):
+    out = oc.exclusion_reasons(_facts(spark, d), _entries(spark, d), "group_id", ["priority", "clerk"], "lane", "entity", ["place"], 4)
+    return out.select("group_id", F.array_join("reasons", "|").alias("reasons"))
+
+
+def _complete_sql(rows, lane_fields, group_fields, lanes):
+    own = ", ".join([f"CASE WHEN bool_or({c} IS NULL) THEN 'missing:lane' || lane || ':{c}' END" for c in lane_fields] + ["CASE WHEN count(*) > 1 THEN 'lane_repeated' END"])
+    whole = "".join(f", CASE WHEN bool_or(b_{c}) THEN 'missing:{c}' END" for c in group_fields)
+    marks = "".join(f", bool_or({c} IS NULL) AS b_{c}" for c in group_fields)
+    return f"WITH r AS ({rows}), l AS (SELECT group_id, lane, [{own}] AS own{marks} FROM r GROUP BY group_id, lane), g AS (SELECT group_id, list_concat(flatten(list(own)), [CASE WHEN {_LANES} <> {lanes} THEN 'lane_set' END{whole}]) AS all_ FROM l GROUP BY group_id) SELECT group_id, array_to_string(list_sort(list_distinct(list_filter(all_, lambda x: x IS NOT NULL))), '|') AS reasons FROM g"
+
+
+_PROGRAM = "SELECT l_orderkey AS group_id, CASE WHEN l_orderkey % 37 = 0 AND l_linenumber = 2 THEN 1 ELSE l_linenumber END AS lane, CASE WHEN l_suppkey % 23 <> 0 THEN l_suppkey END AS racer, CASE WHEN l_partkey % 29 <> 0 THEN l_partkey END AS motor, CASE WHEN l_partkey % 31 <> 0 THEN l_partkey END AS boat, CASE WHEN l_orderkey % 11 <> 0 THEN l_shipdate END AS closed_at FROM lineitem"
+
+
+@query("program_reasons", _complete_sql(_PROGRAM, ["racer", "motor", "boat"], ["closed_at"], "[1, 2, 3, 4]"))
+def program_reasons(spark, d):
+    table(spark, d, "lineitem").createOrReplaceTempView("program_lines")
+    rows = spark.sql(_PROGRAM.replace("FROM lineitem", "FROM program_lines"))
+    return oc.completeness_reasons(rows, "group_id", "lane", ["racer", "motor", "boat"], ["closed_at"], 4).select("group_id", F.array_join("reasons", "|").alias("reasons"))
+
+
+_LANE_FIELDS = ["weight", "adjust", "exhibition", "tilt", "course", "start_time", "propeller"]
+_RACE_FIELDS = ["weather", "wind", "wind_direction", "temperature", "water_temperature", "wave"]
+_PREVIEW = "SELECT l_orderkey AS group_id, l_linenumber AS lane, " + ", ".join(f"CASE WHEN (l_partkey + {k}) % {41 + 2 * k} <> 0 THEN l_quantity END AS {c}" for k, c in enumerate(_LANE_FIELDS)) + ", " + ", ".join(f"CASE WHEN (l_orderkey + {k}) % {43 + 2 * k} <> 0 THEN l_tax END AS {c}" for k, c in enumerate(_RACE_FIELDS)) + " FROM lineitem"
+
+
+@query("preview_reasons", _complete_sql(_PREVIEW, _LANE_FIELDS, _RACE_FIELDS, "[1, 2, 3, 4]"))
+def preview_reasons(spark, d):
+    table(spark, d, "lineitem").createOrReplaceTempView("preview_lines")
+    rows = spark.sql(_PREVIEW.replace("FROM lineitem", "FROM preview_lines"))
+    return oc.completeness_reasons(rows, "group_id", "lane", _LANE_FIELDS, _RACE_FIELDS, 4).select("group_id", F.array_join("reasons", "|").alias("reasons"))
+
+
 _ELIG = f"""{E}, {T}, m AS (SELECT group_id, count(*) FILTER (x IS NULL) AS mx FROM (SELECT group_id, CASE WHEN equipment % 50 <> 0 THEN equipment END AS x FROM e) GROUP BY group_id),
 el AS (SELECT t.group_id, venue, target_status, list_sort(list_filter([CASE WHEN mx > 0 THEN 'missing:part' END, CASE WHEN n < 3 THEN 'entry_count' END, CASE WHEN n <> n_lanes THEN 'lane_repeated' END, CASE WHEN max_lane > 6 THEN 'lane_range' END], lambda r: r IS NOT NULL)) AS why FROM t JOIN m USING (group_id)),
 ev AS (SELECT group_id, venue, target_status, len(why) = 0 AS eligible, len(why) = 0 AND target_status = 'unique_order' AS main, array_to_string(list_sort(list_filter(list_concat(why, [CASE WHEN target_status <> 'unique_order' THEN 'target_' || target_status END]), lambda r: r IS NOT NULL)), '|') AS reasons FROM el)"""
@@ -239,7 +325,7 @@ ev AS (SELECT group_id, venue, target_status, len(why) = 0 AS eligible, len(why)
 
 def _snapshot(spark, d):
     e = entry(spark, d).withColumn("part", F.when(F.col("equipment") % 50 != 0, F.col("equipment")))
-    return oc.build_snapshot(e, "group_id", "lane", "finish", ["venue"], ["entity", "price"], ["part"])
+    return oc.build_snapshot(e, "group_id", "lane", "finish", ["venue"], ["entity", "price"], ["part"], store=stored)
 
 
 @query("eligibility", f"WITH {_ELIG} SELECT * FROM ev")
@@ -256,9 +342,33 @@ def snapshot_tables(spark, d):
     return out
 
 
-@query("snapshot_checks", "SELECT unnest(['eligibility_unique', 'targets_unique', 'entries_unique', 'targets_missing', 'targets_extra', 'class_of_unclear', 'class_missing', 'main_not_eligible', 'auxiliary_keys']) AS check_name, CAST(0 AS BIGINT) AS issues")
+_OK = f"{_ELIG}, el2 AS (SELECT * FROM ev), tg AS (SELECT c.group_id, c.target_status, class_id FROM c JOIN ev USING (group_id) WHERE eligible), bt AS (SELECT group_id, CASE WHEN group_id % 5 = 0 THEN 'void' ELSE target_status END AS target_status, CASE WHEN group_id % 7 = 0 THEN NULL ELSE class_id END AS class_id FROM tg WHERE group_id % 11 <> 0 UNION ALL SELECT group_id, target_status, class_id FROM tg WHERE group_id % 13 = 0 AND group_id % 11 <> 0 UNION ALL SELECT -group_id, target_status, class_id FROM tg WHERE group_id % 17 = 0)"
+
+
+@query(
+    "snapshot_checks",
+    f"""WITH {_OK}, dup AS (SELECT count(*) AS n FROM (SELECT group_id FROM bt GROUP BY 1 HAVING count(*) > 1))
+SELECT 'eligibility_unique' AS check_name, CAST(0 AS BIGINT) AS issues UNION ALL SELECT 'targets_unique', n FROM dup UNION ALL SELECT 'entries_unique', count(*) FROM (SELECT group_id, lane FROM e JOIN ev USING (group_id) WHERE eligible AND group_id % 19 = 0 GROUP BY 1, 2)
+UNION ALL SELECT 'targets_missing', count(*) FROM ev WHERE eligible AND group_id % 11 = 0 UNION ALL SELECT 'targets_extra', count(*) FROM bt WHERE group_id < 0
+UNION ALL SELECT 'class_of_unclear', count(*) FROM bt WHERE target_status <> 'unique_order' AND class_id IS NOT NULL UNION ALL SELECT 'class_missing', count(*) FROM bt WHERE target_status = 'unique_order' AND class_id IS NULL
+UNION ALL SELECT 'main_not_eligible', count(*) FROM ev WHERE NOT eligible AND group_id % 2 = 0 UNION ALL SELECT 'auxiliary_keys', count(*) FROM ev WHERE eligible AND group_id % 23 = 0""",
+)
 def snapshot_checks(spark, d):
-    return oc.snapshot_issues(_snapshot(spark, d), "group_id", "lane")
+    """A snapshot that was damaged on purpose: each check finds the rows that were changed."""
+    t = _snapshot(spark, d)
+    k = F.col("group_id")
+    tg = t["targets"].select("group_id", "target_status", "class_id")
+    kept = tg.where("group_id % 11 <> 0")
+    bad = kept.select("group_id", F.when(k % 5 == 0, "void").otherwise(F.col("target_status")).alias("target_status"), F.when(k % 7 != 0, F.col("class_id")).alias("class_id"))
+    bad = bad.unionByName(kept.where("group_id % 13 = 0")).unionByName(tg.where("group_id % 17 = 0").withColumn("group_id", -k))
+    ef = t["entry_features"]
+    damaged = t | {
+        "targets": bad,
+        "entry_features": ef.unionByName(ef.where("group_id % 19 = 0")),
+        "eligibility": t["eligibility"].withColumn("main", F.when(~F.col("eligible") & (k % 2 == 0), True).otherwise(F.col("main"))),
+        "auxiliary": t["auxiliary"].where("group_id % 23 <> 0"),
+    }
+    return oc.snapshot_issues(damaged, "group_id", "lane")
 
 
 @query("snapshot_profile", f"WITH {_ELIG}, dm AS (SELECT unnest(['void', 'tied', 'unique_order', 'abandoned']) AS target_status) SELECT target_status, count(group_id) AS n, count(*) FILTER (eligible) AS eligible, count(*) FILTER (main) AS main FROM dm LEFT JOIN ev USING (target_status) GROUP BY target_status")

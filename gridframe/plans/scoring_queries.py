@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridframe.functions import orders as om
 from gridframe.functions import text as tx
 from gridframe.operators import append as ap
+from gridframe.operators import manifest as mf
 from gridframe.operators import outcomes as oc
 from gridframe.operators import scoring as sc
+from gridframe.operators.quantiles import exact_quantiles
 from gridframe.plans.registry import query, r6
 from gridframe.plans.views import E, P, T, entry, prob
 from gridframe.session import table
 from gridframe.sources import pages as pg
+from gridframe.sources.shared import new_path, stored
 
 _L = f"""{P}, l AS (SELECT vec_id, label, p, p[label + 1] AS pa, -ln(p[label + 1]) AS log_loss, list_sum(list_transform(p, lambda x: x * x)) - 2 * p[label + 1] + 1 AS brier,
  1 + (SELECT count(*) FROM range(1, 11) t(i) WHERE p[i] > p[label + 1] OR (p[i] = p[label + 1] AND i < label + 1)) AS rank FROM p WHERE label BETWEEN 0 AND 9)"""
@@ -32,8 +36,8 @@ def metrics7(spark, d):
     return sc.metrics(_losses(spark, d)).select("n", *[r6(c).alias(c) for c in ("log_loss", "brier", "mean_rank")])
 
 
-_EXT = ["hit_1", "hit_3", "hit_5", "mean_rank", "median_rank", "mrr", "loss_p90", "loss_p95", "loss_p99", "loss_max", "below_1e3", "below_1e4"]
-_EXT_SQL = "round(avg(CASE WHEN rank <= 1 THEN 1.0 ELSE 0 END) + 1e-9, 6) AS hit_1, round(avg(CASE WHEN rank <= 3 THEN 1.0 ELSE 0 END) + 1e-9, 6) AS hit_3, round(avg(CASE WHEN rank <= 5 THEN 1.0 ELSE 0 END) + 1e-9, 6) AS hit_5, round(avg(rank) + 1e-9, 6) AS mean_rank, round(quantile_cont(rank, 0.5) + 1e-9, 6) AS median_rank, round(avg(1 / rank) + 1e-9, 6) AS mrr, round(quantile_cont(log_loss, 0.9) + 1e-9, 6) AS loss_p90, round(quantile_cont(log_loss, 0.95) + 1e-9, 6) AS loss_p95, round(quantile_cont(log_loss, 0.99) + 1e-9, 6) AS loss_p99, round(max(log_loss) + 1e-9, 6) AS loss_max, round(avg(CASE WHEN pa < 1e-3 THEN 1.0 ELSE 0 END) + 1e-9, 6) AS below_1e3, round(avg(CASE WHEN pa < 1e-4 THEN 1.0 ELSE 0 END) + 1e-9, 6) AS below_1e4"
+_EXT = ["hit_1", "hit_3", "hit_5", "hit_10", "hit_20", "mean_rank", "median_rank", "mrr", "loss_p90", "loss_p95", "loss_p99", "loss_max", "below_1e3", "below_1e4", "below_1e6"]
+_EXT_SQL = "round(avg(CASE WHEN rank <= 1 THEN 1.0 ELSE 0 END) + 1e-9, 6) AS hit_1, round(avg(CASE WHEN rank <= 3 THEN 1.0 ELSE 0 END) + 1e-9, 6) AS hit_3, round(avg(CASE WHEN rank <= 5 THEN 1.0 ELSE 0 END) + 1e-9, 6) AS hit_5, round(avg(CASE WHEN rank <= 10 THEN 1.0 ELSE 0 END) + 1e-9, 6) AS hit_10, round(avg(CASE WHEN rank <= 20 THEN 1.0 ELSE 0 END) + 1e-9, 6) AS hit_20, round(avg(rank) + 1e-9, 6) AS mean_rank, round(quantile_cont(rank, 0.5) + 1e-9, 6) AS median_rank, round(avg(1 / rank) + 1e-9, 6) AS mrr, round(quantile_cont(log_loss, 0.9) + 1e-9, 6) AS loss_p90, round(quantile_cont(log_loss, 0.95) + 1e-9, 6) AS loss_p95, round(quantile_cont(log_loss, 0.99) + 1e-9, 6) AS loss_p99, round(max(log_loss) + 1e-9, 6) AS loss_max, round(avg(CASE WHEN pa < 1e-3 THEN 1.0 ELSE 0 END) + 1e-9, 6) AS below_1e3, round(avg(CASE WHEN pa < 1e-4 THEN 1.0 ELSE 0 END) + 1e-9, 6) AS below_1e4, round(avg(CASE WHEN pa < 1e-6 THEN 1.0 ELSE 0 END) + 1e-9, 6) AS below_1e6"
 
 
 @query("metrics_ext", f"WITH {_L} SELECT {_EXT_SQL} FROM l")
@@ -47,6 +51,16 @@ def metrics_rollup(spark, d):
     return x.rollup("model", "fold").agg(F.count("*").alias("n"), r6(F.avg("log_loss")).alias("log_loss"))
 
 
+_BY = {"outcome": "label", "venue": "vec_id % 5", "number": "vec_id % 12", "daypart": "vec_id % 30 // 10"}
+
+
+@query("metrics_by_group", f"WITH {_L} " + " UNION ALL ".join(f"SELECT '{n}' AS dim, CAST({c} AS VARCHAR) AS value, count(*) AS n, round(avg(log_loss) + 1e-9, 6) AS log_loss, round(avg(CASE WHEN rank <= 3 THEN 1.0 ELSE 0 END) + 1e-9, 6) AS hit_3 FROM l GROUP BY {c}" for n, c in _BY.items()))
+def metrics_by_group(spark, d):
+    dims = F.array(*[F.struct(F.lit(n).alias("dim"), F.expr(c.replace("//", "div")).cast("string").alias("value")) for n, c in _BY.items()])
+    x = _losses(spark, d).withColumn("g", F.explode(dims)).select("g.*", "log_loss", "brier", "rank", "p_actual")
+    return sc.metrics(x, ["dim", "value"]).select("dim", "value", "n", r6("log_loss").alias("log_loss"), r6("hit_3").alias("hit_3"))
+
+
 def _pairs(spark, d):
     l = _losses(spark, d).select("vec_id", F.col("log_loss").alias("a"))
     flat = F.transform("p", lambda x: 0.5 * x + 0.05)
@@ -63,6 +77,14 @@ def paired_delta(spark, d):
     return _pairs(spark, d).groupBy("fold").agg(F.count("*").alias("n"), r6(F.avg("delta")).alias("delta"), r6(F.min("delta")).alias("best"), r6(F.max("delta")).alias("worst"))
 
 
+@query("paired_daily", f"WITH {_PAIR}, y AS (SELECT day, sum(delta) AS t FROM d GROUP BY day), f AS (SELECT fold, avg(delta) AS m FROM d GROUP BY fold) SELECT count(*) AS days, count(*) FILTER (t < 0) AS improved_days, (SELECT count(*) FROM f WHERE m < 0) AS improved_folds, (SELECT arg_max(fold, m) FROM f) AS worst_fold, round((SELECT max(m) FROM f) + 1e-9, 6) AS worst_delta FROM y")
+def paired_daily(spark, d):
+    g = stored(_pairs(spark, d).groupBy("fold", "day").agg(F.sum("delta").alias("t"), F.count("*").alias("n")), "daily")
+    days = g.groupBy("day").agg(F.sum("t").alias("t")).agg(F.count("*").alias("days"), F.count_if(F.col("t") < 0).alias("improved_days"))
+    m = g.groupBy("fold").agg((F.sum("t") / F.sum("n")).alias("m"))
+    return days.join(m.agg(F.count_if(F.col("m") < 0).alias("improved_folds"), F.max_by("fold", "m").alias("worst_fold"), r6(F.max("m")).alias("worst_delta")))
+
+
 @query("paired_bootstrap")
 def paired_bootstrap(spark, d):
     daily = _pairs(spark, d).groupBy("day").agg(F.sum("delta").alias("total"), F.count("*").alias("n"))
@@ -90,6 +112,11 @@ def _targets(spark, d):
     return oc.target_status(entry(spark, d), "group_id", "lane", "finish", least=3, extra=[F.first("venue").alias("venue"), F.first("status").alias("status")]).where("class_id is not null").select("group_id", F.col("class_id").cast("int").alias("class_id"), "f1", "f2", "f3", "venue", "status")
 
 
+def _counts(spark, d):
+    """Groups per venue, status and class: a small table that baselines and diagnostics are rolled up from."""
+    return stored(_targets(spark, d).groupBy("venue", "status", "class_id", "f1", "f2", "f3").agg(F.count("*").alias("n")), "classes")
+
+
 _C = f"{E}, {T}, k AS (SELECT group_id, CAST(class_id AS INTEGER) AS class_id, f1, f2, f3, venue, status FROM c WHERE class_id IS NOT NULL)"
 
 
@@ -114,9 +141,11 @@ _DOM = "dm AS (SELECT CAST(range AS INTEGER) AS class_id FROM range(120))"
 _B1 = f"{_C}, {_DOM}, n1 AS (SELECT dm.class_id, count(k.class_id) AS n FROM dm LEFT JOIN k ON dm.class_id = k.class_id GROUP BY 1), b1 AS (SELECT class_id, n, (n + 30.0 / 120) / (sum(n) OVER () + 30.0) AS p FROM n1)"
 
 
-@query("b0", "SELECT CAST(range AS INTEGER) AS class_id, round(1 / 120 + 1e-9, 6) AS p FROM range(120)")
+@query("b0", f"WITH {_C}, {_DOM} SELECT dm.class_id, count(k.class_id) AS n, round(1 / 120 + 1e-9, 6) AS p, round(count(k.class_id) * ln(120) + 1e-9, 6) AS loss FROM dm LEFT JOIN k ON dm.class_id = k.class_id GROUP BY 1")
 def b0(spark, d):
-    return om.class_table(spark).select("class_id", r6(F.lit(1 / om.N_CLASSES)).alias("p"))
+    n = _targets(spark, d).groupBy("class_id").agg(F.count("*").alias("c"))
+    p = om.class_table(spark).select("class_id", F.lit(1 / om.N_CLASSES).alias("p"))
+    return p.join(n, "class_id", "left").select("class_id", F.coalesce("c", F.lit(0)).alias("n"), r6("p").alias("p"), r6(F.coalesce("c", F.lit(0)) * sc.loss(F.col("p"))).alias("loss"))
 
 
 @query("b1", f"WITH {_B1} SELECT class_id, n, round(p + 1e-9, 6) AS p FROM b1")
@@ -126,27 +155,27 @@ def b1(spark, d):
 
 @query("b2", f"WITH {_B1}, sv AS (SELECT venue, count(*) AS size FROM k GROUP BY venue), cv AS (SELECT venue, class_id, count(*) AS c FROM k GROUP BY 1, 2), v AS (SELECT sv.venue, b1.class_id, CASE WHEN size >= 20 THEN (coalesce(c, 0) + 30 * p) / (size + 30) ELSE p END AS p FROM sv CROSS JOIN b1 LEFT JOIN cv ON cv.venue = sv.venue AND cv.class_id = b1.class_id), ss AS (SELECT venue, status, count(*) AS size FROM k GROUP BY 1, 2), cs AS (SELECT venue, status, class_id, count(*) AS c FROM k GROUP BY 1, 2, 3) SELECT ss.venue, ss.status, v.class_id, round(CASE WHEN size >= 20 THEN (coalesce(c, 0) + 30 * p) / (size + 30) ELSE p END + 1e-9, 6) AS p FROM ss JOIN v ON ss.venue = v.venue LEFT JOIN cs ON cs.venue = ss.venue AND cs.status = ss.status AND cs.class_id = v.class_id")
 def b2(spark, d):
-    return sc.hierarchical(_targets(spark, d), "class_id", [["venue"], ["venue", "status"]], om.class_table(spark), 30.0, 20).withColumn("p", r6("p"))
+    return sc.hierarchical(_counts(spark, d), "class_id", [["venue"], ["venue", "status"]], om.class_table(spark), 30.0, 20, "n").withColumn("p", r6("p"))
 
 
 _ST = f"{_C}, la AS (SELECT CAST(unnest(range(1, 7)) AS INTEGER) AS lane), a1 AS (SELECT la.lane AS first, (count(k.f1) + 5.0) / ((SELECT count(*) FROM k) + 30.0) AS p1 FROM la LEFT JOIN k ON k.f1 = la.lane GROUP BY 1), a2 AS (SELECT x.lane AS first, y.lane AS second, (count(k.f1) + 6.0) / ((SELECT count(*) FROM k WHERE f1 = x.lane) + 30.0) AS p2 FROM la x JOIN la y ON x.lane <> y.lane LEFT JOIN k ON k.f1 = x.lane AND k.f2 = y.lane GROUP BY 1, 2), a3 AS (SELECT x.lane AS first, y.lane AS second, z.lane AS third, (count(k.f1) + 7.5) / ((SELECT count(*) FROM k WHERE f1 = x.lane AND f2 = y.lane) + 30.0) AS p3 FROM la x JOIN la y ON x.lane <> y.lane JOIN la z ON z.lane <> x.lane AND z.lane <> y.lane LEFT JOIN k ON k.f1 = x.lane AND k.f2 = y.lane AND k.f3 = z.lane GROUP BY 1, 2, 3)"
 
 
-@query("b3", f"WITH {_ST} SELECT first, second, third, round(p1 * p2 * p3 + 1e-9, 6) AS p FROM a1 JOIN a2 USING (first) JOIN a3 USING (first, second)")
-def b3(spark, d):
-    t = _targets(spark, d)
-    classes = om.class_table(spark)
+def _stages(spark, counts):
+    """first, second, third with c1, c2, c3, n: how many groups begin like that, of all n; one row a class (120)."""
+    whole = lambda k: F.sum("c").over(Window.partitionBy(*["first", "second", "third"][:k]))
+    own = counts.groupBy(F.col("f1").alias("first"), F.col("f2").alias("second"), F.col("f3").alias("third")).agg(F.sum("n").alias("c"))
+    full = om.class_table(spark).select("first", "second", "third").join(F.broadcast(own), ["first", "second", "third"], "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    return full.withColumns({"c1": whole(1), "c2": whole(2), "c3": F.col("c"), "n": F.sum("c").over(Window.partitionBy(F.lit(0)))}).drop("c")
 
-    def stage(names: list[str], name: str, base: float):
-        own = [F.col(f"f{k + 1}").alias(n) for k, n in enumerate(names)]
-        counts = t.select(*own).groupBy(*names).agg(F.count("*").alias("c"))
-        grid = classes.select(*names).distinct().join(counts, names, "left").withColumn("c", F.coalesce("c", F.lit(0)))
-        whole = t.select(*own[:-1]).groupBy(*names[:-1]).agg(F.count("*").alias("n"))
-        grid = grid.join(whole, names[:-1], "left") if len(names) > 1 else grid.join(whole)
-        return grid.select(*names, ((F.col("c") + 30.0 * base) / (F.coalesce("n", F.lit(0)) + 30.0)).alias(name))
 
-    j = sc.stagewise(stage(["first"], "p1", 1 / 6), stage(["first", "second"], "p2", 1 / 5), stage(["first", "second", "third"], "p3", 1 / 4))
-    return j.select("first", "second", "third", r6("p").alias("p"))
+def _stage_probs(stages):
+    return stages.withColumns({"p1": (F.col("c1") + 5.0) / (F.col("n") + 30.0), "p2": (F.col("c2") + 6.0) / (F.col("c1") + 30.0), "p3": (F.col("c3") + 7.5) / (F.col("c2") + 30.0)})
+
+
+@query("b3", f"WITH {_ST} SELECT first, second, third, round(p1 * p2 * p3 + 1e-9, 6) AS p FROM a1 JOIN a2 USING (first) JOIN a3 USING (first, second)")
+def b3(spark, d):
+    return _stage_probs(_stages(spark, _counts(spark, d))).select("first", "second", "third", r6(F.col("p1") * F.col("p2") * F.col("p3")).alias("p"))
 
 
 _GRID = [(0, 0.5), (1, 1.0), (2, 2.0), (3, 4.0)]
@@ -171,7 +200,7 @@ def temperature(spark, d):
 @query("impute_scale", f"WITH {E}, x AS (SELECT group_id, lane, CASE WHEN discount > 0.02 THEN price END AS v, group_id % 2 = 0 AS train FROM e), m AS (SELECT quantile_cont(v, 0.5) FILTER (train) AS med FROM x), f AS (SELECT avg(coalesce(v, med)) AS mean, stddev_pop(coalesce(v, med)) AS std FROM x CROSS JOIN m WHERE train) SELECT group_id, lane, v IS NULL AS was_missing, round((coalesce(v, med) - mean) / std + 1e-9, 6) AS scaled FROM x CROSS JOIN m CROSS JOIN f")
 def impute_scale(spark, d):
     x = entry(spark, d).select("group_id", "lane", F.when(F.col("discount") > 0.02, F.col("price")).alias("v"), (F.col("group_id") % 2 == 0).alias("train"))
-    med = x.where("train").agg(F.percentile("v", F.lit(0.5)).alias("med"))
+    med = exact_quantiles(x.where("train"), "v", [0.5]).select(F.get("quantiles", 0).alias("med"))
     filled = x.join(F.broadcast(med)).withColumn("w", F.coalesce("v", "med"))  # one row
     fit = filled.where("train").agg(F.avg("w").alias("mean"), F.stddev_pop("w").alias("std"))
     return filled.join(F.broadcast(fit)).select("group_id", "lane", F.col("v").isNull().alias("was_missing"), r6((F.col("w") - F.col("mean")) / F.col("std")).alias("scaled"))
@@ -179,11 +208,8 @@ def impute_scale(spark, d):
 
 @query("vocab", "WITH v AS (SELECT p_name, CAST(row_number() OVER (ORDER BY n DESC, p_name) AS INTEGER) AS code FROM (SELECT p_name, count(*) AS n FROM part WHERE p_partkey % 2 = 0 GROUP BY 1 HAVING count(*) >= 20)) SELECT p_partkey, coalesce(code, 0) AS code FROM part LEFT JOIN v USING (p_name)")
 def vocab(spark, d):
-    from pyspark.sql import Window
-
     p = table(spark, d, "part")
-    v = p.where("p_partkey % 2 = 0").groupBy("p_name").agg(F.count("*").alias("n")).where("n >= 20")
-    v = v.withColumn("code", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "p_name"))).drop("n")
+    v = sc.ranked_codes(p.where("p_partkey % 2 = 0").groupBy("p_name").agg(F.count("*").alias("n")).where("n >= 20"), "n", "p_name")
     return p.join(v, "p_name", "left").select("p_partkey", F.coalesce("code", F.lit(0)).alias("code"))
 
 
@@ -234,27 +260,23 @@ _SL = f"{_ST}, pr AS (SELECT k.group_id, k.venue, -ln(p1) AS first_loss, -ln(p2)
 
 
 def _stage_losses(spark, d):
-    t = _targets(spark, d)
-    n = t.count()
-    from pyspark.sql import Window
+    """Losses of each class's stages with the number of its groups (c3); all groups of a class have the same."""
+    p = _stage_probs(_stages(spark, _counts(spark, d))).where("c3 > 0")
+    return p.select("c3", sc.loss(F.col("p1")).alias("first_loss"), sc.loss(F.col("p2")).alias("second_loss"), sc.loss(F.col("p3")).alias("third_loss"), sc.loss(F.col("p1") * F.col("p2") * F.col("p3")).alias("whole_loss"))
 
-    w = lambda *c: Window.partitionBy(*c)
-    c1, c2, c3 = (F.count("*").over(w(*["f1", "f2", "f3"][:k])) for k in (1, 2, 3))
-    return t.select(
-        "group_id", "venue", sc.loss((c1 + 5.0) / (n + 30.0)).alias("first_loss"), sc.loss((c2 + 6.0) / (c1 + 30.0)).alias("second_loss"), sc.loss((c3 + 7.5) / (c2 + 30.0)).alias("third_loss")
-    )
 
-
-@query("stage_decomp", f"WITH {_SL} SELECT round(avg(first_loss) + 1e-9, 6) AS first_loss, round(avg(second_loss) + 1e-9, 6) AS second_loss, round(avg(third_loss) + 1e-9, 6) AS third_loss, round(avg(first_loss + second_loss + third_loss) + 1e-9, 6) AS total FROM pr")
+@query("stage_decomp", f"WITH {_SL} SELECT round(avg(first_loss) + 1e-9, 6) AS first_loss, round(avg(second_loss) + 1e-9, 6) AS second_loss, round(avg(third_loss) + 1e-9, 6) AS third_loss, round(avg(first_loss + second_loss + third_loss) + 1e-9, 6) AS total, true AS identity_holds FROM pr")
 def stage_decomp(spark, d):
     s = _stage_losses(spark, d).withColumn("total", F.col("first_loss") + F.col("second_loss") + F.col("third_loss"))
-    return s.agg(*[r6(F.avg(c)).alias(c) for c in ("first_loss", "second_loss", "third_loss", "total")])
+    mean = lambda c: r6(F.sum(F.col(c) * F.col("c3")) / F.sum("c3")).alias(c)
+    # The chain of stages is the loss of the whole order: the largest difference of the two.
+    return s.agg(*[mean(c) for c in ("first_loss", "second_loss", "third_loss", "total")], (F.max(F.abs(F.col("total") - F.col("whole_loss"))) <= 1e-12).alias("identity_holds"))
 
 
 @query("taxonomy", f"WITH {_SL}, tx AS (SELECT *, first_loss + second_loss + third_loss AS t, greatest(first_loss, second_loss, third_loss) AS g FROM pr) SELECT CASE WHEN t <= 4.1 THEN 'low' WHEN third_loss >= 0.4 * t AND third_loss = g THEN 'third_loss' WHEN second_loss >= 0.4 * t AND second_loss = g THEN 'second_loss' WHEN first_loss >= 0.4 * t AND first_loss = g THEN 'first_loss' WHEN t >= 5 THEN 'spread_high' ELSE 'spread' END AS error_class, count(*) AS n FROM tx GROUP BY 1")
 def taxonomy(spark, d):
     t = sc.taxonomy(_stage_losses(spark, d), ["first_loss", "second_loss", "third_loss"], 0.4, 4.1, 5.0)
-    return t.groupBy("error_class").agg(F.count("*").alias("n"))
+    return t.groupBy("error_class").agg(F.sum("c3").alias("n"))
 
 
 _QS = "[0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]"
@@ -285,12 +307,31 @@ def error_profile(spark, d):
 # ---- appends and plans
 
 
-@query("manifest_row", "SELECT count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_groups, min(CAST(l_shipdate AS DATE)) AS date_min, max(CAST(l_shipdate AS DATE)) AS date_max, count(*) FILTER (l_returnflag = 'R') AS n_returned, CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) AS duplicates FROM lineitem")
+_MR = "SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS day, l_returnflag, l_linestatus, CASE WHEN l_orderkey % 9 = 0 THEN NULL WHEN l_orderkey % 10 = 0 THEN 3 + l_linenumber % 2 ELSE 4 END AS declared, nullif(l_discount, 0) AS discount, nullif(l_partkey % 6, 0) AS part FROM lineitem"
+_CNT = "(SELECT string_agg(k || ':' || n, '|' ORDER BY k) FROM ({})) AS {}"
+
+
+@query(
+    "manifest_row",
+    f"""WITH m AS ({_MR}), h AS (SELECT sha256(coalesce(CAST(part AS VARCHAR), '\\N')) AS h FROM m), hb AS (SELECT substr(h, 1, 2) AS b, sha256(string_agg(h, '' ORDER BY h)) AS bh FROM h GROUP BY 1),
+sz AS (SELECT CASE WHEN count(DISTINCT declared) = 0 THEN 'missing' WHEN count(DISTINCT declared) > 1 THEN 'ambiguous' WHEN abs(max(declared) - count(*)) > 1 THEN 'mismatch' END AS k FROM m GROUP BY l_orderkey)
+SELECT 1 AS manifest_version, 'lines' AS snapshot_name, 'one row per l_linenumber per l_orderkey' AS row_grain, count(*) AS raw_row_count, count(DISTINCT l_orderkey) AS group_count, count(*) FILTER (l_linestatus = 'F') AS training_row_count, min(day) AS date_min, max(day) AS date_max,
+CAST(count(*) FILTER (part IS NULL) AS BIGINT) AS part_missing, round(100 * count(*) FILTER (part IS NULL) / count(*), 2) AS part_missing_percent, count(*) FILTER (part IS NULL) = count(*) AS part_all_missing,
+{_CNT.format("SELECT l_returnflag AS k, count(*) AS n FROM m GROUP BY 1", "category_rows")}, {_CNT.format("SELECT l_returnflag AS k, count(DISTINCT l_orderkey) AS n FROM m GROUP BY 1", "category_groups")},
+{_CNT.format("SELECT strftime(day, '%Y-%m') AS k, count(DISTINCT l_orderkey) AS n FROM m GROUP BY 1", "month_groups")}, {_CNT.format("SELECT l_linestatus AS k, count(*) AS n FROM m GROUP BY 1", "status_counts")},
+{_CNT.format("SELECT 'part' AS k, count(*) AS n FROM m WHERE part IS NULL", "top_missing")}, {_CNT.format("SELECT k, count(*) AS n FROM sz WHERE k IS NOT NULL GROUP BY 1", "size_mismatches")},
+CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) AS duplicate_members, (SELECT count(*) FROM (SELECT l_orderkey FROM m GROUP BY 1 HAVING count(DISTINCT l_linestatus) > 1)) AS group_conflicts,
+(SELECT count(*) FROM (SELECT l_orderkey FROM m GROUP BY 1 HAVING count(DISTINCT l_linenumber) < max(l_linenumber) - min(l_linenumber) + 1)) AS number_gaps,
+(SELECT count(DISTINCT o_custkey % 40) FROM orders) AS batches, (SELECT count(*) FROM orders) AS batch_rows, (SELECT max(o_custkey % 40) FROM orders) AS last_batch, (SELECT sha256(string_agg(bh, '' ORDER BY b)) FROM hb) AS content_hash FROM m""",
+)
 def manifest_row(spark, d):
-    li = table(spark, d, "lineitem")
-    day = F.to_date("l_shipdate")
-    one = li.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"), F.min(day).alias("lo"), F.max(day).alias("hi"), F.count_if(F.col("l_returnflag") == "R").alias("r"))
-    return one.agg(F.sum("n").alias("n_rows"), F.countDistinct("l_orderkey").alias("n_groups"), F.min("lo").alias("date_min"), F.max("hi").alias("date_max"), F.sum("r").alias("n_returned"), F.sum(F.col("n") - 1).alias("duplicates"))
+    """Written as one JSON text and read back."""
+    n = F.col("l_orderkey")
+    declared = F.when(n % 9 == 0, F.lit(None)).when(n % 10 == 0, 3 + F.col("l_linenumber") % 2).otherwise(4)
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("day"), "l_returnflag", "l_linestatus", declared.alias("declared"), F.nullif(F.col("l_partkey") % 6, F.lit(0)).alias("part"))
+    ledger = table(spark, d, "orders").select((F.col("o_custkey") % 40).alias("batch"), F.lit(1).alias("rows"))
+    m = mf.dataset_manifest(rows, "lines", "l_orderkey", "l_linenumber", "day", "l_returnflag", "l_linestatus", "l_linenumber", "declared", ["l_linestatus"], ["part"], F.col("l_linestatus") == "F", ledger)
+    return ap.json_manifest(m, new_path(spark, "manifest"))
 
 
 @query("file_hashes")
@@ -321,25 +362,37 @@ def hash_drift(spark, d):
     return ap.drift(a, b, "p_partkey", "h")
 
 
-@query("append_dry_run", "WITH o AS (SELECT * FROM orders WHERE o_orderkey % 3 = 0), n AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0 AND o_custkey NOT IN (SELECT o_custkey FROM o)), x AS (SELECT (SELECT count(*) FROM o) AS before_rows, (SELECT count(DISTINCT o_custkey) FROM o) AS before_groups, (SELECT count(*) FROM n) AS added_rows, (SELECT count(DISTINCT o_custkey) FROM n) AS added_groups) SELECT *, before_rows + added_rows AS after_rows, before_groups + added_groups AS after_groups FROM x")
+@query("append_dry_run", "WITH o AS (SELECT * FROM orders WHERE o_orderkey % 3 = 0), n AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0 AND o_custkey NOT IN (SELECT o_custkey FROM o)), x AS (SELECT (SELECT count(*) FROM o) AS before_rows, (SELECT count(DISTINCT o_custkey) FROM o) AS before_groups, (SELECT count(*) FROM n) AS added_rows, (SELECT count(DISTINCT o_custkey) FROM n) AS added_groups) SELECT *, before_rows + added_rows AS after_rows, before_groups + added_groups AS after_groups, (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 2 = 0) AS actual_groups, CAST(700 AS BIGINT) AS expected_groups, (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 2 = 0) = 700 AS as_expected FROM x")
 def append_dry_run(spark, d):
     o = table(spark, d, "orders")
-    return ap.dry_run(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 = 0"), "o_custkey")
+    return ap.dry_run(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 = 0"), "o_custkey", 700)
 
 
 @query("append_apply", "SELECT batch_id, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT o_custkey) AS BIGINT) AS n_groups FROM (SELECT 'a' AS batch_id, o_custkey FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT 'b', o_custkey FROM orders WHERE o_orderkey % 2 = 0 AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 3 = 0)) GROUP BY 1")
 def append_apply(spark, d):
-    import tempfile
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    path = f"{root}/append-{uuid.uuid4().hex}"
+    path = new_path(spark, "append")
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     for batch, part in (("a", o.where("o_orderkey % 3 = 0")), ("b", o.where("o_orderkey % 2 = 0")), ("b", o.where("o_orderkey % 2 = 0"))):
         ap.append_batch(part, path, batch, "o_custkey")  # the third run repeats the second
     return spark.read.parquet(path).groupBy("batch_id").agg(F.count("*").alias("n_rows"), F.countDistinct("o_custkey").alias("n_groups"))
 
 
+_AB = "a AS (SELECT * FROM orders WHERE o_custkey % 3 = 0), b AS (SELECT * FROM orders WHERE o_custkey % 3 <> 0)"
+_STEPS_SQL = " UNION ALL ".join(f"SELECT '{x}' AS batch_id, '{step}' AS step, CAST(({n}) AS BIGINT) AS n_rows, 'done' AS status" for x, backup in (("a", "0"), ("b", "1")) for step, n in (("backup", backup), ("append", f"SELECT count(*) FROM {x}"), ("load", f"SELECT count(*) FROM {x}"), ("export", f"SELECT count(*) FROM {x}"), ("audit", "1"), ("manifest", "1"), ("log", "1")))
+
+
+@query("append_steps", f"WITH {_AB} {_STEPS_SQL} UNION ALL SELECT 'table', 'rows', count(*), 'done' FROM orders")
+def append_steps(spark, d):
+    root = new_path(spark, "steps")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    ap.AppendRun(spark, root, "a", "o_custkey").run(o.where("o_custkey % 3 = 0"))
+    second = ap.AppendRun(spark, root, "b", "o_custkey")
+    for stop in ("append", "audit", None, None):  # broken off twice, resumed, then run again with nothing left to do
+        second.run(o.where("o_custkey % 3 <> 0"), stop)
+    whole = spark.read.parquet(second.table).agg(F.count("*").alias("n_rows")).select(F.lit("table").alias("batch_id"), F.lit("rows").alias("step"), "n_rows", F.lit("done").alias("status"))
+    return second.ledger().unionByName(whole)
+
+
 @query("apply_guard", "WITH s AS (SELECT o_custkey AS batch, CASE WHEN o_orderkey % 2 = 0 THEN 'dry_run' ELSE 'apply' END AS mode, CASE WHEN o_orderstatus = 'F' THEN 'passed' ELSE 'failed' END AS status, o_orderpriority AS h FROM orders), a AS (SELECT DISTINCT batch, h FROM s WHERE mode = 'apply'), d AS (SELECT DISTINCT batch, h, true AS ok FROM s WHERE mode = 'dry_run' AND status = 'passed') SELECT batch, coalesce(ok, false) AS allowed FROM a LEFT JOIN d USING (batch, h)")
 def apply_guard(spark, d):
     o = table(spark, d, "orders")
@@ -392,7 +445,7 @@ def nfkc(spark, d):
 
 @query("label_norm")
 def label_norm(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.label_key(F.substring("source", 1, 50)).alias("label"))
+    return table(spark, d, "documents").select("doc_id", tx.label_key("source").alias("label"))
 
 
 _NUM = "CASE WHEN p_partkey % 7 = 0 THEN '--' ELSE 'no ' || p_size || ',' || lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') || '.5kg' END"
@@ -433,7 +486,7 @@ def extract_num_unit(spark, d):
     return table(spark, d, "orders").select("o_orderkey", tx.number_before_unit(s).alias("v"))
 
 
-@query("first_heading", "SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<h[1-3][^>]*>(.*?)</h[1-3]>', 1), '<[^>]+>', '', 'g')) AS h FROM pages")
+@query("first_heading", "SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<h[1-3][^>]*>(.*?)</h[1-3]>', 1), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS h FROM pages")
 def first_heading(spark, d):
     return table(spark, d, "pages").select("page_id", tx.first_heading("html").alias("h"))
 
@@ -448,6 +501,25 @@ def parse_pages(spark, d):
     return pg.parse_html(table(spark, d, "pages"), "page_id").select("page_id", F.size("tables").alias("n_tables"), F.length("visible").alias("n_visible"))
 
 
+@query("parse_bool", "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true WHEN 3 THEN NULL ELSE CASE WHEN p_size % 2 = 1 AND p_size < 2 THEN true END END AS flag FROM part")
+def parse_bool(spark, d):
+    n = F.col("p_partkey") % 5
+    s = F.when(n == 0, " TRUE ").when(n == 1, "no").when(n == 2, "1").when(n == 3, F.concat(F.lit("y"), F.col("p_name"))).otherwise((F.col("p_size") % 2 + F.floor(F.col("p_size") / 2) * 10).cast("string"))
+    return table(spark, d, "part").select("p_partkey", tx.parse_bool(F.when((n == 4) & (s == "0"), "").otherwise(s)).alias("flag"))
+
+
+@query("prediction_roundtrip", f"WITH {P} SELECT vec_id, len(p) AS n, round(list_sum(p) + 1e-9, 6) AS total, round(p[1] + 1e-9, 6) AS first, true AS exact FROM p")
+def prediction_roundtrip(spark, d):
+    path = new_path(spark, "predictions")
+    p = prob(spark, d).select("vec_id", "p")
+    names = [f"p{k:03d}" for k in range(10)]
+    # The text of a double has as many digits as it takes to read the same double again.
+    p.select("vec_id", *[F.col("p")[k].cast("string").alias(n) for k, n in enumerate(names)]).write.option("header", True).option("compression", "gzip").csv(path)
+    back = spark.read.option("header", True).schema("vec_id bigint, " + ", ".join(f"{n} double" for n in names)).csv(path)
+    j = back.select("vec_id", F.array(*names).alias("q")).join(p, "vec_id")
+    return j.select("vec_id", F.size("q").cast("long").alias("n"), r6(F.aggregate("q", F.lit(0.0), lambda a, x: a + x)).alias("total"), r6(F.col("q")[0]).alias("first"), (F.col("p") == F.col("q")).alias("exact"))
+
+
 @query("to_json_list", "SELECT l_orderkey, '[' || array_to_string(list_sort(list(DISTINCT l_linenumber)), ',') || ']' AS lanes FROM lineitem GROUP BY 1")
 def to_json_list(spark, d):
     return table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.to_json(F.sort_array(F.collect_set("l_linenumber"))).alias("lanes"))
@@ -458,12 +530,9 @@ def to_json_list(spark, d):
 
 @query("stream_append", "SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_groups FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE value < 0.05)")
 def stream_append(spark, d):
-    import tempfile
-    import uuid
-
     from gridframe.streaming.append import append_stream, stream_files
 
-    root = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')}/stream-{uuid.uuid4().hex}"
+    root = new_path(spark, "stream")
     ev = table(spark, d, "events").select("event_id", "user_id", "value")
     ev.write.parquet(f"{root}/in")
     schema = ", ".join(f"{n} {t}" for n, t in ev.dtypes)
@@ -473,12 +542,9 @@ def stream_append(spark, d):
 
 @query("stream_dedup", "SELECT count(DISTINCT (user_id, event_type, CAST(ts AS DATE))) AS n FROM events")
 def stream_dedup(spark, d):
-    import tempfile
-    import uuid
-
     from gridframe.streaming.append import dedup_stream, stream_files
 
-    root = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')}/dedup-{uuid.uuid4().hex}"
+    root = new_path(spark, "dedup")
     ev = table(spark, d, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), F.to_date("ts").alias("day"))
     ev.write.parquet(f"{root}/in")
     schema = ", ".join(f"{n} {t}" for n, t in ev.dtypes)
