@@ -4,16 +4,15 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridframe.sources.shared import new_path
+
 #: A side is broadcast only when its counted rows take at most this many bytes.
 BROADCAST_BYTES = 64_000_000
-_LOCAL: list[str] = []
 _WIDTHS = {"boolean": 1, "int": 4, "float": 4}
 
 
@@ -33,24 +32,11 @@ def hold(name: str, drop: Callable[[], None]) -> None:
     _HELD[name] = drop
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; only one-machine sessions may do without."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="spark-"))
-    return _LOCAL[0]
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: lineage is cut and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_path = path
     return out
 
@@ -83,9 +69,9 @@ def size_of(df: DataFrame) -> int:
     return int(df.agg(F.coalesce(F.sum(total), F.lit(0.0))).first()[0])
 
 
-def join_small(left: DataFrame, small: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Join that broadcasts `small` only when its counted bytes are few; otherwise it shuffles and AQE splits skewed keys."""
-    return left.join(F.broadcast(small) if size_of(small) <= BROADCAST_BYTES else small, on, how)
+def join_small(left: DataFrame, small: DataFrame, on: list[str], how: str, size: int | None = None) -> DataFrame:
+    """Join that broadcasts `small` only when its bytes (counted, or `size`) are few; otherwise it shuffles and AQE splits skewed keys."""
+    return left.join(F.broadcast(small) if (size_of(small) if size is None else size) <= BROADCAST_BYTES else small, on, how)
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, share: int = 1000) -> DataFrame:

@@ -4,21 +4,21 @@ Texts are equal when identical after every run of ASCII white space became one s
 distinct digests are dealt into buckets of bounded size and each bucket gets a static binary-fuse filter (8-bit
 fingerprints). An incoming batch is grouped by digest within itself, its digests are screened by the filters, and only
 positives meet the snapshot's exact buckets. The texts of every group with more than one row are then compared byte by
-byte. Of equal texts the row with the smallest doc_id stays.
+byte; where one digest stands for several texts, its rows are grouped by the text itself. Of equal texts the row with the
+smallest doc_id stays, rows without an id come last, and of rows with one id and one text any single one stays.
 
-Ties and repeated rows are copies like any other; an empty table gives an empty result; other columns are ignored. Two
-different texts with one SHA-256 would stop the job with an error instead of dropping a text.
+Repeated rows are copies like any other; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridframe.llm.common import join_groups, join_small, stored
+from gridframe.llm.common import BROADCAST_BYTES, join_groups, join_small, size_of, stored
 
 BUCKET_KEYS = 65_536
 
@@ -89,15 +89,28 @@ class FuseFilter:
         return (a ^ b ^ c) == (hashes & np.uint64(0xFF)).astype(np.uint8)
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, sha (32 bytes of the normalised text) and a 64-bit key for the filters."""
-    sha = F.unhex(F.sha2(normalised("text").cast("binary"), 256))
-    return docs.select("doc_id", sha.alias("sha")).withColumn("fp", F.xxhash64("sha"))
+def digest(text: str | Column = "text") -> Column:
+    """SHA-256 of the normalised text, 32 bytes."""
+    return F.unhex(F.sha2(normalised(text).cast("binary"), 256))
+
+
+def digests(docs: DataFrame, digest_bytes: int) -> DataFrame:
+    """doc_id, a number of the row, sha, key (its first bytes, all in earnest) and a 64-bit fp for the filters."""
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), digest().alias("sha"))
+    return rows.withColumn("key", F.substring("sha", 1, digest_bytes)).withColumn("fp", F.xxhash64("key"))
+
+
+_FIRST = "struct<none: boolean, doc_id: bigint, row: bigint>"
+
+
+def _first() -> Column:
+    """A row's place among rows of the same text: by id, then by row."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
 
 
 def grouped(rows: DataFrame) -> DataFrame:
-    """Digests of a batch with its smallest doc_id and number of rows (summed where they were read first)."""
-    return rows.groupBy("sha", "fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
+    """Digests of a batch with the first row and the number of rows."""
+    return rows.groupBy("key", "fp").agg(F.min(_first()).alias("first"), F.count("*").alias("n"))
 
 
 def snapshot_filters(groups: DataFrame, buckets: int) -> DataFrame:
@@ -114,32 +127,32 @@ def snapshot_filters(groups: DataFrame, buckets: int) -> DataFrame:
 def screened(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
     """Incoming groups with `maybe`: false where the snapshot can't hold the digest."""
 
-    def test(key: tuple, part: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        if len(own):
-            f = FuseFilter(int(own["seed"][0]), int(own["segment"][0]), np.frombuffer(own["cells"][0], np.uint8))
-            part["maybe"] = f.has(part["fp"].to_numpy().view(np.uint64))
-        else:
-            part["maybe"] = False
-        return part[["sha", "fp", "first_id", "n", "maybe"]]
+    def test(part: pa.Table, own: pa.Table) -> pa.Table:
+        keys = part.column("fp").to_numpy().view(np.uint64)
+        maybe = np.zeros(len(keys), bool)
+        if own.num_rows and len(keys):
+            f = own.to_pylist()[0]
+            maybe = FuseFilter(f["seed"], f["segment"], np.frombuffer(f["cells"], np.uint8)).has(keys)
+        return part.select(["key", "fp", "first", "n"]).append_column("maybe", pa.array(maybe))
 
     dealt = incoming.withColumn("bucket", F.pmod("fp", F.lit(buckets)))
-    return dealt.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(test, "sha binary, fp long, first_id long, n long, maybe boolean")
+    return dealt.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInArrow(test, f"key binary, fp bigint, first {_FIRST}, n bigint, maybe boolean")
 
 
 def add_batch(snapshot: DataFrame, filters: DataFrame, buckets: int, incoming: DataFrame) -> DataFrame:
     """Groups of snapshot and batch together; only positives of the filters meet the exact buckets."""
     tested = screened(incoming, filters, buckets)
-    merged = snapshot.select("sha", "fp", "first_id", "n").unionByName(tested.where("maybe").drop("maybe"))
-    exact = merged.groupBy("sha", "fp").agg(F.min("first_id").alias("first_id"), F.sum("n").alias("n"))
+    merged = snapshot.select("key", "fp", "first", "n").unionByName(tested.where("maybe").drop("maybe"))
+    exact = merged.groupBy("key", "fp").agg(F.min("first").alias("first"), F.sum("n").alias("n"))
     return exact.unionByName(tested.where("not maybe").drop("maybe"))
 
 
-def exact_groups(docs: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+def exact_groups(docs: DataFrame, bucket_keys: int = BUCKET_KEYS, digest_bytes: int = 32) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     The earlier half of the ids is the snapshot, the later half the incoming batch; any split gives the same rows.
     """
-    rows = stored(digests(docs), "digests")
+    rows = stored(digests(docs, digest_bytes), "digests")
     middle = rows.agg(F.percentile_approx("doc_id", 0.5, 1000), F.count("*")).first()
     total = middle[1]
     early = F.col("doc_id") <= F.lit(middle[0] or 0)
@@ -147,25 +160,35 @@ def exact_groups(docs: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     buckets = max(16, -(-snapshot.count() // bucket_keys))
     filters = stored(snapshot_filters(snapshot, buckets), "filters")
     groups = stored(add_batch(snapshot, filters, buckets, grouped(rows.where(~early | F.col("doc_id").isNull()))), "groups")
-    shared = stored(join_groups(rows.drop("fp"), groups.where("n > 1").drop("fp"), "sha", "n", total), "members")
-    _byte_check(docs, shared.where("n > 1"))
-    first = F.coalesce("first_id", "doc_id")
-    return shared.select(
-        "doc_id",
-        first.alias("keep_id"),
-        F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
-        first.eqNullSafe(F.col("doc_id")).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"),
-    )
-
-
-def _byte_check(docs: DataFrame, members: DataFrame) -> None:
-    """Compares the texts of each group byte by byte; an error if one digest stands for two texts."""
-    ids = members.select("doc_id", "sha").dropDuplicates(["doc_id"])
-    texts = join_small(docs.select("doc_id", normalised("text").alias("text")), ids, ["doc_id"], "inner")
-    differ = texts.groupBy("sha").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a <> b")
-    if differ.limit(1).count():
-        raise ValueError("two different texts share one SHA-256")
+    several = groups.where("n > 1").select("key", "first", "n")
+    mixed = stored(_mixed(docs, rows, several, digest_bytes), "mixed")
+    split = mixed.limit(1).count()
+    members = join_groups(rows.drop("fp"), several, "key", "n", total)
+    if split:  # the digests that stand for several texts are grouped apart
+        members = members.join(mixed, "key", "left_anti")
+    first = F.coalesce("first.doc_id", "doc_id").alias("keep_id"), F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), F.coalesce(F.col("first.row") == F.col("row"), F.lit(True)).alias("kept")
+    out = members.select("doc_id", *first, F.lower(F.hex("sha")).alias("text_sha256"))
+    return out.unionByName(_by_text(docs, mixed, digest_bytes)) if split else out
+
+
+def _keyed(docs: DataFrame, digest_bytes: int) -> DataFrame:
+    return docs.select("doc_id", normalised("text").alias("text"), F.substring(digest(), 1, digest_bytes).alias("key"))
+
+
+def _mixed(docs: DataFrame, rows: DataFrame, several: DataFrame, digest_bytes: int) -> DataFrame:
+    """The digests that stand for more than one text, compared byte by byte."""
+    ids = rows.join(F.broadcast(several.select("key")) if size_of(several) <= BROADCAST_BYTES else several.select("key"), "key", "left_semi").select("doc_id").distinct()
+    # Other rows with one of these ids are groups of their own text, so they do no harm.
+    texts = join_small(_keyed(docs, digest_bytes), ids, ["doc_id"], "left_semi").unionByName(_keyed(docs.where("doc_id is null"), digest_bytes))
+    return texts.groupBy("key").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a <> b").select("key")
+
+
+def _by_text(docs: DataFrame, mixed: DataFrame, digest_bytes: int) -> DataFrame:
+    """The result's rows of digests that stand for several texts."""
+    same = Window.partitionBy("text")
+    texts = _keyed(docs, digest_bytes).join(mixed, "key", "left_semi").withColumn("row", F.monotonically_increasing_id())
+    first = texts.withColumns({"first": F.min(_first()).over(same), "n": F.count("*").over(same)})
+    return first.select("doc_id", F.col("first.doc_id").alias("keep_id"), F.col("n").alias("group_size"), (F.col("first.row") == F.col("row")).alias("kept"), F.lower(F.hex(digest())).alias("text_sha256"))
 
 
 def op9_exact_copies(spark, sf_dir: str) -> DataFrame:
@@ -174,5 +197,6 @@ def op9_exact_copies(spark, sf_dir: str) -> DataFrame:
 
 OP9_SQL = r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
-SELECT doc_id, min(doc_id) OVER w AS keep_id, CAST(count(*) OVER w AS BIGINT) AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
+SELECT doc_id, min(doc_id) OVER w AS keep_id, CAST(count(*) OVER w AS BIGINT) AS group_size,
+  row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept, text_sha256
 FROM t WINDOW w AS (PARTITION BY text_sha256)"""

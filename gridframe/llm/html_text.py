@@ -1,17 +1,26 @@
 """Main text of web pages by a site style tree.
 
-The DOMs of one host are merged into a style tree whose nodes are the paths of tags, classes and ids. A node's content
-importance is 1 minus the mean entropy of its texts over the host's pages: text that stands on every page has entropy 1,
-text of one page has 0. Presentation gives importance too: inside `article` or `main` it is 1, inside menus, headers,
-footers, sidebars, notices, adverts, forms and comments it is 0. Branches of low importance go from every page.
+The DOMs of one host are merged into a style tree whose nodes are whole paths of elements, an element being its tag and the
+words of its classes. Of every node the tree holds on how many different pages it stands, its layouts (the sequence of its
+children's styles, repeats as one) and the texts of the blocks below it. Presentation importance is the entropy of its layouts
+over the pages, to the base of their number; content importance is 1 less the mean entropy of its texts, log c / log m for a
+text that stands on c of the node's m pages, weighted by occurrence. Both are combined as (1 - 0.9^l) presentation + 0.9^l
+content for l kinds of children. Branches of less than LOW_IMPORTANCE that MIN_PAGES different pages show go from every page.
+
+Names are what the tree starts from: elements that are no text or are called menu, header, footer, sidebar, notice, advert,
+form or comment by their tag, role or class (ids count on containers only) are presentation of importance 0, as reader comments
+differ from page to page like articles do. Where `article` or `main` hold a third of what is left or more, the page's text is
+what they hold. There a weak branch goes only if the main part around it is not weak as a whole, as it is where a host has
+near copies of one page; and a page that would lose all its text keeps what names leave.
 
 Blocks are trimmed, white space inside a block becomes one space, blocks are joined by a newline in page order. Null html
-gives an empty text, a null or odd url the host ''; other columns are ignored. Equal html of one host is one page to the style tree,
-so copies never make a page a template; each row still gets its text. A path is weak only if MIN_PAGES different pages show it.
+gives an empty text, a null or odd url the host ''; repeated rows give repeated rows; other columns are ignored. Equal html of
+one host is one page to the tree, so copies never make a page a template; each row still gets its text.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -24,6 +33,10 @@ from gridframe.llm.common import join_small, stored
 
 LOW_IMPORTANCE = 0.3
 MIN_PAGES = 5
+FADE = 0.9
+MAIN_SHARE = 3
+#: Deeper elements belong to the node of their ancestor at this depth, as browsers do from 512 on.
+MAX_DEPTH = 256
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 _SKIP = set("script style noscript template iframe object svg canvas math head title select option textarea button input audio video datalist".split())
@@ -35,32 +48,42 @@ _NAMES = set(
     notice notices alert banner popup modal overlay newsletter subscribe subscription signup login search comment comments disqus respond replies
     share sharing social related recommended recommendations pager pagination widget widgets toc skip hidden""".split()
 )
+#: Words that stand beside such a word in the name of a box of that kind.
+_BOXES = set("box bar list wrap wrapper links link buttons button section area container block inner outer content panel left right top bottom main primary secondary site page global form item items post posts article articles icons row col group unit slot thread".split())
 _NEGATED = {"has", "with", "no", "without", "is"}
 _TITLES = {"header", "masthead"}
+_CONTAINERS = set("div section aside ul ol dl table nav header footer form fieldset".split())
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _WORD = re.compile(r"[a-z]+")
 
 
+def _digest(*parts) -> int:
+    return int.from_bytes(hashlib.blake2b(repr(parts).encode(), digest_size=8).digest(), "little", signed=True)
+
+
 def _boilerplate_name(tag: str, names: list[str], in_main: bool) -> bool:
-    """Whether a class or id marks boilerplate: by its first or last word; articles only by a whole name."""
+    """Whether a class or id marks boilerplate: outside the main part by its first or last word, inside by every word."""
     if tag in ("html", "body", "main"):
         return False
     known = _NAMES - _TITLES if in_main else _NAMES
     for name in names:
         words = _WORD.findall(name)
-        if words and words[0] not in _NEGATED and (name in known if tag == "article" else words[0] in known or words[-1] in known):
+        if not words or words[0] in _NEGATED:
+            continue
+        if name in known or tag != "article" and (words[0] in known or words[-1] in known) and (not in_main or all(w in known or w in _BOXES for w in words)):
             return True
     return False
 
 
 class _Page(HTMLParser):
-    """Text blocks of a page with their style path and kind: 0 boilerplate by presentation, 1 plain, 2 in the main part."""
+    """Text blocks of a page with their nodes from the root and kind: 0 boilerplate by name, 1 plain, 2 in the main part."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str, int]] = []  # tag, style, kind or -1 for content that is no text
+        self.stack: list[tuple[str, int, int, list[str]]] = []  # tag, node, kind or -1 for content that is no text, children's styles
         self.text: list[str] = []
-        self.blocks: list[tuple[str, int, str]] = []
+        self.blocks: list[tuple[list[int], int, str]] = []
+        self.layouts: set[tuple[int, int, int]] = set()
 
     def flush_block(self) -> None:
         if self.text:
@@ -68,7 +91,14 @@ class _Page(HTMLParser):
             self.text.clear()
             if text and not (self.stack and self.stack[-1][2] < 0):
                 kind = self.stack[-1][2] if self.stack else 1
-                self.blocks.append(("/".join(style for tag, style, _ in self.stack[-8:] if tag not in _INLINE), kind, text))
+                self.blocks.append((list(dict.fromkeys(node for tag, node, _, _ in self.stack if tag not in _INLINE)), kind, text))
+
+    def close_from(self, start: int) -> None:
+        """The elements from place `start` on end; each had a layout."""
+        for k, (tag, node, kind, children) in enumerate(self.stack[start:], start):
+            if tag not in _INLINE and kind >= 0 and k < MAX_DEPTH:
+                self.layouts.add((node, _digest(children), len(set(children))))
+        del self.stack[start:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "br":
@@ -82,12 +112,13 @@ class _Page(HTMLParser):
             for k in range(len(self.stack) - 1, -1, -1):
                 open_ = self.stack[k][0]
                 if open_ == "p" and tag not in _SKIP or open_ in _CLOSED_BY.get(tag, ()):
-                    del self.stack[k:]
+                    self.close_from(k)
                     break
                 if open_ not in _INLINE:
                     break
         got = {k: v or "" for k, v in attrs}
-        names = f"{got.get('class', '')} {got.get('id', '')}".lower().split()
+        classes = got.get("class", "").lower().split()
+        names = classes + (got.get("id", "").lower().split() if tag in _CONTAINERS else [])
         parent = self.stack[-1][2] if self.stack else 1
         if parent < 0 or tag in _SKIP:
             kind = -1
@@ -101,8 +132,16 @@ class _Page(HTMLParser):
             kind = 2 if tag in ("article", "main") or got.get("role", "").lower() in ("main", "article") else parent
         if kind == -1 or kind == 0 and parent:
             self.flush_block()
-        style = " ".join(sorted({w for n in names for w in _WORD.findall(n)}))
-        self.stack.append((tag, f"{tag}.{style}" if style else tag, kind))
+        style = " ".join(sorted({w for n in classes for w in _WORD.findall(n)}))
+        style = f"{tag}.{style}" if style else tag
+        node = 0
+        if tag not in _INLINE and kind >= 0:
+            around = next((x for x in reversed(self.stack) if x[0] not in _INLINE), None)
+            deep = len(self.stack) >= MAX_DEPTH
+            node = around[1] if around and deep else _digest(around[1] if around else 0, style)
+            if around and not deep and around[3][-1:] != [style]:
+                around[3].append(style)
+        self.stack.append((tag, node, kind, []))
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -112,7 +151,7 @@ class _Page(HTMLParser):
             if self.stack[k][0] == tag:
                 if tag not in _INLINE or self.stack[k][2] != (self.stack[k - 1][2] if k else 1):
                     self.flush_block()
-                del self.stack[k:]
+                self.close_from(k)
                 return
             if tag in _INLINE and self.stack[k][0] not in _INLINE:
                 return
@@ -122,51 +161,77 @@ class _Page(HTMLParser):
             self.text.append(data)
 
 
-def page_blocks(html: str | None) -> list[tuple[str, int, str]]:
-    """(style path, kind, text) of each text block in page order."""
+def read_page(html: str | None) -> tuple[list[tuple[list[int], int, str]], set[tuple[int, int, int]]]:
+    """Blocks (nodes from the root, kind, text) in page order; layouts (node, layout, kinds of children) of all elements."""
     page = _Page()
     page.feed(html or "")
     page.close()
     page.flush_block()
-    return page.blocks
+    page.close_from(0)
+    return page.blocks, page.layouts
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, digest of the html and blocks (path, kind, text) of every page."""
+    """page_id, url, host, digest of the html, blocks and layouts of every page."""
 
-    @F.pandas_udf("array<struct<path string, kind int, text string>>")
-    def blocks(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("blocks array<struct<nodes array<long>, kind int, text string>>, layouts array<struct<node long, layout long, kinds int>>")
+    def read(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            yield pd.Series([[{"path": p, "kind": k, "text": t} for p, k, t in page_blocks(x)] for x in part])
+            for at in range(0, len(part), 500):
+                got = [read_page(x) for x in part.iloc[at : at + 500]]
+                held = [[{"nodes": n, "kind": k, "text": t} for n, k, t in blocks] for blocks, _ in got]
+                seen = [[{"node": n, "layout": x, "kinds": k} for n, x, k in sorted(layouts)] for _, layouts in got]
+                yield pd.DataFrame({"blocks": held, "layouts": seen})
 
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1), F.lit("")))
-    return pages.select("page_id", "url", host.alias("host"), F.md5(F.col("html").cast("binary")).alias("digest"), blocks("html").alias("blocks"))
+    rows = pages.select("page_id", "url", host.alias("host"), F.md5(F.col("html").cast("binary")).alias("digest"), read("html").alias("page"))
+    return rows.select("page_id", "url", "host", "digest", "page.blocks", "page.layouts")
 
 
 def style_tree(parsed: DataFrame) -> DataFrame:
-    """Nodes of the merged trees: host, path, pages (different ones that show it), importance."""
-    seen = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), F.xxhash64(b["text"]).alias("t"))))
-    different = parsed.where("size(blocks) > 0").select("host", "digest", seen.alias("seen")).dropDuplicates(["host", "digest"])
-    different = different.withColumn("paths", F.array_distinct(F.transform("seen", lambda b: b["path"])))
-    # A path's own count of pages goes along as a text that is null, so the pages are dealt once.
-    marks = F.concat("seen", F.transform("paths", lambda p: F.struct(p.alias("path"), F.lit(None).cast("long").alias("t"))))
-    counts = different.select("host", F.explode(marks).alias("b")).groupBy("host", "b.path", "b.t").agg(F.count("*").alias("c"))
-    per = counts.groupBy("host", "path").agg(F.max(F.when(F.col("t").isNull(), F.col("c"))).alias("pages"), F.avg(F.when(F.col("t").isNotNull(), F.ln("c"))).alias("h"))
+    """Nodes of the merged trees: host, node, pages (different ones that show it), presentation, content, importance."""
+    texts = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["nodes"].alias("nodes"), F.xxhash64(b["text"]).alias("t"))))
+    pages = parsed.where("size(blocks) > 0").select("host", "digest", texts.alias("texts"), "layouts").dropDuplicates(["host", "digest"])
+    nodes = F.array_distinct(F.flatten(F.transform("texts", lambda b: b["nodes"])))
+    shown = pages.select("host", F.explode(nodes).alias("node")).groupBy("host", "node").agg(F.count("*").alias("pages"))
     # A text that stands on c of m pages has the entropy log c / log m.
-    return per.withColumn("importance", F.when(F.col("pages") < 2, 1.0).otherwise(1 - F.col("h") / F.ln("pages"))).drop("h")
+    counts = pages.select("host", F.explode("texts").alias("b")).groupBy("host", "b.nodes", "b.t").agg(F.count("*").alias("c"))
+    per = counts.groupBy("host", "nodes").agg(F.sum("c").alias("weight"), F.sum(F.col("c") * F.ln("c")).alias("h"))
+    per = per.join(shown.select("host", F.col("node").alias("own"), "pages"), (per["host"] == shown["host"]) & (F.element_at("nodes", -1) == F.col("own"))).select(per["host"], "nodes", "weight", F.when(F.col("pages") > 1, F.col("h") / F.ln("pages")).otherwise(0.0).alias("h"))
+    content = per.select("host", F.explode("nodes").alias("node"), "weight", "h").groupBy("host", "node").agg((1 - F.sum("h") / F.sum("weight")).alias("content"))
+    styles = pages.select("host", F.explode("layouts").alias("x")).groupBy("host", "x.node", "x.layout", "x.kinds").agg(F.count("*").cast("double").alias("c"))
+    styles = styles.groupBy("host", "node").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.ln("c")).alias("h"), F.max("kinds").alias("kinds"))
+    spread = F.when(F.col("all") > 1, (F.ln("all") - F.col("h") / F.col("all")) / F.ln("all")).otherwise(1.0)
+    out = shown.join(content, ["host", "node"]).join(styles.select("host", "node", "kinds", spread.alias("presentation")), ["host", "node"], "left")
+    fade = F.pow(F.lit(FADE), F.coalesce("kinds", F.lit(0)))
+    return out.withColumn("importance", (1 - fade) * F.coalesce("presentation", F.lit(0.0)) + fade * F.col("content")).select("host", "node", "pages", "presentation", "content", "importance")
+
+
+def weak_nodes(parsed: DataFrame, tree: DataFrame, low: float, min_pages: int) -> DataFrame:
+    """host, digest, weak: the nodes of each page whose branch has low importance."""
+    weak = stored(tree.where((F.col("importance") < low) & (F.col("pages") >= min_pages)).select("host", "node"), "weak")
+    nodes = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["nodes"])))
+    pages = parsed.select("host", "digest", F.explode(nodes).alias("node")).distinct()
+    return join_small(pages, weak, ["host", "node"], "inner").groupBy("host", "digest").agg(F.collect_set("node").alias("weak"))
 
 
 def main_texts(pages: DataFrame, low: float = LOW_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
-    """page_id, url, text, n_chars of every page."""
+    """page_id, url, text, n_chars and n_weak (blocks that only the style tree drops) of every page."""
     parsed = stored(parse_pages(pages), "pages")
-    weak = style_tree(parsed).where((F.col("importance") < low) & (F.col("pages") >= min_pages))
-    weak = stored(weak.groupBy("host").agg(F.collect_set("path").alias("weak")), "weak")  # paths of templates, a few a host
-    rows = join_small(parsed, weak, ["host"], "left")
-    kept = F.filter("blocks", lambda b: b["kind"] == 2)
-    plain = F.filter("blocks", lambda b: (b["kind"] == 1) & ~F.coalesce(F.array_contains("weak", b["path"]), F.lit(False)))
-    chosen = F.when(F.size(kept) > 0, kept).otherwise(plain)
-    text = F.array_join(F.transform(chosen, lambda b: b["text"]), "\n")
-    return rows.select("page_id", "url", F.coalesce(text, F.lit("")).alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    weak = stored(weak_nodes(parsed, style_tree(parsed), low, min_pages), "weakest")
+    rows = join_small(parsed.drop("layouts"), weak, ["host", "digest"], "left")
+    strong = lambda b: ~F.arrays_overlap(b["nodes"], F.coalesce("weak", F.array().cast("array<bigint>")))
+    size = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, b: a + F.length(b["text"]))
+    rows = rows.withColumn("named", F.filter("blocks", lambda b: b["kind"] > 0)).withColumn("main", F.filter("named", lambda b: b["kind"] == 2))
+    rows = rows.withColumn("fine", F.filter("named", strong)).withColumn("mainfine", F.filter("main", strong))
+    # The main part holds a third of what is left or more, its weak branches apart where it isn't weak as a whole.
+    part = F.when(2 * size("mainfine") >= size("main"), F.col("mainfine")).otherwise(F.col("main"))
+    inside = (F.size("main") > 0) & (MAIN_SHARE * size("main") >= size(F.when(F.size("fine") > 0, F.col("fine")).otherwise(F.col("named"))))
+    chosen = F.when(inside, part).when(F.size("fine") > 0, F.col("fine")).otherwise(F.col("named"))
+    rows = rows.withColumn("chosen", chosen)
+    left = F.when(inside, F.size("main")).otherwise(F.size("named")) - F.size("chosen")
+    text = F.coalesce(F.array_join(F.transform("chosen", lambda b: b["text"]), "\n"), F.lit(""))
+    return rows.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"), left.cast("long").alias("n_weak"))
 
 
 def op3_main_text(spark, sf_dir: str) -> DataFrame:

@@ -10,33 +10,36 @@ from pyspark.sql import functions as F
 from gridframe.llm.common import drop_stored, join_small, release, stored
 
 #: Stars that are drawn in turn around the keys before what is left is compared pair by pair.
-STARS = 4
+STARS = 2
 
 
 def _least_labels(edges: DataFrame) -> DataFrame:
-    """id, comp of a graph: least label of the neighbours and pointer jumping until nothing changes."""
-    edges = stored(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = stored(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("comp")).withColumn("moved", F.lit(True)), "labels")
-    moved = 1
-    while moved:
-        own = labels.select("id", "comp")
-        seen = join_small(edges, own.select(F.col("id").alias("b"), "comp"), ["b"], "inner").groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("near"))
-        up = own.select(F.col("id").alias("near"), F.col("comp").alias("up"))
+    """id, comp of a graph (a, b): least label of the neighbours and pointer jumping until nothing changes."""
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    own = edges.select(F.explode(F.array("a", "b")).alias("a")).distinct().withColumn("b", F.col("a"))
+    edges = stored(both.unionByName(own), "edges")
+    labels = stored(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("comp")), "labels")
+    size = 16 * labels.count()
+    while True:
+        # An edge to itself brings a row's own label, so one grouping gives the least label around and the one before.
+        seen = join_small(edges, labels.select(F.col("id").alias("b"), "comp"), ["b"], "inner", size)
+        seen = seen.groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("near"), F.max(F.when(F.col("a") == F.col("b"), F.col("comp"))).alias("comp"))
         # A label is the id of a row itself, so its own label is a step further towards the least one.
-        step = join_small(own.join(seen, "id"), up, ["near"], "left")
-        new = stored(step.select("id", F.least("comp", F.coalesce("up", "near")).alias("new"), "comp").select("id", F.col("new").alias("comp"), (F.col("new") < F.col("comp")).alias("moved")), "labels")
-        moved = new.where("moved").limit(1).count()
+        up = join_small(seen, labels.select(F.col("id").alias("near"), F.col("comp").alias("up")), ["near"], "left", size)
+        new = stored(up.select("id", F.least("near", "up").alias("new"), "comp").select("id", F.col("new").alias("comp"), (F.col("new") < F.col("comp")).alias("moved")), "labels")
         drop_stored(labels)
         labels = new
-    drop_stored(edges)
-    return labels.select("id", "comp")
+        if not new.where("moved").limit(1).count():
+            drop_stored(edges)
+            return labels.select("id", "comp")
 
 
 def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame | None:
     """id, comp (smallest id reachable) of every id in edges (a, b), on top of components known before; None without any."""
     if labels is not None:
-        edges = join_small(edges, labels.select(F.col("id").alias("a"), F.col("comp").alias("ca")), ["a"], "left")
-        edges = join_small(edges, labels.select(F.col("id").alias("b"), F.col("comp").alias("cb")), ["b"], "left")
+        size = 16 * labels.count()
+        edges = join_small(edges, labels.select(F.col("id").alias("a"), F.col("comp").alias("ca")), ["a"], "left", size)
+        edges = join_small(edges, labels.select(F.col("id").alias("b"), F.col("comp").alias("cb")), ["b"], "left", size)
         edges = edges.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
     edges = stored(edges.where("a <> b").distinct(), "contracted")
     if not edges.limit(1).count():
@@ -44,65 +47,64 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame |
     roots = _least_labels(edges)
     if labels is None:
         return roots
-    moved = join_small(labels, roots.select(F.col("id").alias("comp"), F.col("comp").alias("root")), ["comp"], "left").select("id", F.coalesce("root", "comp").alias("comp"))
-    fresh = roots.join(labels.select("id"), "id", "left_anti")
+    many = 16 * roots.count()
+    moved = join_small(labels, roots.select(F.col("id").alias("comp"), F.col("comp").alias("root")), ["comp"], "left", many).select("id", F.coalesce("root", "comp").alias("comp"))
+    fresh = join_small(roots, labels.select("id"), ["id"], "left_anti", size)
     return stored(moved.unionByName(fresh), "labels")
 
 
 def labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     """postings (key, id) with comp: the component of id so far."""
     if labels is None:
-        return postings.withColumn("comp", F.col("id"))
+        return postings.select("key", "id", F.col("id").alias("comp"))
     return join_small(postings, labels, ["id"], "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
 
 
-def crossing(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """key, id, comp: postings of keys that still lie in several components."""
+def crossing(postings: DataFrame, labels: DataFrame | None, seed: int) -> DataFrame:
+    """key, id, comp and a row of the key drawn by a hash (lead, lead_comp): postings of keys that lie in several components."""
     rows = labelled(postings, labels)
-    spread = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    return rows.join(spread, "key")
+    draw = F.min(F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "comp", "id")).alias("lead")
+    first = rows.groupBy("key").agg(draw, F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    return rows.join(first.select("key", F.col("lead.id").alias("lead"), F.col("lead.comp").alias("lead_comp")), "key")
 
 
-def star_pairs(postings: DataFrame, seed: int = 0) -> DataFrame:
-    """(a, b): each row of a key with one row of it, drawn by a hash, if they are in different components."""
-    draw = F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "comp", "id")
-    first = postings.groupBy("key").agg(F.min(draw).alias("lead"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-    rows = postings.join(first.select("key", "lead"), "key").where("comp <> lead.comp")
-    return rows.select(F.least("lead.id", "id").alias("a"), F.greatest("lead.id", "id").alias("b")).distinct()
+def star_pairs(crossed: DataFrame) -> DataFrame:
+    """(a, b): each row of a key with its lead, if they are in different components."""
+    return crossed.where("comp <> lead_comp").select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b")).distinct()
 
 
-def cross_pairs(postings: DataFrame, marks: DataFrame, fit: Callable[[str, str], Column]) -> DataFrame:
-    """(a, b) of different components that share a key, if `fit` holds for the marks (id and others) of both."""
-    rows = postings.join(marks, "id")
-    names = [c for c in rows.columns if c != "key"]
-    left = rows.select("key", *[F.col(c).alias(f"{c}_a") for c in names])
-    right = rows.select("key", *[F.col(c).alias(f"{c}_b") for c in names])
+def cross_pairs(postings: DataFrame, fit: Callable[[str, str], Column]) -> DataFrame:
+    """(a, b) of different components that share a key, if `fit` holds for the other columns of both (key, id, comp and others)."""
+    names = [c for c in postings.columns if c != "key"]
+    left = postings.select("key", *[F.col(c).alias(f"{c}_a") for c in names])
+    right = postings.select("key", *[F.col(c).alias(f"{c}_b") for c in names])
     both = left.join(right, (left["key"] == right["key"]) & (F.col("comp_a") < F.col("comp_b")) & fit("_a", "_b"))
     return both.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
-def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], marks: DataFrame, fit: Callable[[str, str], Column]) -> DataFrame | None:
+def pairs_with(pairs: DataFrame, sets: DataFrame, value: str) -> DataFrame:
+    """pairs (a, b) with na, nb and the value of both (va, vb) from sets (id, n, value); only the rows that pairs name are moved."""
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
+    wanted = stored(join_small(sets.select("id", "n", value), ids, ["id"], "left_semi"), "compared")
+    one = lambda side: wanted.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col(value).alias(f"v{side}"))
+    out = pairs.join(one("b"), "b").join(one("a"), "a")
+    return out.where("4 * least(na, nb) >= 3 * greatest(na, nb)")
+
+
+def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], rest: Callable[[DataFrame, DataFrame | None], DataFrame]) -> DataFrame | None:
     """id, comp of ids that are linked to another; None if there is no link.
 
     The keys of `postings` (key, id) are the complete candidates. A star around one row of each key finds most links in a
     number of pairs that is linear in the rows, so large groups of near copies become one component at once; each further
-    star tries another row of the keys that still cross components. What is left then is compared pair by pair, but only
-    pairs of different components for which `fit` says that they can still be similar. No link is lost.
-    `verify` returns a stored table of the pairs that are similar.
+    star tries another row of the keys that still cross components. `rest` gives the pairs to compare of what is left then
+    (key, id, comp; and the components so far). No link is lost. `verify` returns a stored table of the similar pairs.
     """
     labels, left = None, postings
-    for seed in range(STARS):
-        now = stored(crossing(left.select("key", "id"), labels), "crossing")
-        if seed:
-            drop_stored(left)
-        left = now
+    for seed in range(STARS + 1):
+        left = stored(crossing(left.select("key", "id"), labels, seed), "crossing")
         if not left.limit(1).count():
             return labels
-        near = verify(star_pairs(left, seed))
-        labels = components(near, labels)
-        drop_stored(near)
+        pairs = stored(star_pairs(left) if seed < STARS else rest(left.select("key", "id", "comp"), labels), "pairs")
+        labels = components(verify(pairs), labels)
         release(postings.sparkSession)
-    left = stored(crossing(left.select("key", "id"), labels), "crossing")
-    if not left.limit(1).count():
-        return labels
-    return components(verify(cross_pairs(left, marks, fit)), labels)
+    return labels

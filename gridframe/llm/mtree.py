@@ -1,14 +1,16 @@
 """Exact top-k inner products with an M-tree.
 
-Vectors get one more component that makes all lengths equal, so the largest inner product is the nearest neighbour. They
-are dealt to routing pivots (a bounded sample), then to nodes of bounded size, and each node is cut into leaf pages with a
-routing object, a covering radius and every member's distance to it. A page is skipped for a query when the triangle
-inequality shows that none of its members can reach the query's k-th best so far; members are skipped by their stored
-distances. What is left is scored exactly in integers, so the result equals brute force. Queries come in blocks of bounded
-size, and pages are visited best first within each task.
+Vectors get one more component that makes all lengths equal, so the largest inner product is the nearest neighbour. The tree
+has four levels: routing pivots at the root (a bounded sample), nodes of bounded size below them, leaf pages and vectors. Every
+node and page has a routing object, a covering radius and its distance to the routing object above it; every vector has its
+distance to its page's. The triangle inequality on the stored distances tells of most entries, before any distance to them is
+computed, that they can't hold one of the query's k best; the computed distance and the radius tell it of others. Nodes, and
+pages within a node, are visited best first within each task. What is left is scored exactly in integers, so the result
+equals brute force. Queries are a table; a round takes BLOCK of them, scans the tree once and writes what it found.
 
 Components become floor(256 x). Null vectors and those with null or non-finite components take no part; shorter vectors
-count as padded with zeros. Ties go to the smaller vec_id; repeated rows are candidates of their own.
+count as padded with zeros. Ties go to the smaller vec_id; repeated rows are candidates of their own and one query; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,13 +24,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridframe.llm.common import stored
+from gridframe.sources.shared import new_path
 
 K = 5
 PIVOTS = 64
 NODE_ROWS = 2048
 PAGE_ROWS = 128
-BLOCK = 2048
-_NODE = "lift double, n int, ids binary, radius double, pivot binary, vectors binary, far binary"
+BLOCK = 8192
+_NODE = "pivot int, away double, radius double, routing binary, page_sizes binary, page_away binary, page_radius binary, page_routing binary, ids binary, vectors binary, far binary"
 
 
 def integer_vectors(rows: DataFrame, scale: int = 256) -> DataFrame:
@@ -84,14 +87,20 @@ def build_tree(vectors: DataFrame, pivots: int = PIVOTS, node_rows: int = NODE_R
         seeds = f[np.linspace(0, len(ids) - 1, n).astype(int)]
         own = np.argmin(_distances(f, seeds), 1)
         order = np.argsort(own, kind="stable")
-        out = []
+        node = f.mean(0)
+        rows: list[np.ndarray] = []
         for group in np.split(order, np.flatnonzero(np.diff(own[order])) + 1):
-            for at in range(0, len(group), page_rows):
-                rows = group[at : at + page_rows]
-                routing = f[rows].mean(0)
-                far = _distances(f[rows], routing[None])[:, 0]
-                out.append((lift, len(rows), ids[rows].tobytes(), float(far.max()), routing.tobytes(), x[rows].tobytes(), far.tobytes()))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in _NODE.split(", ")])
+            rows += [group[at : at + page_rows] for at in range(0, len(group), page_rows)]
+        routing = np.stack([f[r].mean(0) for r in rows])
+        far = [_distances(f[r], c[None])[:, 0] for r, c in zip(rows, routing, strict=True)]
+        radius = np.array([d.max() for d in far])
+        away = _distances(routing, node[None])[:, 0]
+        order = np.concatenate(rows)
+        one = (
+            int(key[0]), float(_distances(node[None], lifted[int(key[0])][None])[0, 0]), float(_distances(f, node[None]).max()), node.tobytes(),
+            np.array([len(r) for r in rows], np.int64).tobytes(), away.tobytes(), radius.tobytes(), routing.tobytes(), ids[order].tobytes(), x[order].tobytes(), np.concatenate(far).tobytes(),
+        )
+        return pd.DataFrame([one], columns=[c.split()[0] for c in _NODE.split(", ")])
 
     return stored(dealt.groupBy("pivot", "node").applyInPandas(pages, _NODE), "mtree"), root
 
@@ -113,38 +122,58 @@ def search(tree: DataFrame, root: dict, queries: list, k: int = K) -> DataFrame:
         pivot_scores = np.where(np.array(root["ids"])[None, :] == ids[:, None], np.iinfo(np.int64).min, x @ root["vectors"].T)
         if pivot_scores.shape[1] > k:
             start = np.sort(pivot_scores, 1)[:, -k]
-    block = tree.sparkSession.sparkContext.broadcast((ids, x, np.hstack([f, np.zeros((len(ids), 1))]), norms, start))
+    block = tree.sparkSession.sparkContext.broadcast((ids, x, np.hstack([f, np.zeros((len(ids), 1))]), norms, start, _lifted(root["vectors"], lift)))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, x, q, norms, start = block.value
+        ids, x, q, norms, start, pivots = block.value
         floor = start.copy()
         best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(ids)
+        to_pivot = _distances(q, pivots)
+
+        def reach(rows: np.ndarray) -> np.ndarray:
+            # A score s means a squared distance of lift + |q|^2 - 2 s; the margin covers rounding.
+            return np.sqrt(np.maximum(lift + norms[rows] - 2.0 * floor[rows], 0)) * (1 + 1e-9) + 1e-3
+
+        def page(near: np.ndarray, away: np.ndarray, far: np.ndarray, own: np.ndarray, vectors: np.ndarray) -> None:
+            """Score the members that the stored distances leave for some query."""
+            members = np.flatnonzero((np.abs(away[:, None] - far[None, :]) <= reach(near)[:, None]).any(0))
+            if not len(members):
+                return
+            scores = x[near] @ vectors[members].T
+            for i, row in zip(near.tolist(), scores, strict=True):
+                good = np.flatnonzero((row >= floor[i]) & (own[members] != ids[i]))
+                if len(good):
+                    s, v = np.concatenate((best[i][0], row[good])), np.concatenate((best[i][1], own[members][good]))
+                    top = _best(s, v, k)
+                    best[i] = (s[top], v[top])
+                    if len(top) == k:
+                        floor[i] = max(floor[i], s[top[-1]])
+
         for batch in batches:
             rows = batch.to_pylist()
-            routing = np.stack([np.frombuffer(r["pivot"]) for r in rows])
-            away = _distances(q, routing)
-            least = away - np.array([r["radius"] for r in rows])[None, :]
+            least = np.stack([np.abs(to_pivot[:, r["pivot"]] - r["away"]) - r["radius"] for r in rows], 1)
             for p in np.argsort(least.min(0)):
                 r = rows[p]
-                # A score s means a squared distance of lift + |q|^2 - 2 s; the margin covers rounding.
-                reach = np.sqrt(np.maximum(lift + norms - 2.0 * floor, 0)) * (1 + 1e-9) + 1e-3
-                near = np.flatnonzero(least[:, p] <= reach)
-                if not len(near):
-                    continue
-                far = np.frombuffer(r["far"])
-                members = np.flatnonzero((np.abs(away[near, p][:, None] - far[None, :]) <= reach[near][:, None]).any(0))
-                if not len(members):
+                every = np.flatnonzero(least[:, p] <= reach(np.arange(len(ids))))
+                away = _distances(q[every], np.frombuffer(r["routing"])[None])[:, 0]
+                near = away - r["radius"] <= reach(every)
+                every, away = every[near], away[near]
+                if not len(every):
                     continue
-                own = np.frombuffer(r["ids"], np.int64)[members]
-                scores = x[near] @ np.frombuffer(r["vectors"], np.int64).reshape(r["n"], -1)[members].T
-                for i, row in zip(near.tolist(), scores, strict=True):
-                    good = np.flatnonzero((row >= floor[i]) & (own != ids[i]))
-                    if len(good):
-                        s, v = np.concatenate((best[i][0], row[good])), np.concatenate((best[i][1], own[good]))
-                        top = _best(s, v, k)
-                        best[i] = (s[top], v[top])
-                        if len(top) == k:
-                            floor[i] = max(floor[i], s[top[-1]])
+                sizes, page_away, page_radius = np.frombuffer(r["page_sizes"], np.int64), np.frombuffer(r["page_away"]), np.frombuffer(r["page_radius"])
+                routing = np.frombuffer(r["page_routing"]).reshape(len(sizes), -1)
+                own, vectors, far = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["vectors"], np.int64).reshape(int(sizes.sum()), -1), np.frombuffer(r["far"])
+                ends = np.cumsum(sizes)
+                bound = np.abs(away[:, None] - page_away[None, :]) - page_radius[None, :]
+                for j in np.argsort(bound.min(0)):
+                    left = np.flatnonzero(bound[:, j] <= reach(every))
+                    if not len(left):
+                        continue
+                    at = _distances(q[every[left]], routing[j][None])[:, 0]
+                    fits = at - page_radius[j] <= reach(every[left])
+                    if fits.any():
+                        part = slice(ends[j] - sizes[j], ends[j])
+                        page(every[left][fits], at[fits], far[part], own[part], vectors[part])
         found = [(np.full(len(s), i), v, s) for i, (s, v) in zip(ids, best, strict=True) if len(s)]
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found, strict=True)], names=["query_id", "vec_id", "score"])
@@ -157,12 +186,13 @@ def top_k(rows: DataFrame, every: int = 50, k: int = K, block: int = BLOCK) -> D
     vectors = stored(integer_vectors(rows), "vectors")
     tree, root = build_tree(vectors)
     asked = vectors.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    blocks = max(1, -(-asked.count() // block))
-    dealt = stored(asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))), "queries") if blocks > 1 else asked.withColumn("block", F.lit(0))
-    out = None
-    for b in range(blocks):  # a block is bounded, so it may pass through the driver
-        part = search(tree, root, [(r["vec_id"], r["v"]) for r in dealt.where(F.col("block") == b).collect()], k)
-        out = part if out is None else out.unionByName(part)
+    rounds = max(1, -(-asked.count() // block))
+    dealt = stored(asked.withColumn("round", F.pmod(F.xxhash64("vec_id"), F.lit(rounds)).cast("int")), "queries")
+    path = new_path(rows.sparkSession, "found")
+    for r in range(rounds):  # a round is bounded, so its queries may pass through the driver; what it found is written
+        asked = [(row["vec_id"], row["v"]) for row in dealt.where(F.col("round") == r).collect()]
+        search(tree, root, asked, k).write.mode("append").parquet(path)
+    out = rows.sparkSession.read.schema("query_id long, vec_id long, score long").parquet(path)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -11,8 +11,9 @@ either one. So among the first (misses + k) tokens of both sets, in any order th
    with B buckets the prefix is extended to k = B + 1 tokens in common; tokens are dealt to buckets by their hash, so two
    common tokens meet in one bucket and only combinations within buckets are keys: about as many as tokens, for sets of any
    size. B is a quarter of the class's least size, and sets are in each class where similar ones can be.
-4. Verification. Stars around the keys first, then what still crosses components (see linking), on the whole sets. Before a
-   pair of the latter is verified, the AHEAD first prefix tokens of both must leave room for the overlap.
+4. Verification on the whole sets: stars around the keys first (see linking). For sets that still cross components, single
+   tokens of the shortest prefix are joined, if what each set is seen to miss of the other (its tokens before a first common
+   one, and of its AHEAD first tokens) leaves room for the overlap.
 
 The order only shapes the index, so the result is exact. Equal sets are one class. Null or wordless text has no shingles and
 no link; fewer than five words make one shingle; repeated rows are copies; a row without doc_id is linked like any other, but
@@ -32,11 +33,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridframe.llm.common import drop_stored, hold, join_groups, join_small, release, stored
-from gridframe.llm.linking import link
+from gridframe.llm.linking import cross_pairs, crossing, link, pairs_with
 
 WORDS = 5
 OFTEN = 32
-AHEAD = 24
+AHEAD = 96
 NO_ID = -(2**63)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -175,12 +176,16 @@ def class_sets(docs: DataFrame, touched: DataFrame) -> DataFrame:
 
 
 def ordered_tokens(sets: DataFrame) -> DataFrame:
-    """id, n and `often`: df and token of the tokens that other sets have too, the least frequent first."""
+    """id, n and the tokens that other sets have too with df and place, the least frequent first.
+
+    The place is a number that follows the order of tokens: 8 bits for the frequency on a logarithmic scale, 23 of the token.
+    """
     tokens = sets.select("cid", F.explode("tokens").alias("token"))
     counts = tokens.groupBy("token").agg(F.count("*").cast("int").alias("df")).where("df > 1")
-    often = tokens.join(counts, "token").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("often"))
+    place = F.shiftleft(F.least(F.floor(F.log2("df") * 8), F.lit(255)).cast("int"), 23).bitwiseOR(F.shiftrightunsigned("token", 41).cast("int"))
+    often = tokens.join(counts.withColumn("place", place), "token").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("place", "token", "df"))).alias("often"))
     out = often.join(sets.select("cid", "n"), "cid")
-    return out.select(F.col("cid").alias("id"), "n", F.transform("often", lambda x: x["df"]).alias("df"), F.transform("often", lambda x: x["token"]).alias("tokens"))
+    return out.select(F.col("cid").alias("id"), "n", F.col("often.df").alias("df"), F.col("often.token").alias("tokens"), F.col("often.place").alias("places"))
 
 
 def size_classes(n: int) -> list[int]:
@@ -226,23 +231,31 @@ def postings(ordered: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "key long, id long")
 
 
-def _marks(ordered: DataFrame) -> DataFrame:
-    """id, n, alone (tokens of this set only), ahead (its first AHEAD other tokens as numbers in the common order), last."""
-    place = F.zip_with(F.slice("df", 1, AHEAD), F.slice("tokens", 1, AHEAD), lambda d, t: F.shiftleft(F.least(d, F.lit(2**22)).cast("long"), 40).bitwiseOR(F.shiftrightunsigned(t, 24)))
-    last = F.when(F.size("tokens") <= AHEAD, F.lit(2**63 - 1)).otherwise(F.element_at("ahead", -1))
-    return ordered.select("id", "n", (F.col("n") - F.size("tokens")).alias("alone"), "tokens", place.alias("ahead")).withColumn("last", last).drop("tokens")
+def rest_pairs(ordered: DataFrame, left: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(a, b) of sets in different components that can still be similar, among those that `left` names, by single tokens."""
+    ids = stored(left.select("id").distinct(), "rest")
+    alone = F.col("n") - F.size("tokens")
+    misses = F.col("n") - F.ceil(F.col("n") * 3 / 4).cast("int") - alone
+    rows = join_small(ordered, ids, ["id"], "left_semi").select("id", "n", alone.alias("alone"), "tokens", "places", misses.alias("misses")).where("misses >= 0")
+    last = F.when(F.size("places") <= AHEAD, F.lit(2**31 - 1)).otherwise(F.element_at("places", AHEAD))
+    rows = stored(rows.select("id", "n", "alone", F.slice("places", 1, AHEAD).alias("ahead"), last.alias("last"), F.slice("tokens", F.lit(1), F.col("misses") + 1).alias("prefix")), "marks")
+    keys = rows.select("id", F.posexplode("prefix").alias("position", "key")).select("key", "id", "position")
+    crossed = crossing(keys.select("key", "id"), labels, 0).select("key", "id", "comp")
+    return cross_pairs(crossed.join(keys, ["key", "id"]).join(rows.select("id", "n", "alone", "ahead", "last"), "id"), _fit)
 
 
 def _fit(a: str, b: str) -> Column:
-    """Whether neither set misses too much of the other up to the place where both lists of first tokens reach."""
+    """Whether neither set misses too much of the other as far as can be seen: before the key, if it is the first token that
+    both have, and among the first tokens up to the place where both lists reach. Tokens of one place count as equal.
+    """
     n = F.col(f"n{a}") + F.col(f"n{b}")
-    sizes = 4 * F.least(f"n{a}", f"n{b}") >= 3 * F.greatest(f"n{a}", f"n{b}")
-    cheap = sizes & (7 * (F.col(f"n{a}") - F.col(f"alone{a}")) >= 3 * n) & (7 * (F.col(f"n{b}") - F.col(f"alone{b}")) >= 3 * n)
+    fits = 4 * F.least(f"n{a}", f"n{b}") >= 3 * F.greatest(f"n{a}", f"n{b}")
+    room = lambda x, missed: 7 * (F.col(f"n{x}") - F.col(f"alone{x}") - missed) >= 3 * n
+    fits = fits & room(a, F.col(f"position{a}")) & room(b, F.col(f"position{b}"))
+    end = F.least(f"last{a}", f"last{b}")
     for x, y in ((a, b), (b, a)):
-        end = F.least(f"last{a}", f"last{b}")
-        missed = F.size(F.filter(F.array_except(f"ahead{x}", f"ahead{y}"), lambda t, end=end: t <= end))
-        cheap = cheap & (7 * (F.col(f"n{x}") - F.col(f"alone{x}") - missed) >= 3 * n)
-    return cheap
+        fits = fits & room(x, F.size(F.filter(F.array_except(f"ahead{x}", f"ahead{y}"), lambda t: t < end)))
+    return fits
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -263,13 +276,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     def verify(pairs: DataFrame) -> DataFrame:
         """The pairs whose sets have 100 |A and B| >= 75 |A or B|."""
-        sizes = sets.select("cid", "n")
-        pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b").where("4 * least(na, nb) >= 3 * greatest(na, nb)")
-        got = pairs.join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tb")), "b").join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("ta")), "a")
-        got = got.withColumn("both", F.size(F.array_intersect("ta", "tb")))
+        got = pairs_with(pairs, sets.withColumnRenamed("cid", "id"), "tokens").withColumn("both", F.size(F.array_intersect("va", "vb")))
         return stored(got.where("100 * both >= 75 * (na + nb - both)").select("a", "b"), "links")
 
-    labels = link(keys, verify, _marks(ordered), _fit)
+    labels = link(keys, verify, lambda left, known: rest_pairs(ordered, left, known))
     comp = classes.select("cid", "doc_id", "size")
     comp = comp.withColumn("comp", F.col("cid")) if labels is None else join_small(comp, labels.withColumnRenamed("id", "cid"), ["cid"], "left").withColumn("comp", F.coalesce("comp", "cid"))
     comp = stored(comp, "comp")

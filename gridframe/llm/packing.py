@@ -5,7 +5,8 @@ residual packing: leaves of bounded size run best-fit-decreasing, nearly full bi
 eight nodes are merged as items by best fit again, round after round up to the root. A node passes at most `carry` of its
 emptiest bins on, so no task holds more than a bounded number of items at any input size.
 
-Null text counts as empty (one end id); empty tables give empty results; other columns are ignored.
+Null text counts as empty (one end id); special tokens that stand in a text get their ids, as the tokenizer gives them;
+repeated rows are documents of their own; empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
     def of(self, words: list[str]) -> list[bytes]:
@@ -76,11 +77,18 @@ def _words(path: str) -> WordIds:
 
 def _document_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a batch in one array, and where each document's ids begin (one more entry than documents)."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = _words(path)
+    texts = pc.fill_null(texts, "")
+    special = np.zeros(len(texts), bool)
+    for token in words.special:
+        special |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+    # The tokenizer finds its special tokens in the raw text, whatever stands around them: such texts go to it whole.
+    whole = {i: words.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids for i in np.flatnonzero(special).tolist()}
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(pa.array(special), "", texts)))
     bounds = lists.offsets.to_numpy()
     coded = lists.flatten().dictionary_encode()
     where = coded.indices.to_numpy()
-    per_word = _words(path).of(coded.dictionary.to_pylist())
+    per_word = words.of(coded.dictionary.to_pylist())
     sizes = np.fromiter(map(len, per_word), np.int64, len(per_word)) // 4
     flat, first = np.frombuffer(b"".join(per_word), np.uint32), np.cumsum(sizes) - sizes
     counts = sizes[where]
@@ -90,6 +98,9 @@ def _document_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray,
     take = np.arange(total) - np.repeat(word_ends[:-1], counts) + np.repeat(first[where], counts)
     ids = flat[take]
     cuts = word_ends[bounds - bounds[0]]
+    if whole:
+        parts = [np.array(whole[i], np.uint32) if i in whole else ids[cuts[i] : cuts[i + 1]] for i in range(len(texts))]
+        ids, cuts = np.concatenate(parts), np.concatenate(([0], np.cumsum([len(x) for x in parts])))
     return np.insert(ids, cuts[1:], np.uint32(end_id)).astype("<u4"), cuts + np.arange(len(cuts))
 
 
