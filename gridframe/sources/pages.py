@@ -69,8 +69,24 @@ def parse_html(pages: DataFrame, key: str = "key", html: str = "html") -> DataFr
     return pages.select(key, html).mapInPandas(run, f"{key} {kind}, {html} string, visible string, tables array<array<array<string>>>")
 
 
-#: Header words of an entry table and the field each one fills.
-HEADERS = {"馬番": "number", "馬名": "name", "着順": "finish", "性齢": "sex_age", "馬体重": "weight", "単勝オッズ": "odds", "騎手": "rider", "人気": "popularity"}
+#: Fields of an entry table and the words in the header that each is known by.
+HEADERS = {
+    "finish": ["着順"],
+    "gate": ["枠"],
+    "number": ["馬番"],
+    "name": ["馬名"],
+    "sex_age": ["性齢", "性年齢"],
+    "carried": ["負担重量", "斤量", "重量"],
+    "rider": ["騎手"],
+    "trainer": ["調教師"],
+    "weight": ["馬体重"],
+    "weight_diff": ["増減"],
+    "time": ["タイム"],
+    "margin": ["着差"],
+    "last_3f": ["上がり", "上り", "3F"],
+    "popularity": ["人気"],
+    "odds": ["単勝"],
+}
 #: Surfaces by their word on the page.
 SURFACES = {"ダート": "dirt", "芝": "turf"}
 
@@ -79,11 +95,12 @@ def result_entries(parsed: DataFrame, key: str = "key") -> DataFrame:
     """One row per entry of each page's result table (the first with number and name headers), with the group's metadata."""
     row = parsed.select(key, F.posexplode("tables").alias("t", "rows"), "tables")
     labels = F.transform(F.get("rows", 0), lambda c: F.regexp_replace(c, r"[\s:：()（）/／]", ""))
-    results = row.withColumn("labels", labels).where(F.array_contains("labels", "馬番") & F.array_contains("labels", "馬名"))
+    place = lambda words: F.expr("get(filter(sequence(0, size(labels) - 1), i -> " + " or ".join(f"contains(labels[i], '{w}')" for w in words) + "), 0)")
+    results = row.withColumn("labels", labels).where("size(labels) > 0").where(place(HEADERS["number"]).isNotNull() & place(HEADERS["name"]).isNotNull())
     first = results.withColumn("k", F.row_number().over(Window.partitionBy(key).orderBy("t"))).where("k = 1")
     entries = first.select(key, "labels", F.posexplode(F.slice("rows", 2, 10_000)).alias("at", "cells"))
-    fields = [F.when(F.array_position("labels", h) > 0, F.get("cells", (F.array_position("labels", h) - 1).cast("int"))).alias(n) for h, n in HEADERS.items()]
-    e = entries.select(key, "at", *fields).where("coalesce(number, '') <> '' and coalesce(name, '') <> ''")
+    fields = [F.get("cells", place(words).cast("int")).alias(n) for n, words in HEADERS.items()]
+    e = entries.select(key, "at", *fields).where("coalesce(number, '') <> '' or coalesce(name, '') <> ''")
     pair = parsed.select(key, F.explode(F.flatten("tables")).alias("cells")).where("size(cells) = 2").select(key, F.get("cells", 0).alias("label"), F.get("cells", 1).alias("v"))
     course = F.max(F.when(F.col("label") == "距離", F.col("v")))
     surface = F.lit("")
@@ -103,7 +120,15 @@ def result_entries(parsed: DataFrame, key: str = "key") -> DataFrame:
         sex["letters"].alias("sex"),
         sex["digits"].alias("age"),
         weight["value"].alias("body_weight"),
-        weight["change"].alias("weight_change"),
+        F.coalesce(F.nullif(tx.clean_int("weight_diff"), F.lit("")), weight["change"]).alias("weight_change"),
+        tx.clean_int("gate").alias("gate"),
+        tx.clean_decimal("carried").alias("carried"),
+        tx.clean("rider").alias("rider"),
+        tx.clean("trainer").alias("trainer"),
+        tx.clean("time").alias("time"),
+        tx.clean("margin").alias("margin"),
+        tx.clean_decimal("last_3f").alias("last_3f"),
+        tx.clean_int("popularity").alias("popularity"),
         tx.clean_decimal("odds").alias("odds"),
     )
     return out.withColumn("group_size", F.count("*").over(Window.partitionBy(key)))
