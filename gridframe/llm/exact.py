@@ -100,9 +100,6 @@ def digests(docs: DataFrame, digest_bytes: int) -> DataFrame:
     return rows.withColumn("key", F.substring("sha", 1, digest_bytes)).withColumn("fp", F.xxhash64("key"))
 
 
-_FIRST = "struct<none: boolean, doc_id: bigint, row: bigint>"
-
-
 def _first() -> Column:
     """A row's place among rows of the same text: by id, then by row."""
     return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
@@ -133,10 +130,11 @@ def screened(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame
         if own.num_rows and len(keys):
             f = own.to_pylist()[0]
             maybe = FuseFilter(f["seed"], f["segment"], np.frombuffer(f["cells"], np.uint8)).has(keys)
-        return part.select(["key", "fp", "first", "n"]).append_column("maybe", pa.array(maybe))
+        return part.select(["key", "fp", "none", "doc_id", "row", "n"]).append_column("maybe", pa.array(maybe))
 
-    dealt = incoming.withColumn("bucket", F.pmod("fp", F.lit(buckets)))
-    return dealt.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInArrow(test, f"key binary, fp bigint, first {_FIRST}, n bigint, maybe boolean")
+    dealt = incoming.select("key", "fp", "first.*", "n", F.pmod("fp", F.lit(buckets)).alias("bucket"))
+    tested = dealt.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInArrow(test, "key binary, fp bigint, none boolean, doc_id bigint, row bigint, n bigint, maybe boolean")
+    return tested.select("key", "fp", F.struct("none", "doc_id", "row").alias("first"), "n", "maybe")
 
 
 def add_batch(snapshot: DataFrame, filters: DataFrame, buckets: int, incoming: DataFrame) -> DataFrame:

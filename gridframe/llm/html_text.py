@@ -5,7 +5,8 @@ words of its classes. Of every node the tree holds on how many different pages i
 children's styles, repeats as one) and the texts of the blocks below it. Presentation importance is the entropy of its layouts
 over the pages, to the base of their number; content importance is 1 less the mean entropy of its texts, log c / log m for a
 text that stands on c of the node's m pages, weighted by occurrence. Both are combined as (1 - 0.9^l) presentation + 0.9^l
-content for l kinds of children. Branches of less than LOW_IMPORTANCE that MIN_PAGES different pages show go from every page.
+content for l kinds of children. A branch goes from every page if MIN_PAGES different pages show it and its own importance and
+that of every block below it are less than LOW_IMPORTANCE.
 
 Names are what the tree starts from: elements that are no text or are called menu, header, footer, sidebar, notice, advert,
 form or comment by their tag, role or class (ids count on containers only) are presentation of importance 0, as reader comments
@@ -189,7 +190,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
 
 def style_tree(parsed: DataFrame) -> DataFrame:
-    """Nodes of the merged trees: host, node, pages (different ones that show it), presentation, content, importance."""
+    """Nodes of the merged trees: host, node, pages (different ones that show it), presentation, content, importance, best (below it)."""
     texts = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["nodes"].alias("nodes"), F.xxhash64(b["text"]).alias("t"))))
     pages = parsed.where("size(blocks) > 0").select("host", "digest", texts.alias("texts"), "layouts").dropDuplicates(["host", "digest"])
     nodes = F.array_distinct(F.flatten(F.transform("texts", lambda b: b["nodes"])))
@@ -204,12 +205,15 @@ def style_tree(parsed: DataFrame) -> DataFrame:
     spread = F.when(F.col("all") > 1, (F.ln("all") - F.col("h") / F.col("all")) / F.ln("all")).otherwise(1.0)
     out = shown.join(content, ["host", "node"]).join(styles.select("host", "node", "kinds", spread.alias("presentation")), ["host", "node"], "left")
     fade = F.pow(F.lit(FADE), F.coalesce("kinds", F.lit(0)))
-    return out.withColumn("importance", (1 - fade) * F.coalesce("presentation", F.lit(0.0)) + fade * F.col("content")).select("host", "node", "pages", "presentation", "content", "importance")
+    out = stored(out.withColumn("importance", (1 - fade) * F.coalesce("presentation", F.lit(0.0)) + fade * F.col("content")).select("host", "node", "pages", "presentation", "content", "importance"), "tree")
+    leaves = per.select("host", F.element_at("nodes", -1).alias("node"), "nodes").join(out.select("host", "node", "importance"), ["host", "node"])
+    best = leaves.select("host", F.explode("nodes").alias("node"), "importance").groupBy("host", "node").agg(F.max("importance").alias("best"))
+    return out.join(best, ["host", "node"])
 
 
 def weak_nodes(parsed: DataFrame, tree: DataFrame, low: float, min_pages: int) -> DataFrame:
     """host, digest, weak: the nodes of each page whose branch has low importance."""
-    weak = stored(tree.where((F.col("importance") < low) & (F.col("pages") >= min_pages)).select("host", "node"), "weak")
+    weak = stored(tree.where((F.greatest("importance", "best") < low) & (F.col("pages") >= min_pages)).select("host", "node"), "weak")
     nodes = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["nodes"])))
     pages = parsed.select("host", "digest", F.explode(nodes).alias("node")).distinct()
     return join_small(pages, weak, ["host", "node"], "inner").groupBy("host", "digest").agg(F.collect_set("node").alias("weak"))
