@@ -45,6 +45,7 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame |
     if not edges.limit(1).count():
         return labels
     roots = _least_labels(edges)
+    drop_stored(edges)
     if labels is None:
         return roots
     many = 16 * roots.count()
@@ -82,13 +83,19 @@ def cross_pairs(postings: DataFrame, fit: Callable[[str, str], Column]) -> DataF
     return both.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
-def pairs_with(pairs: DataFrame, sets: DataFrame, value: str) -> DataFrame:
-    """pairs (a, b) with na, nb and the value of both (va, vb) from sets (id, n, value); only the rows that pairs name are moved."""
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
+def similar_pairs(pairs: DataFrame, sets: DataFrame, value: str, similar: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A stored table of the pairs (a, b) that `similar` leaves of pairs with na, nb and the values va, vb from sets (id, n, value).
+
+    Only the sets that pairs name are moved.
+    """
+    ids = stored(pairs.select(F.col("a").alias("id")).distinct().unionByName(pairs.select(F.col("b").alias("id")).distinct()).distinct(), "wanted")
     wanted = stored(join_small(sets.select("id", "n", value), ids, ["id"], "left_semi"), "compared")
     one = lambda side: wanted.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col(value).alias(f"v{side}"))
-    out = pairs.join(one("b"), "b").join(one("a"), "a")
-    return out.where("4 * least(na, nb) >= 3 * greatest(na, nb)")
+    both = pairs.join(one("b"), "b").join(one("a"), "a").where("4 * least(na, nb) >= 3 * greatest(na, nb)")
+    out = stored(similar(both).select("a", "b"), "links")
+    for t in (ids, wanted):
+        drop_stored(t)
+    return out
 
 
 def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], rest: Callable[[DataFrame, DataFrame | None], DataFrame]) -> DataFrame | None:
@@ -101,10 +108,15 @@ def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], rest: Ca
     """
     labels, left = None, postings
     for seed in range(STARS + 1):
-        left = stored(crossing(left.select("key", "id"), labels, seed), "crossing")
+        before, left = left, stored(crossing(left.select("key", "id"), labels, seed), "crossing")
+        if seed:
+            drop_stored(before)
         if not left.limit(1).count():
             return labels
         pairs = stored(star_pairs(left) if seed < STARS else rest(left.select("key", "id", "comp"), labels), "pairs")
-        labels = components(verify(pairs), labels)
+        near = verify(pairs)
+        labels = components(near, labels)
+        for t in (pairs, near):
+            drop_stored(t)
         release(postings.sparkSession)
     return labels

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridframe.llm.common import drop_stored, hold, join_groups, join_small, release, stored
-from gridframe.llm.linking import cross_pairs, crossing, link, pairs_with
+from gridframe.llm.linking import cross_pairs, crossing, link, similar_pairs
 
 WORDS = 5
 OFTEN = 32
@@ -276,8 +276,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     def verify(pairs: DataFrame) -> DataFrame:
         """The pairs whose sets have 100 |A and B| >= 75 |A or B|."""
-        got = pairs_with(pairs, sets.withColumnRenamed("cid", "id"), "tokens").withColumn("both", F.size(F.array_intersect("va", "vb")))
-        return stored(got.where("100 * both >= 75 * (na + nb - both)").select("a", "b"), "links")
+        both = F.size(F.array_intersect("va", "vb"))
+        return similar_pairs(pairs, sets.withColumnRenamed("cid", "id"), "tokens", lambda got: got.withColumn("both", both).where("100 * both >= 75 * (na + nb - both)"))
 
     labels = link(keys, verify, lambda left, known: rest_pairs(ordered, left, known))
     comp = classes.select("cid", "doc_id", "size")
