@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -175,6 +175,27 @@ def apply_guard(steps: DataFrame, batch: str, hash_column: str) -> DataFrame:
     return steps.where("mode = 'apply'").select(batch, hash_column).distinct().join(dry, [batch, hash_column], "left").select(batch, F.coalesce("ok", F.lit(False)).alias("allowed"))
 
 
+def apply_preconditions(plans: DataFrame, ledger: DataFrame, batch: str, expected: str, actual: str, job: str) -> DataFrame:
+    """batch, reason: why an apply is refused, or ok: the content hash, a passed dry run of that hash, and the same jobs in it.
+
+    `plans` has a row per batch and job with both hashes, `ledger` the jobs of passed dry runs with the hash they ran on.
+    """
+    jobs = F.array_join(F.array_sort(F.collect_set(F.col(job).cast("string"))), ",")
+    want = plans.groupBy(batch).agg(F.max(expected).alias("_expected"), F.max(actual).alias("_actual"), jobs.alias("_jobs"))
+    dry = ledger.groupBy(batch, F.col(actual).alias("_h")).agg(jobs.alias("_dry"))
+    j = want.join(dry, (want[batch] == dry[batch]) & (F.col("_actual") == F.col("_h")), "left").select(want[batch], "_expected", "_actual", "_jobs", "_dry")
+    reason = F.when(~F.col("_expected").eqNullSafe(F.col("_actual")), "hash").when(F.col("_dry").isNull(), "no dry run").when(F.col("_dry") != F.col("_jobs"), "other jobs").otherwise("ok")
+    return j.select(batch, reason.alias("reason"))
+
+
+def run_states(jobs: DataFrame, run: str, ordinal: str, failed: Column, rows: str) -> DataFrame:
+    """jobs with `state`: done, failed (or empty) for the first that stops the run, not_run for those behind it."""
+    w = Window.partitionBy(run).orderBy(ordinal).rowsBetween(Window.unboundedPreceding, -1)
+    stops = failed | (F.col(rows) == 0)
+    before = F.coalesce(F.max(stops.cast("int")).over(w), F.lit(0))
+    return jobs.withColumn("state", F.when(before == 1, "not_run").when(failed, "failed").when(F.col(rows) == 0, "empty").otherwise("done"))
+
+
 def ledger_summary(ledger: DataFrame, by: Sequence[str], sums: Sequence[str]) -> DataFrame:
     """Batches and sums per mode and status."""
     return ledger.groupBy(*by).agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in sums])

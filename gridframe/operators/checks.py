@@ -46,8 +46,13 @@ def check_rows(df: DataFrame, rules: Sequence[tuple[str, str, object]], row_no:
     return rows.select("row_no", "group_id", "i.*")
 
 
-def duplicates_in_group(df: DataFrame, group: str, member: str, ordinal: str) -> DataFrame:
-    """Second and later rows of one (group, member) with the ordinal of the first; ordinal breaks ties."""
+def duplicates_in_group(df: DataFrame, group: str, member: str, ordinal: str, integers: bool = False) -> DataFrame:
+    """Second and later rows of one (group, member) with the ordinal of the first; ordinal breaks ties.
+
+    With `integers` only members that look like a number count, without white space around it.
+    """
+    if integers:
+        df = df.withColumn(member, F.when(clean(F.col(member).cast("string")).rlike(r"(?U)^-?\d+$"), clean(F.col(member).cast("string"))))
     w = Window.partitionBy(group, member).orderBy(ordinal)
     rows = df.where(F.col(member).isNotNull()).withColumns({"nth": F.row_number().over(w), "first_row": F.first(ordinal).over(w)})
     return rows.where("nth > 1").select(F.col(group).alias("group_id"), F.col(member).alias("member"), F.col(ordinal).alias("row_no"), "first_row")
@@ -140,6 +145,16 @@ def reconcile(manifest: DataFrame, listing: DataFrame, key: str, hash_column: st
     return both.select(F.col(key).alias("key"), status.alias("status"))
 
 
+def bundle_status(manifest: DataFrame, listing: DataFrame, imported: DataFrame, key: str, path: str, hash_column: str, pattern: str) -> DataFrame:
+    """Status of every key of a bundle: bad id, path mismatch, already imported, or else that of reconcile."""
+    m = manifest.groupBy(key).agg(F.min(path).alias("_path"))
+    named = m.select(key, (~F.col(key).cast("string").rlike(pattern)).alias("_bad"), (F.regexp_extract("_path", r"([^/]+)\.[^./]*$", 1) != F.col(key).cast("string")).alias("_moved"))
+    old = imported.select(key).distinct().withColumn("_old", F.lit(True))
+    out = reconcile(manifest, listing, key, hash_column).withColumnRenamed("key", key).join(named, key, "left").join(old, key, "left")
+    status = F.when(F.col("_bad"), "bad id").when(F.col("_moved"), "path mismatch").when(F.col("_old") & F.col("status").isin("ok"), "already imported").otherwise(F.col("status"))
+    return out.select(F.col(key).alias("key"), status.alias("status"))
+
+
 def id_issues(df: DataFrame, id_column: str, pattern: str, parts: Sequence[Column]) -> DataFrame:
     """Rows whose id doesn't match the pattern, or whose columns differ from the id's groups in order."""
     v = F.col(id_column).cast("string")

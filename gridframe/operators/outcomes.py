@@ -70,6 +70,15 @@ def exclusion_reasons(facts: DataFrame, entries: DataFrame, group: str, required
     return j.select(group, why.alias("reasons"))
 
 
+def group_identity(facts: DataFrame, entries: DataFrame, group: str, lane: str, columns: Sequence[str]) -> DataFrame:
+    """group and its columns: from the fact row if there is exactly one, else from the first entry by lane, else ''."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    f = facts.groupBy(group).agg(F.count("*").alias("_n"), *[F.first(text(c)).alias(f"_f_{c}") for c in columns])
+    e = entries.groupBy(group).agg(F.min(F.struct(F.col(lane).alias("_lane"), *[text(c).alias(c) for c in columns])).alias("_e"))
+    j = f.join(e, group, "full_outer")
+    return j.select(group, *[F.when(F.col("_n") == 1, F.col(f"_f_{c}")).otherwise(F.coalesce(F.col(f"_e.{c}"), F.lit(""))).alias(c) for c in columns])
+
+
 def completeness_reasons(entries: DataFrame, group: str, lane: str, lane_fields: Sequence[str], group_fields: Sequence[str], lanes: int) -> DataFrame:
     """group, reasons: lane_set, lane_repeated, missing:laneK:field and missing:field of a group's program or preview rows."""
     rows = entries.groupBy(group, lane).agg(F.count("*").alias("n"), *[F.max(F.col(c).isNull()).alias(c) for c in [*lane_fields, *group_fields]])

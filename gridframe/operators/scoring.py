@@ -132,6 +132,30 @@ def grid_select(losses: DataFrame, params: list[str], loss_column: str, ordinal:
     return g.orderBy("loss", ordinal).limit(1)
 
 
+def grid_refit(train: DataFrame, selection: DataFrame, level: str, column: str, domain: DataFrame, taus: Sequence[float], leasts: Sequence[int], n: str) -> tuple[DataFrame, DataFrame]:
+    """The grid of (tau, least) with its loss on the selection counts, best first, and the frequencies refitted on both with the best.
+
+    All tables hold counts `n` of (level, column); the first in grid order wins ties.
+    """
+    grid = domain.sparkSession.createDataFrame([(i, float(t), int(m)) for i, (t, m) in enumerate((t, m) for t in taus for m in leasts)], "ordinal int, tau double, least int")
+
+    def probs(counts: DataFrame, params: DataFrame) -> DataFrame:
+        k = domain.count()
+        own = counts.groupBy(level, column).agg(F.sum(n).alias("c"))
+        whole = domain.select(column).join(counts.groupBy(column).agg(F.sum(n).alias("w")), column, "left").withColumn("w", F.coalesce("w", F.lit(0)))
+        total = counts.agg(F.sum(n).alias("all"))
+        sizes = counts.groupBy(level).agg(F.sum(n).alias("size"))
+        rows = whole.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(params)).crossJoin(F.broadcast(sizes)).join(own, [level, column], "left")
+        base = (F.col("w") + F.col("tau") / k) / (F.col("all") + F.col("tau"))
+        p = F.when(F.col("size") >= F.col("least"), (F.coalesce("c", F.lit(0)) + F.col("tau") * base) / (F.col("size") + F.col("tau"))).otherwise(base)
+        return rows.select("ordinal", "tau", "least", level, column, p.alias("p"))
+
+    met = selection.groupBy(level, column).agg(F.sum(n).alias("s")).join(probs(train, grid), [level, column])
+    losses = met.groupBy("ordinal", "tau", "least").agg((F.sum(F.col("s") * loss(F.col("p"))) / F.sum("s")).alias("loss")).orderBy("loss", "ordinal")
+    both = train.select(level, column, n).unionByName(selection.select(level, column, n))
+    return losses, probs(both, losses.limit(1).select("ordinal", "tau", "least"))
+
+
 def tempered(p: str | Column, t: Column) -> Column:
     """p^(1/T), normalised."""
     raised = F.transform(p, lambda x: F.pow(x, 1 / t))
@@ -201,6 +225,24 @@ def bootstrap(daily: DataFrame, cluster: str, total_column: str, n_column: str,
     return per.agg(F.avg("delta").alias("mean"), F.get(q, 0).alias("low"), F.get(q, 1).alias("high"))
 
 
+def dominance(losses: DataFrame, stages: Sequence[str], share: float, pair: float, low: float, high: float, extreme: float) -> DataFrame:
+    """losses with one of ten exclusive error classes; every row gets one.
+
+    low below `low`; extreme from `extreme`; a stage with `share` of the loss (the largest, ties to the first) dominates; else
+    two stages with `pair` of it together; else balanced, split by `high`. Three stages give 3 + 3 + 4 classes.
+    """
+    whole = sum((F.col(s) for s in stages[1:]), F.col(stages[0]))
+    kind = F.when(whole < low, "low").when(whole >= extreme, "extreme")
+    top = F.greatest(*stages)
+    for s in stages:
+        kind = kind.when((F.col(s) == top) & (F.col(s) >= share * whole), F.lit(f"{s}_dominant"))
+    small = F.least(*stages)
+    for s in stages:
+        others = "_and_".join(x for x in stages if x != s)
+        kind = kind.when((F.col(s) == small) & (whole - F.col(s) >= pair * whole), F.lit(others))
+    return losses.withColumn("error_class", kind.when(whole >= high, "balanced_high").otherwise("balanced"))
+
+
 def taxonomy(losses: DataFrame, stages: Sequence[str], share: float, low: float, high: float) -> DataFrame:
     """losses with its error class: low loss, one dominant stage, or spread over stages, split by size."""
     whole = sum((F.col(s) for s in stages[1:]), F.col(stages[0]))

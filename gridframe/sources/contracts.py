@@ -39,6 +39,15 @@ def to_parquet(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def replace_load(df: DataFrame, path: str, issues: DataFrame) -> tuple[int, bool]:
+    """Replace the table at `path` by df as text, unless there are issues: rows of the table now, and whether it was loaded."""
+    spark = df.sparkSession
+    clean = not issues.limit(1).count()
+    if clean:
+        as_text(df).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).count(), clean
+
+
 def semi_select(df: DataFrame, keys: DataFrame, on: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows whose key is selected; the header must equal `columns` where given."""
     if columns is not None and list(df.columns) != list(columns):
