@@ -290,14 +290,15 @@ def test_html_pages_keep_every_row(spark):
 
 
 def test_chat_rotates_over_speakers(spark):
-    turns = [(1, 0, "system", "rules"), (1, 1, "Ann", "hi"), (1, 2, "bob", None), (1, 3, None, "x"), (2, 0, "system", "alone"), (None, 0, "ann", "lost")]
+    turns = [(1, 0, "system", "rules"), (1, 1, "Ann", "hi"), (1, 2, "bob", None), (1, 3, None, "x"), (2, 0, "system", "alone"), (None, 0, "ann", "lost"), (-1, 0, "zed", "z" * 100_000), (-1, 0, "zed", "z" * 100_000)]
     got = chat.rotate_perspectives(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("name", F.lit("clash"))).collect()
     assert {r.perspective for r in got if r.conv_id == 1} == {"ann", "bob", "unknown"} and not [r for r in got if r.conv_id == 2]
     bob = sorted((r for r in got if r.perspective == "bob"), key=lambda r: r.turn)
     assert [(r.role, r.name) for r in bob] == [("system", None), ("user", "ann"), ("assistant", None), ("user", "unknown")]
     open_ = [r.segment[r.train_from : r.train_to] for r in bob]
     assert open_ == ["", "", "<|im_end|>", ""]
-    assert len([r for r in got if r.conv_id == -1]) == 1
+    assert len([r for r in got if r.conv_id is None]) == 1 and len([r for r in got if r.conv_id == -1]) == 2
+    assert chat.rotate_perspectives(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
 # ---- 5
@@ -461,6 +462,13 @@ def test_mix_fills_shortages_from_siblings_first(spark):
     assert dict(got.groupBy("source").agg(F.sum("tokens")).collect()) == {"a": 100, "b": 650, "c": 250}
 
 
+def test_mix_repeated_rows_and_clashing_ids(spark):
+    rows = [(1, "domain0", "en", "a", 10)] * 3 + [(2, "domain0", "en", "a", 5), (2, "domain0", "en", "a", 7)]
+    leaves = stored(spark.createDataFrame(rows, "doc_id long, domain string, lang string, source string, tokens long"), "leaves")
+    assert sorted((r.doc_id, r.tokens, r.epoch) for r in mixing.mix(leaves, 1.0, 1).collect()) == [(1, 10, 1)] * 3 + [(2, 5, 1), (2, 7, 1)]
+    assert mixing.mix(leaves, 0.5, 1).agg(F.sum("tokens")).first()[0] <= 21
+
+
 def test_mix_odd_rows(odd, empty):
     got = mixing.mix(stored(mixing.leaves_of(odd), "leaves"), 1.0, 1)
     assert sorted(r.doc_id for r in got.collect()) == [r[0] for r in ODD]
@@ -536,6 +544,13 @@ def test_line_dedup_odd_rows(odd, empty):
     assert lines.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_rows_without_or_with_one_id(spark):
+    line = "the same long line of text stands in all of these rows"
+    rows = [(None, line), (None, f"{line}\nx y z"), (7, f"{line}\nother words of the first row"), (7, f"{line}\nquite different words here"), (8, f"{line}.\n\n  "), (9, "x" * 200_000)]
+    got = collections.Counter((r.doc_id, r.text) for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").withColumns({"h": F.lit(1), "n_lines": F.lit("x"), "_g": F.lit(0)})).collect())
+    assert got == collections.Counter([(None, line), (None, f"{line}\nx y z"), (7, f"{line}\nother words of the first row"), (7, f"{line}\nquite different words here"), (8, "\n  "), (9, "x" * 200_000)])
+
+
 def test_line_dedup_short_and_unspaced_lines(spark):
     pairs = [
         ("subscribe to our newsletter today", "subscribe to our newsletter today!!"),  # five words
@@ -577,6 +592,38 @@ def test_line_dedup_recall_of_character_shingles(spark, texts):
 # ---- pipeline
 
 
+def test_pipeline_odd_rows_and_empty_table(spark, odd, empty):
+    extra = spark.createDataFrame([(None, "Eine eigene Zeile ohne Nummer.", "de", "src3"), (4, "Another text with the same number as four.", "en", "src1")], "doc_id long, text string, lang string, source string")
+    docs = odd.unionByName(extra.withColumn("n_chars", F.length("text").cast("long")), allowMissingColumns=True).withColumns({"_id": F.lit(1), "gone": F.lit("x"), "lang_pred": F.lit("y")})
+    for name, stage in corpus_pipeline.STAGES:
+        docs, empty = stored(stage(spark, docs, SF), name), stored(stage(spark, empty, SF), name)
+        assert empty.count() == 0 and docs.where("doc_id in (1, 2, 3)").count() == 0
+        if name == "language_id":
+            assert sorted(r.doc_id or 0 for r in docs.collect()) == [0, 4, 4, 5, 6, 7, 8, 9]
+        if name == "line_dedup":  # 9 repeats the line of 4, and 7 that of 6
+            assert sorted(r.doc_id or 0 for r in docs.collect()) == [0, 4, 4, 5, 6, 8]
+    assert {r.doc_id for r in docs.collect()} <= {None, 4, 5, 6, 8}
+
+
+def test_pipeline_language_and_lines_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    told = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, docs, SF).collect()}
+    samples = langid.sample_texts(docs.where(~langid.held_out()).withColumn("key", F.col("doc_id")))
+    model = langid.Model(samples)
+    rows = docs.select("doc_id", "text").collect()
+    assert told == {r.doc_id: lang for r, lang in zip(rows, model.predict([r.text for r in rows])[0], strict=True) if lang != "und"}
+    some = docs.where("doc_id % 3 = 0 or doc_id < 60")
+    texts = {r.doc_id: r.text for r in some.collect()}
+    gone = brute_lines(texts)
+    want = {}
+    for i, t in texts.items():
+        left = [x for p, x in enumerate((t or "").split("\n")) if p not in gone[i]]
+        if not gone[i] or "\n".join(left).strip(" "):
+            want[i] = t if not gone[i] else "\n".join(left)
+    got = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, some, SF).collect()}
+    assert sum(got.get(i) != want.get(i) for i in texts) <= 0.01 * len(texts)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "ngram_jaccard", "source_mix", "packing"]
