@@ -61,7 +61,7 @@ def seq_gaps(spark, d):
 @query("flag_totals", f"WITH {E} SELECT count(*) FILTER (finish = 1) AS win, count(*) FILTER (finish = 2) AS second, count(*) FILTER (finish <= 3) AS top3, count(*) FILTER (returnflag = 'R') AS returned, count(*) FILTER (linestatus = 'F') AS closed FROM e")
 def flag_totals(spark, d):
     rules = {"win": F.col("finish") == 1, "second": F.col("finish") == 2, "top3": F.col("finish") <= 3, "returned": F.col("returnflag") == "R", "closed": F.col("linestatus") == "F"}
-    return entry(spark, d).agg(*[F.count_if(c).alias(n) for n, c in rules.items()])
+    return entry(spark, d, venue=False).agg(*[F.count_if(c).alias(n) for n, c in rules.items()])
 
 
 @query("audit_long", "SELECT 'rows' AS section, 'all' AS key, CAST(count(*) AS BIGINT) AS value FROM lineitem UNION ALL SELECT 'groups', 'all', count(DISTINCT l_orderkey) FROM lineitem UNION ALL SELECT 'flag', l_returnflag, count(*) FROM lineitem GROUP BY l_returnflag UNION ALL SELECT 'month', strftime(l_shipdate, '%Y-%m'), count(DISTINCT l_orderkey) FROM lineitem GROUP BY 2 UNION ALL SELECT 'duplicates', 'all', CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) FROM lineitem UNION ALL SELECT 'status', l_linestatus, count(*) FROM lineitem GROUP BY 2 UNION ALL SELECT 'missing', 'l_discount', count(*) FROM lineitem WHERE l_discount = 0 UNION ALL SELECT 'missing', 'l_tax', count(*) FROM lineitem WHERE l_tax = 0 UNION ALL SELECT 'gaps', 'all', count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_linenumber) < max(l_linenumber) - min(l_linenumber) + 1) UNION ALL SELECT 'feature', 'large', count(*) FILTER (l_quantity > 25) FROM lineitem UNION ALL SELECT 'feature', 'returned', count(*) FILTER (l_returnflag = 'R') FROM lineitem UNION ALL SELECT 'size', reason, count(*) FROM (SELECT CASE WHEN count(DISTINCT x) = 0 THEN 'missing' WHEN count(DISTINCT x) > 1 THEN 'ambiguous' WHEN abs(max(x) - count(*)) > 1 THEN 'mismatch' END AS reason FROM (SELECT l_orderkey, CASE WHEN l_orderkey % 9 = 0 THEN NULL WHEN l_orderkey % 10 = 0 THEN 3 + l_linenumber % 2 ELSE 4 END AS x FROM lineitem) GROUP BY l_orderkey) WHERE reason IS NOT NULL GROUP BY reason")
@@ -138,7 +138,7 @@ def outcome_crosstab(spark, d):
 
 @query("coverage_funnel", f"WITH {E}, {T}, f AS (SELECT count(*) AS candidates, count(*) FILTER (n >= 3) AS eligible, count(*) FILTER (target_status = 'unique_order') AS scorable, count(*) FILTER (target_status = 'unique_order' AND group_id % 4 <> 0) AS predicted FROM t) SELECT *, round(eligible / candidates + 1e-9, 6) AS eligible_rate, round(scorable / nullif(eligible, 0) + 1e-9, 6) AS scorable_rate, round(predicted / nullif(scorable, 0) + 1e-9, 6) AS predicted_rate FROM f")
 def coverage_funnel(spark, d):
-    t = oc.target_status(entry(spark, d), "group_id", "lane", "finish", least=3)
+    t = oc.target_status(entry(spark, d, venue=False), "group_id", "lane", "finish", least=3)
     clear = F.col("target_status") == "unique_order"
     f = t.agg(F.count("*").alias("candidates"), F.count_if(F.col("n") >= 3).alias("eligible"), F.count_if(clear).alias("scorable"), F.count_if(clear & (F.col("group_id") % 4 != 0)).alias("predicted"))
     rate = lambda a, b: r6(F.col(a) / F.nullif(F.col(b), F.lit(0)))
@@ -255,14 +255,14 @@ def episodes(spark, d):
 
 @query("target_status", f"WITH {E}, {T} SELECT group_id, target_status, f1, f2, f3, class_id FROM c")
 def target_status(spark, d):
-    return oc.target_status(entry(spark, d), "group_id", "lane", "finish", least=3).select("group_id", "target_status", "f1", "f2", "f3", "class_id")
+    return oc.target_status(entry(spark, d, venue=False), "group_id", "lane", "finish", least=3).select("group_id", "target_status", "f1", "f2", "f3", "class_id")
 
 
 @query("target_status_settled", f"WITH {E}, x AS (SELECT *, status <> 'O' AS settled, CASE WHEN group_id % 11 = 0 AND lane = 1 THEN 9 WHEN group_id % 13 = 0 AND lane = 2 THEN NULL ELSE finish END AS place FROM e), g AS (SELECT group_id, min(CASE WHEN settled THEN 1 ELSE 0 END) AS ok, count(*) AS n, count(DISTINCT lane) AS nl, min(lane) AS lo, max(lane) AS hi, count(DISTINCT place) AS np, count(*) FILTER (place IS NULL OR place NOT BETWEEN 1 AND 6) AS outside, max(CASE WHEN place = 1 THEN lane END) AS f1, max(CASE WHEN place = 2 THEN lane END) AS f2, max(CASE WHEN place = 3 THEN lane END) AS f3 FROM x GROUP BY group_id) SELECT group_id, CASE WHEN ok = 0 OR n < 3 OR n <> nl OR lo < 1 OR hi > 6 OR outside > 0 THEN 'void' WHEN np < n THEN 'tied' ELSE 'unique_order' END AS target_status, f1, f2, f3 FROM g")
 def target_status_settled(spark, d):
     k = F.col("group_id")
     place = F.when((k % 11 == 0) & (F.col("lane") == 1), 9).when((k % 13 == 0) & (F.col("lane") == 2), F.lit(None)).otherwise(F.col("finish"))
-    e = entry(spark, d).withColumns({"settled": F.col("status") != "O", "place": place})
+    e = entry(spark, d, venue=False).withColumns({"settled": F.col("status") != "O", "place": place})
     return oc.target_status(e, "group_id", "lane", "place", least=3, settled="settled").select("group_id", "target_status", "f1", "f2", "f3")
 
 
@@ -380,7 +380,7 @@ def snapshot_profile(spark, d):
 
 @query("outcome_class", f"WITH {E}, g AS (SELECT group_id, count(*) FILTER (finish = 1) AS n1, count(*) FILTER (finish = 2) AS n2, count(*) FILTER (finish = 3) AS n3, count(*) AS n, count(DISTINCT CASE WHEN finish BETWEEN 1 AND 6 THEN finish END) AS places FROM e GROUP BY group_id) SELECT group_id, CASE WHEN greatest(n1, n2, n3) > 1 THEN 'tied' WHEN n1 = 1 AND n2 = 1 AND n3 = 1 AND n = 6 AND places = 6 THEN 'unique_order' WHEN n1 = 1 AND n2 = 1 AND n3 = 1 THEN 'unique_top3_abnormal' ELSE 'void' END AS outcome FROM g")
 def outcome_class(spark, d):
-    return oc.outcome_class(entry(spark, d), "group_id", "lane", "finish")
+    return oc.outcome_class(entry(spark, d, venue=False), "group_id", "lane", "finish")
 
 
 _COMBO = "CAST(l_linenumber AS VARCHAR) || '-' || (l_suppkey % 7 + 1) || '-' || (l_partkey % 6 + 1)"
@@ -394,7 +394,7 @@ def combo_norm(spark, d):
 
 @query("scorable", f"WITH {E}, {T}, x AS (SELECT group_id, n >= 4 AS eligible, target_status, CASE WHEN group_id % 5 = 0 THEN 'x' ELSE f1 || '-' || f2 || '-' || f3 END AS paid, f1 || '-' || f2 || '-' || f3 AS expected FROM t) SELECT group_id, coalesce(eligible AND target_status = 'unique_order' AND paid = expected, false) AS scorable FROM x")
 def scorable(spark, d):
-    t = oc.target_status(entry(spark, d), "group_id", "lane", "finish", least=3)
+    t = oc.target_status(entry(spark, d, venue=False), "group_id", "lane", "finish", least=3)
     label = F.concat_ws("-", "f1", "f2", "f3")
     x = t.select("group_id", (F.col("n") >= 4).alias("eligible"), F.col("target_status").alias("outcome"), label.alias("expected"), F.array(F.when(F.col("group_id") % 5 == 0, "x").otherwise(label)).alias("combos"))
     return oc.scorable(x, "eligible", "outcome", "expected", "combos").select("group_id", "scorable")
@@ -410,5 +410,5 @@ def universe_roles(spark, d):
 @query("lane_sorted", f"WITH {E}, l AS (SELECT group_id, coalesce(CASE WHEN lane <= 6 THEN lane END, 99) AS k, entity, price FROM e) SELECT group_id, array_to_string(list(k ORDER BY k, entity, price), '|') AS lanes, array_to_string(list(entity ORDER BY k, entity, price), '|') AS entities FROM l GROUP BY group_id")
 def lane_sorted(spark, d):
     k = F.coalesce(F.when(F.col("lane") <= 6, F.col("lane")), F.lit(99))
-    g = entry(spark, d).groupBy("group_id").agg(F.array_sort(F.collect_list(F.struct(k.alias("k"), "entity", "price"))).alias("s"))
+    g = entry(spark, d, venue=False).groupBy("group_id").agg(F.array_sort(F.collect_list(F.struct(k.alias("k"), "entity", "price"))).alias("s"))
     return g.select("group_id", F.array_join("s.k", "|").alias("lanes"), F.array_join("s.entity", "|").alias("entities"))

@@ -199,7 +199,7 @@ def temperature(spark, d):
 
 @query("impute_scale", f"WITH {E}, x AS (SELECT group_id, lane, CASE WHEN discount > 0.02 THEN price END AS v, group_id % 2 = 0 AS train FROM e), m AS (SELECT quantile_cont(v, 0.5) FILTER (train) AS med FROM x), f AS (SELECT avg(coalesce(v, med)) AS mean, stddev_pop(coalesce(v, med)) AS std FROM x CROSS JOIN m WHERE train) SELECT group_id, lane, v IS NULL AS was_missing, round((coalesce(v, med) - mean) / std + 1e-9, 6) AS scaled FROM x CROSS JOIN m CROSS JOIN f")
 def impute_scale(spark, d):
-    x = entry(spark, d).select("group_id", "lane", F.when(F.col("discount") > 0.02, F.col("price")).alias("v"), (F.col("group_id") % 2 == 0).alias("train"))
+    x = entry(spark, d, venue=False).select("group_id", "lane", F.when(F.col("discount") > 0.02, F.col("price")).alias("v"), (F.col("group_id") % 2 == 0).alias("train"))
     med = exact_quantiles(x.where("train"), "v", [0.5]).select(F.get("quantiles", 0).alias("med"))
     filled = x.join(F.broadcast(med)).withColumn("w", F.coalesce("v", "med"))  # one row
     fit = filled.where("train").agg(F.avg("w").alias("mean"), F.stddev_pop("w").alias("std"))
@@ -215,7 +215,7 @@ def vocab(spark, d):
 
 @query("oof_target_enc", f"WITH {E}, x AS (SELECT *, CAST(group_id % 5 AS BIGINT) AS fold, CASE WHEN finish = 1 THEN 1 ELSE 0 END AS win FROM e), t AS (SELECT entity, sum(win) AS w, count(*) AS n FROM x GROUP BY 1), f AS (SELECT entity, fold, sum(win) AS w, count(*) AS n FROM x GROUP BY 1, 2) SELECT f.entity, f.fold, round((t.w - f.w + 2.5) / (t.n - f.n + 10) + 1e-9, 6) AS encoded FROM f JOIN t ON f.entity = t.entity")
 def oof_target_enc(spark, d):
-    x = entry(spark, d).select("entity", (F.col("group_id") % 5).alias("fold"), F.when(F.col("finish") == 1, 1).otherwise(0).alias("win"))
+    x = entry(spark, d, venue=False).select("entity", (F.col("group_id") % 5).alias("fold"), F.when(F.col("finish") == 1, 1).otherwise(0).alias("win"))
     f = x.groupBy("entity", "fold").agg(F.sum("win").alias("w"), F.count("*").alias("n"))
     t = f.groupBy("entity").agg(F.sum("w").alias("tw"), F.sum("n").alias("tn"))
     return f.join(t, "entity").select("entity", "fold", r6((F.col("tw") - F.col("w") + 2.5) / (F.col("tn") - F.col("n") + 10)).alias("encoded"))
@@ -239,7 +239,7 @@ def logsumexp_assemble(spark, d):
 
 @query("loo_prior", f"WITH {E}, x AS (SELECT group_id, lane, entity, price, CASE WHEN finish = 1 THEN 1 ELSE 0 END AS win FROM e) SELECT group_id, lane, price, round((sum(win) OVER (PARTITION BY entity) - win) / nullif(count(*) OVER (PARTITION BY entity) - 1, 0) + 1e-9, 6) AS loo FROM x")
 def loo_prior(spark, d):
-    x = entry(spark, d).select("group_id", "lane", "entity", "price", F.when(F.col("finish") == 1, 1).otherwise(0).alias("win"))
+    x = entry(spark, d, venue=False).select("group_id", "lane", "entity", "price", F.when(F.col("finish") == 1, 1).otherwise(0).alias("win"))
     return sc.leave_one_out(x, ["entity"], "win").select("group_id", "lane", "price", r6("loo").alias("loo"))
 
 

@@ -25,10 +25,17 @@ c AS (SELECT *, CASE WHEN target_status = 'unique_order' THEN (f1 - 1) * 20 + (f
  + (f3 - 1 - CASE WHEN f3 > f1 THEN 1 ELSE 0 END - CASE WHEN f3 > f2 THEN 1 ELSE 0 END) END AS class_id FROM t)"""
 
 
-def entry(spark: SparkSession, d: str) -> DataFrame:
-    """One row per line of an order: group, lane, entity, date, venue, finish by quantity."""
-    li, o, c = (table(spark, d, n) for n in ("lineitem", "orders", "customer"))
-    rows = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+def entry(spark: SparkSession, d: str, venue: bool = True) -> DataFrame:
+    """One row per line of an order: group, lane, entity, date, venue, finish by quantity.
+
+    Without `venue` the customers are not joined, and venue and segment are null: for queries that need neither.
+    """
+    li, o = (table(spark, d, n) for n in ("lineitem", "orders"))
+    rows = li.join(o, li.l_orderkey == o.o_orderkey)
+    if venue:
+        rows = rows.join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    else:
+        rows = rows.withColumns({"c_nationkey": F.lit(None).cast("long"), "c_mktsegment": F.lit(None).cast("string")})
     finish = F.rank().over(Window.partitionBy("l_orderkey").orderBy(F.desc("l_quantity")))
     return rows.select(
         F.col("l_orderkey").alias("group_id"),
