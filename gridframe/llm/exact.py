@@ -176,6 +176,7 @@ def _keyed(docs: DataFrame, digest_bytes: int) -> DataFrame:
 def _mixed(docs: DataFrame, rows: DataFrame, several: DataFrame, digest_bytes: int) -> DataFrame:
     """The digests that stand for more than one text, compared byte by byte."""
     ids = rows.join(F.broadcast(several.select("key")) if size_of(several) <= BROADCAST_BYTES else several.select("key"), "key", "left_semi").select("doc_id").distinct()
+    ids = stored(ids, "copies")
     # Other rows with one of these ids are groups of their own text, so they do no harm.
     texts = join_small(_keyed(docs, digest_bytes), ids, ["doc_id"], "left_semi").unionByName(_keyed(docs.where("doc_id is null"), digest_bytes))
     return texts.groupBy("key").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a <> b").select("key")

@@ -9,7 +9,8 @@ New runs become a level of their own, and levels of equal size merge, so there a
 
 Suffixes that occur very often are dealt by their whole run instead of their k-gram, and their windows one by one, so no
 task gets all rows of a common passage. Null text counts as empty, texts shorter than `length` lose nothing, rows of one
-doc_id are at the same place and never repeats of each other, an empty table gives an empty result.
+doc_id are at the same place and never repeats of each other, rows without doc_id lose nothing and repeat nothing, an empty
+table gives an empty result, other columns are ignored.
 """
 
 from __future__ import annotations
@@ -220,7 +221,7 @@ def windows(docs: DataFrame, compare: DataFrame, hot: np.ndarray, length: int =
     # Two integers a run keep the lists small: its k-gram, and place, number of windows and freshness together.
     packed = F.shiftleft(F.col("first").cast("long"), 20) + F.col("count") * 2 + F.col("fresh").cast("int")
     wanted = compare.groupBy("doc_id").agg(F.flatten(F.collect_list(F.array("h", packed))).alias("runs"))
-    texts = join_small(docs.select("doc_id", "text"), wanted, ["doc_id"], "inner")
+    texts = join_small(docs.select("doc_id", "text"), stored(wanted, "runs"), ["doc_id"], "inner")
     common = docs.sparkSession.sparkContext.broadcast(hot)
     schema = "part long, h long, doc_id long, first int, fresh boolean, bytes binary"
 
