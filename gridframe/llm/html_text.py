@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridframe.llm.common import join_small, stored
+from gridframe.llm.common import join_small, release, stored
 
 LOW_IMPORTANCE = 0.3
 MIN_PAGES = 5
@@ -206,6 +206,7 @@ def style_tree(parsed: DataFrame) -> DataFrame:
     out = shown.join(content, ["host", "node"]).join(styles.select("host", "node", "kinds", spread.alias("presentation")), ["host", "node"], "left")
     fade = F.pow(F.lit(FADE), F.coalesce("kinds", F.lit(0)))
     out = stored(out.withColumn("importance", (1 - fade) * F.coalesce("presentation", F.lit(0.0)) + fade * F.col("content")).select("host", "node", "pages", "presentation", "content", "importance"), "tree")
+    release(parsed.sparkSession)
     leaves = per.select("host", F.element_at("nodes", -1).alias("node"), "nodes").join(out.select("host", "node", "importance"), ["host", "node"])
     best = leaves.select("host", F.explode("nodes").alias("node"), "importance").groupBy("host", "node").agg(F.max("importance").alias("best"))
     return out.join(best, ["host", "node"])
@@ -223,6 +224,7 @@ def main_texts(pages: DataFrame, low: float = LOW_IMPORTANCE, min_pages: int = M
     """page_id, url, text, n_chars and n_weak (blocks that only the style tree drops) of every page."""
     parsed = stored(parse_pages(pages), "pages")
     weak = stored(weak_nodes(parsed, style_tree(parsed), low, min_pages), "weakest")
+    release(pages.sparkSession)
     rows = join_small(parsed.drop("layouts"), weak, ["host", "digest"], "left")
     strong = lambda b: ~F.arrays_overlap(b["nodes"], F.coalesce("weak", F.array().cast("array<bigint>")))
     size = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, b: a + F.length(b["text"]))
