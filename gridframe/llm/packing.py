@@ -11,6 +11,7 @@ repeated rows are documents of their own; empty tables give empty results; other
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -33,6 +34,13 @@ SLICE_ROWS = 2000
 _PUNCTUATION = ".,!?;:"
 
 
+def _ends_in_letter(core: str) -> bool:
+    """Whether a word still ends in a letter when the tokenizer has composed and lower-cased it: some letters gain a mark."""
+    if not core or not core[-1].isalpha():
+        return False
+    return core[-1].isascii() or unicodedata.normalize("NFC", core).lower()[-1].isalpha()
+
+
 class WordIds:
     """Ids of white-space separated words, kept for words seen before; the tokenizer drops white space, so words are independent."""
 
@@ -52,7 +60,7 @@ class WordIds:
         for w in words:
             if w not in known:
                 core = w.rstrip(_PUNCTUATION)
-                cores[w] = core if core and core[-1].isalpha() else w
+                cores[w] = core if _ends_in_letter(core) else w
         new = list({x for w, core in cores.items() for x in (core, w[len(core) :]) if x not in known})
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
@@ -79,12 +87,13 @@ def _document_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray,
     """All ids of a batch in one array, and where each document's ids begin (one more entry than documents)."""
     words = _words(path)
     texts = pc.fill_null(texts, "")
-    special = np.zeros(len(texts), bool)
+    special, lower = np.zeros(len(texts), bool), pc.ascii_lower(texts)
     for token in words.special:
-        special |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
-    # The tokenizer finds its special tokens in the raw text, whatever stands around them: such texts go to it whole.
+        special |= pc.match_substring(lower, token.lower()).to_numpy(zero_copy_only=False)
+    # The tokenizer finds its special tokens in the raw text, whatever stands around them, and in capitals they are plain text:
+    # texts that hold one either way go to it whole.
     whole = {i: words.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids for i in np.flatnonzero(special).tolist()}
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(pa.array(special), "", texts)))
+    lists = pc.ascii_split_whitespace(pc.if_else(pa.array(special), "", lower))
     bounds = lists.offsets.to_numpy()
     coded = lists.flatten().dictionary_encode()
     where = coded.indices.to_numpy()
