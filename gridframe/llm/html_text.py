@@ -41,6 +41,8 @@ MAX_DEPTH = 256
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 _SKIP = set("script style noscript template iframe object svg canvas math head title select option textarea button input audio video datalist".split())
+#: What may stand in a head; anything else ends it, as its end tag may be left out.
+_IN_HEAD = set("base basefont bgsound link meta title style script noscript noframes template".split())
 _BOILER = set("nav aside footer form menu dialog search".split())
 _ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _NAMES = set(
@@ -56,6 +58,7 @@ _TITLES = {"header", "masthead"}
 _CONTAINERS = set("div section aside ul ol dl table nav header footer form fieldset".split())
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _WORD = re.compile(r"[a-z]+")
+_COMMENT_END = re.compile(r"--!?>|</(?:script|style)", re.I)
 
 
 def _digest(*parts) -> int:
@@ -63,8 +66,8 @@ def _digest(*parts) -> int:
 
 
 def _boilerplate_name(tag: str, names: list[str], in_main: bool) -> bool:
-    """Whether a class or id marks boilerplate: outside the main part by its first or last word, inside by every word."""
-    if tag in ("html", "body", "main"):
+    """Whether a class or id marks boilerplate: outside the main part by its first or last word, inside on containers and by every word."""
+    if tag in ("html", "body", "main") or in_main and tag not in _CONTAINERS and tag != "article":
         return False
     known = _NAMES - _TITLES if in_main else _NAMES
     for name in names:
@@ -101,7 +104,16 @@ class _Page(HTMLParser):
                 self.layouts.add((node, _digest(children), len(set(children))))
         del self.stack[start:]
 
+    def end_head(self, everything: bool) -> None:
+        """Close an open head that has no end tag; with `everything` also what is left open in it."""
+        places = [k for k, x in enumerate(self.stack) if x[0] == "head"]
+        if places and (everything or places[-1] == len(self.stack) - 1):
+            self.text.clear()
+            self.close_from(places[0])
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag not in _IN_HEAD:
+            self.end_head(tag == "body")
         if tag == "br":
             self.text.append(" ")
         if tag in _VOID:
@@ -158,14 +170,19 @@ class _Page(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self.end_head(False)
         if not (self.stack and self.stack[-1][2] < 0):
             self.text.append(data)
 
 
 def read_page(html: str | None) -> tuple[list[tuple[list[int], int, str]], set[tuple[int, int, int]]]:
     """Blocks (nodes from the root, kind, text) in page order; layouts (node, layout, kinds of children) of all elements."""
-    page = _Page()
-    page.feed(html or "")
+    page, html = _Page(), html or ""
+    comment = html.rfind("<!--")
+    if comment >= 0 and not _COMMENT_END.search(html, comment + 2):
+        html = html[:comment]  # without an end a comment goes to the page's end
+    page.feed(html)
     page.close()
     page.flush_block()
     page.close_from(0)
