@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from gridframe.llm.common import drop_stored, join_small, size_of, stored
 
 FANOUT = 3
+_PATH = "array<struct<left:string,right:string>>"
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
@@ -88,15 +89,16 @@ def levels(nodes: DataFrame, fanout: int = FANOUT) -> list[DataFrame]:
     return [*out, stored(alone(nodes), "level")]
 
 
-def paths(up: list[DataFrame], roots: DataFrame, fanout: int = FANOUT) -> DataFrame:
+def paths(up: list[DataFrame], roots: DataFrame | None = None, fanout: int = FANOUT) -> DataFrame:
     """The leaves' level with `path`: left and right siblings level by level, then those of the tree's root in `roots` (tree, above).
 
     Each level meets the one above it by (tree, parent's place); a tree's root meets its row of `roots`.
     """
     own = F.array(F.struct("left", "right"))
-    higher, size = None, size_of(roots)
+    higher, size = None, roots is not None and size_of(roots)
     for k in range(len(up) - 1, -1, -1):
-        level = join_small(up[k].where("size = 1"), roots, ["tree"], "inner", size).withColumn("path", F.col("above")).drop("above")
+        level = up[k].where("size = 1")
+        level = level.withColumn("path", F.array().cast(_PATH)) if roots is None else join_small(level, roots, ["tree"], "inner", size).withColumnRenamed("above", "path")
         if higher is not None:
             parents = higher.select(F.col("tree").alias("_t"), F.col("place").alias("_p"), F.col("path").alias("_above"))
             inner = up[k].where("size > 1").join(parents, (F.col("tree") == F.col("_t")) & (F.floor(F.col("place") / fanout) == F.col("_p")))
@@ -130,8 +132,7 @@ def manifest(docs: DataFrame, fields: list[str] | None = None, tree: str = "sour
     over = stored(placed(subroots, "tree", ["name"]), "leaves")
     above = levels(over.select("tree", "place", "size", "digest"), fanout)
     root = above[-1].select("digest").first()
-    nothing = F.array().cast("array<struct<left:string,right:string>>")
-    top = paths(above, docs.sparkSession.range(1).select(F.lit("").alias("tree"), nothing.alias("above")), fanout)
+    top = paths(above, None, fanout)
     over = over.select(F.col("name").alias("tree"), F.col("digest").alias("subroot"), "place")
     roots = stored(over.join(top.select("place", F.col("path").alias("above")), "place").drop("place"), "roots")
     found = paths(up, roots.select("tree", "above"), fanout).select("tree", "place", "path")

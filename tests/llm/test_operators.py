@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,6 +178,30 @@ def test_packing_odd_rows(odd, empty):
     assert packing.pack_documents(twice, TOKENIZER).count() == 2
 
 
+def test_packing_ids_equal_the_tokenizers_on_random_texts(spark):
+    from tokenizers import Tokenizer
+
+    rng, t = np.random.default_rng(5), Tokenizer.from_file(TOKENIZER)
+    pool = [*"aBIi.,!?;: \n_-", "İ", "é", "e\u0301", "ß", "ſ", "Σ", "ς", "<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "12", "'S", "&", "世", "\u00a0", "ǅ", "\u212a", "ﬁ", "\u0307", "\u200b", "\x85", "\x1c"]
+    texts = ["".join(rng.choice(pool, int(rng.integers(1, 14)))) for _ in range(3000)]
+    ids, cuts = packing._document_ids(pa.array(texts), TOKENIZER, 0)
+    assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] == [[*t.encode(x, add_special_tokens=False).ids, 0] for x in texts]
+
+
+def test_packing_carry_bounds_what_a_node_passes_on(spark):
+    pieces = stored(spark.range(4000).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), (F.col("id") % 30 + 45).alias("length")), "pieces")
+    fill = {}
+    for carry in (5, 2048):
+        got = packing.pack(pieces, capacity=100, leaf_items=50, carry=carry).collect()
+        bins = collections.defaultdict(list)
+        for r in got:
+            bins[r.sequence_id].append((r.offset, r.length))
+        assert len(got) == 4000 and all(a + n == b for v in bins.values() for (a, n), (b, _) in zip(sorted(v), sorted(v)[1:], strict=False))
+        assert max(sum(n for _, n in v) for v in bins.values()) <= 100
+        fill[carry] = len(bins)
+    assert fill[2048] <= fill[5] <= 4000
+
+
 def test_sequences_hold_the_ids(odd):
     pieces = stored(packing.tokenize_pieces(odd, TOKENIZER), "ids")
     whole = packing.sequences(packing.pack(pieces)).collect()
@@ -197,6 +222,18 @@ def test_html_article():
     assert kept == ["Head & tail", "First bold text here.", "Second!"]
 
 
+def test_html_without_end_tags():
+    for head in ("<html><head><title>T</title><body>", "<head><title>T</title>", "<title>T</title>", "<head><noscript><body>", "<head><meta charset=x>", "<head><script>x</script>", "<body>", ""):
+        for end in ("", "</body></html>", "<!-- never closed <p>x"):
+            assert [t for _, _, t in html_text.read_page(f"{head}Text <b>here</b><p>More{end}")[0]] == ["Text here", "More"]
+    assert [t for _, _, t in html_text.read_page("<script><!-- x </script>A<!-- y -->B")[0]] == ["AB"]
+
+
+def test_html_names_on_text_elements_of_the_main_part():
+    kept = '<p class="social">A</p><p class="left side">B</p><p class="skip">C</p><p class="item search">D</p><h2 class="related">E</h2>'
+    assert [t for _, kind, t in html_text.read_page(f"<article>{kept}</article>")[0] if kind == 2] == list("ABCDE")
+
+
 def test_html_names():
     page = '<body class="no-sidebar"><div class="wrap with-ads"><main><div class="post-header"><h1>T</h1></div><article class="post tag-ad"><p>A</p></article><article class="comment">c</article><div id="site-footer">f</div></main></div></body>'
     assert [t for _, kind, t in html_text.read_page(page)[0] if kind == 2] == ["T", "A"]
