@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridframe.operators.scan import carry_forward
+
 
 def prior(entity: list[str], day: str):
     """All rows of strictly earlier days."""
@@ -41,11 +43,15 @@ def add_context_count(df: DataFrame, entity: str, day: str, context: str) -> Dat
     return df.withColumn("context_count", F.when(total > 0, own))
 
 
-def add_weighted_rate(df: DataFrame, entity: str, day: str, flag: str, half_life: float = 90.0, origin: int = 19_000) -> DataFrame:
-    """Rate of a flag over earlier days with exponential weights; the target day cancels in the ratio."""
-    w = F.exp(F.lit(math.log(2) / half_life) * (F.col(day) - F.lit(origin)))
+def add_weighted_rate(df: DataFrame, entity: str, day: str, flag: str, half_life: float = 90.0) -> DataFrame:
+    """Rate of a flag over earlier days with exponential weights; the target day cancels in the ratio.
+
+    Weights count from the entity's first day, so no calendar makes them overflow.
+    """
+    w = F.exp(F.lit(math.log(2) / half_life) * (F.col(day) - F.col("_first")))
+    df = df.withColumn("_first", F.min(day).over(Window.partitionBy(entity)))
     p = prior([entity], day)
-    return df.withColumn("weighted_rate", F.sum(w * F.col(flag)).over(p) / F.sum(w).over(p))
+    return df.withColumn("weighted_rate", F.sum(w * F.col(flag)).over(p) / F.sum(w).over(p)).drop("_first")
 
 
 def add_recency(df: DataFrame, entity: str, day: str) -> DataFrame:
@@ -59,33 +65,34 @@ def add_lineage(df: DataFrame, entity: str, day: str) -> DataFrame:
     return df.withColumns({"cold_start": F.count("*").over(p) == 0, "source_day": F.max(day).over(p), "source_rows": F.count("*").over(p)})
 
 
-def interval_join(df: DataFrame, intervals: DataFrame, on: list[str], day: str, start: str, end: str) -> DataFrame:
-    """df with the interval whose start is strictly before the day and whose end is not before it; null where there is none.
+def latest_interval(df: DataFrame, intervals: DataFrame, on: list[str], day: str, start: str, end: str) -> DataFrame:
+    """df with `_g`: start, end and interval_id of the interval that began last strictly before the day; null where none did.
 
-    Both sides are unioned and the latest start before each row is carried forward, so it is one shuffle and no range join;
-    intervals of one key must not overlap.
+    Both sides are unioned and the latest start is carried forward over ranges of rows, so there is no range join and no task
+    holds a key. Rows whose key has a null are in no interval; intervals of one key must not overlap.
     """
-    keys = [F.col(c) for c in on]
-    left = df.withColumns({"_at": F.col(day), "_kind": F.lit(0), "_i": F.lit(None).cast(intervals.select(F.struct(start, end, "interval_id")).schema[0].dataType)})
-    right = intervals.select(*keys, F.col(start).alias("_at"), F.lit(1).alias("_kind"), F.struct(start, end, "interval_id").alias("_i"))
-    both = left.unionByName(right, allowMissingColumns=True)
+    kind = intervals.select(F.struct(start, end, "interval_id")).schema[0].dataType
+    left = df.withColumns({"_at": F.col(day), "_kind": F.lit(0), "_i": F.lit(None).cast(kind)})
+    right = intervals.dropna(subset=on).select(*on, F.col(start).alias("_at"), F.lit(1).alias("_kind"), F.struct(start, end, "interval_id").alias("_i"))
     # Rows of a day sort before intervals that start on it: the start must be strictly earlier.
-    w = Window.partitionBy(*on).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumn("_g", F.last("_i", ignorenulls=True).over(w)).where("_kind = 0")
+    both = carry_forward(left.unionByName(right, allowMissingColumns=True), on, ["_at", "_kind"], "_i", "_g")
+    return both.where("_kind = 0").drop("_at", "_kind", "_i")
+
+
+def interval_join(df: DataFrame, intervals: DataFrame, on: list[str], day: str, start: str, end: str) -> DataFrame:
+    """df with the interval whose start is strictly before the day and whose end is not before it; null where there is none."""
+    both = latest_interval(df, intervals, on, day, start, end)
     valid = F.col(f"_g.{end}").isNull() | (F.col(f"_g.{end}") >= F.col(day))
-    return both.withColumn("interval_id", F.when(valid, F.col("_g.interval_id"))).drop("_at", "_kind", "_i", "_g")
+    return both.withColumn("interval_id", F.when(valid, F.col("_g.interval_id"))).drop("_g")
 
 
 def verified_interval(df: DataFrame, intervals: DataFrame, on: list[str], day: str, start: str, end: str, grade: str, accepted: list[str]) -> DataFrame:
     """interval_join over intervals of accepted evidence only, with `verified` and the reason where there is none."""
-    good = intervals.where(F.col(grade).isin(*accepted))
-    out = interval_join(df, good, on, day, start, end)
-    # Whether any accepted interval began before: then the one that did has ended.
-    first = good.groupBy(*on).agg(F.min(start).alias("_first"))
-    out = out.join(first, on, "left")
-    none = ~F.coalesce(F.col("_first") < F.col(day), F.lit(False))
-    reason = F.when(F.col("interval_id").isNotNull(), "verified").when(none, "no_earlier_interval").otherwise("interval_ended")
-    return out.withColumns({"verified": F.col("interval_id").isNotNull(), "reason": reason}).drop("_first")
+    both = latest_interval(df, intervals.where(F.col(grade).isin(*accepted)), on, day, start, end)
+    valid = F.col("_g").isNotNull() & (F.col(f"_g.{end}").isNull() | (F.col(f"_g.{end}") >= F.col(day)))
+    both = both.withColumns({"interval_id": F.when(valid, F.col("_g.interval_id")), "_none": F.col("_g").isNull()})
+    reason = F.when(F.col("interval_id").isNotNull(), "verified").when(F.col("_none"), "no_earlier_interval").otherwise("interval_ended")
+    return both.withColumns({"verified": F.col("interval_id").isNotNull(), "reason": reason}).drop("_g", "_none")
 
 
 def fold_members(df: DataFrame, roles: DataFrame, date: str) -> DataFrame:

@@ -141,7 +141,7 @@ def build_snapshot(entries: DataFrame, group: str, lane: str, finish: str, meta:
     return {
         "group_features": full.where("eligible").select(group, *meta, F.col("n").alias("n_entries")),
         "entry_features": entries.join(keys, group, "left_semi").select(group, lane, *features),
-        "targets": full.where("eligible").select(group, "target_status", "class_id", F.concat_ws("-", "f1", "f2", "f3").alias("order_label")),
+        "targets": full.where("eligible").select(group, "target_status", "class_id", F.when(F.col("target_status") == "unique_order", F.concat_ws("-", "f1", "f2", "f3")).alias("order_label")),
         "auxiliary": entries.join(keys, group, "left_semi").select(group, lane, F.col(finish).alias("actual_finish")),
         "eligibility": eligibility,
     }

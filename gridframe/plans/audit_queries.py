@@ -342,7 +342,7 @@ def snapshot_tables(spark, d):
     return out
 
 
-_OK = f"{_ELIG}, el2 AS (SELECT * FROM ev), tg AS (SELECT c.group_id, c.target_status, class_id FROM c JOIN ev USING (group_id) WHERE eligible), bt AS (SELECT group_id, CASE WHEN group_id % 5 = 0 THEN 'void' ELSE target_status END AS target_status, CASE WHEN group_id % 7 = 0 THEN NULL ELSE class_id END AS class_id FROM tg WHERE group_id % 11 <> 0 UNION ALL SELECT group_id, target_status, class_id FROM tg WHERE group_id % 13 = 0 AND group_id % 11 <> 0 UNION ALL SELECT -group_id, target_status, class_id FROM tg WHERE group_id % 17 = 0)"
+_OK = f"{_ELIG}, el2 AS (SELECT * FROM ev), tg AS (SELECT c.group_id, c.target_status, class_id FROM c JOIN ev USING (group_id) WHERE eligible), bt AS (SELECT group_id, CASE WHEN group_id % 5 = 0 THEN 'void' ELSE target_status END AS target_status, CASE WHEN group_id % 7 = 0 THEN NULL ELSE class_id END AS class_id FROM tg WHERE group_id % 11 <> 0 UNION ALL SELECT group_id, target_status, class_id FROM tg WHERE group_id % 13 = 0 AND group_id % 11 <> 0 UNION ALL SELECT -1 - group_id, target_status, class_id FROM tg WHERE group_id % 17 = 0)"
 
 
 @query(
@@ -360,7 +360,7 @@ def snapshot_checks(spark, d):
     tg = t["targets"].select("group_id", "target_status", "class_id")
     kept = tg.where("group_id % 11 <> 0")
     bad = kept.select("group_id", F.when(k % 5 == 0, "void").otherwise(F.col("target_status")).alias("target_status"), F.when(k % 7 != 0, F.col("class_id")).alias("class_id"))
-    bad = bad.unionByName(kept.where("group_id % 13 = 0")).unionByName(tg.where("group_id % 17 = 0").withColumn("group_id", -k))
+    bad = bad.unionByName(kept.where("group_id % 13 = 0")).unionByName(tg.where("group_id % 17 = 0").withColumn("group_id", -1 - k))
     ef = t["entry_features"]
     damaged = t | {
         "targets": bad,

@@ -530,14 +530,17 @@ def to_json_list(spark, d):
 
 @query("stream_append", "SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_groups FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE value < 0.05)")
 def stream_append(spark, d):
-    from gridframe.streaming.append import append_stream, stream_files
+    """One file a trigger; a user with a bad row in any file leaves the table with all rows."""
+    from gridframe.streaming.acceptance import Acceptance
+    from gridframe.streaming.append import stream_files
 
     root = new_path(spark, "stream")
     ev = table(spark, d, "events").select("event_id", "user_id", "value")
-    ev.write.parquet(f"{root}/in")
+    ev.repartition(3, "event_id").write.parquet(f"{root}/in")
     schema = ", ".join(f"{n} {t}" for n, t in ev.dtypes)
-    append_stream(stream_files(spark, f"{root}/in", schema, 10_000), f"{root}/table", f"{root}/ledger", f"{root}/state", "user_id", "value >= 0.05").awaitTermination()
-    return spark.read.parquet(f"{root}/table").agg(F.count("*").alias("n_rows"), F.countDistinct("user_id").alias("n_groups"))
+    to = Acceptance(spark, f"{root}/to", "user_id", "event_id", good="value >= 0.05")
+    to.start(stream_files(spark, f"{root}/in", schema, 1), f"{root}/state").awaitTermination()
+    return to.rows().where("status = 'accepted'").agg(F.count("*").alias("n_rows"), F.countDistinct("user_id").alias("n_groups"))
 
 
 @query("stream_dedup", "SELECT count(DISTINCT (user_id, event_type, CAST(ts AS DATE))) AS n FROM events")

@@ -6,7 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+#: A side is broadcast only when its counted rows take at most this many bytes.
+BROADCAST_BYTES = 64_000_000
 _LOCAL: list[str] = []
 
 
@@ -32,3 +35,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table or file of the shared folder, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it isn't there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def join_counted(left: DataFrame, right: DataFrame, on: list[str], row_bytes: int = 200, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Left join that broadcasts `right` only if its counted rows, at row_bytes each, fit into `most` bytes."""
+    return left.join(F.broadcast(right) if right.count() * row_bytes <= most else right, on, "left")
