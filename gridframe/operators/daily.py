@@ -52,7 +52,8 @@ def day_sums(rows: DataFrame, r: Roles) -> DataFrame:
     some = some.withColumn("_k", F.row_number().over(newest)).where(F.col("_k") <= LAST)
     last = some.groupBy("entity", "day").agg(F.sort_array(F.collect_list(F.struct((-F.col("_k")).alias("k"), "value", "flag"))).alias("last"))
     last = last.withColumn("last", F.transform("last", lambda x: F.struct(x["value"].alias("value"), x["flag"].alias("flag"))))
-    return sums.join(last, ["entity", "day"])
+    last = last.withColumnsRenamed({"entity": "_e", "day": "_d"})
+    return sums.join(last, F.col("entity").eqNullSafe(F.col("_e")) & (F.col("day") == F.col("_d"))).drop("_e", "_d")
 
 
 def context_sums(rows: DataFrame, r: Roles) -> DataFrame:
@@ -83,7 +84,8 @@ def _m2() -> Column:
 def next_state(days: DataFrame, half_life: float) -> DataFrame:
     """The rows of each entity merged into one, as of its last day. days: day_sums of some days and the state before them."""
     whole = days.groupBy("entity").agg(F.min("day").alias("_zero"), F.max("day").alias("_last"), F.min_by("mean", F.when(F.col("nv") > 0, F.col("day"))).alias("_mid"))
-    rows = days.join(whole.withColumn("_mid", F.coalesce("_mid", F.lit(0.0))), "entity")
+    whole = whole.select(F.col("entity").alias("_e"), "_zero", "_last", F.coalesce("_mid", F.lit(0.0)).alias("_mid"))
+    rows = days.join(whole, F.col("entity").eqNullSafe(F.col("_e"))).drop("_e")
     sums = _sums(rows, lambda c: c, half_life)
     merged = rows.groupBy("entity").agg(F.max("_last").alias("day"), F.max("_zero").alias("_zero"), F.max("_mid").alias("_mid"), *[c.alias(n) for n, c in sums.items()], F.sort_array(F.collect_list(F.struct("day", "last"))).alias("_lists"))
     fade = _decay(F.col("day") - F.col("_zero"), half_life)

@@ -188,3 +188,54 @@ def snapshot_validation(spark, d):
     contract["auxiliary"] = [*contract["auxiliary"], "weather"]
     required = {"group_features": ["venue"], "entry_features": ["entity", "price"]}
     return validation.validate_snapshot(damaged, _G, "lane", required, contract, ["entity"], profile)
+
+
+# ---- restorable appends
+
+_VT = """b AS (SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 3 = 0 THEN 'a' WHEN o_custkey % 3 = 1 THEN 'b' ELSE 'c' END AS batch, CAST(o_orderdate AS DATE) AS day FROM orders),
+f AS (SELECT batch, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT o_custkey) AS BIGINT) AS g, CAST(min(day) AS VARCHAR) AS d0, CAST(max(day) AS VARCHAR) AS d1 FROM b GROUP BY batch)"""
+
+
+def _step_row(n, batch, mode, before, added, after, validation, report):
+    """A ledger row in SQL: numbers before, added and after are sums over the batches named."""
+    total = lambda bs, c: f"(SELECT coalesce(sum({c}), 0) FROM f WHERE batch IN ({', '.join(map(repr, bs)) or 'NULL'}))"
+    parts = ", ".join(f"CAST({total(bs, c)} AS BIGINT) AS {name}_{kind}" for name, bs in (("before", before), ("added", added), ("after", after)) for kind, c in (("rows", "n"), ("groups", "g")))
+    return f"SELECT CAST({n} AS INTEGER) AS n, '{batch}' AS batch_id, '{mode}' AS mode, {parts}, f.d0 AS date_min, f.d1 AS date_max, f.g AS groups_actual, '{validation}' AS validation, '{report}' AS report FROM f WHERE batch = '{batch[0]}'"
+
+
+_VT_SQL = " UNION ALL ".join(
+    _step_row(*x)
+    for x in [
+        (1, "a", "applied", "", "a", "a", "passed", ""),
+        (2, "b", "dry_run", "a", "b", "a", "passed", ""),
+        (3, "b", "partial", "a", "b", "a", "passed", "failed: append"),
+        (4, "b", "partial", "a", "b", "a", "passed", "failed: audit"),
+        (5, "b", "applied", "a", "b", "ab", "passed", ""),
+        (6, "c", "applied", "ab", "c", "abc", "passed", ""),
+    ]
+)
+
+
+@query("append_restore", f"WITH {_VT} {_VT_SQL} UNION ALL SELECT 0, 'table', 'after failure', NULL, NULL, NULL, NULL, f.n, f.g, f.d0, f.d1, NULL, NULL, NULL FROM f WHERE batch = 'a' UNION ALL SELECT 7, 'table', 'restored', NULL, NULL, NULL, NULL, sum(f.n), sum(f.g), min(f.d0), max(f.d1), NULL, NULL, NULL FROM f WHERE batch IN ('a', 'b')")
+def append_restore(spark, d):
+    """Three batches; the second fails behind two steps and is resumed, the third is taken back by a restore."""
+    from gridframe.operators.versions import StepFailed, VersionedTable
+
+    o = table(spark, d, "orders")
+    rows = o.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"), F.lit(None).cast("int").alias("declared"), F.lit("all").alias("scope"))
+    t = VersionedTable(spark, new_path(spark, "versions"), "o_custkey", "o_orderkey", "o_orderkey", "declared", "scope", "day")
+    parts = {b: rows.where(f"o_custkey % 3 = {k}") for k, b in enumerate("abc")}
+    seen = lambda n, mode: t.rows().agg(F.lit(n).alias("n"), F.lit("table").alias("batch_id"), F.lit(mode).alias("mode"), F.count("*").alias("after_rows"), F.countDistinct("o_custkey").alias("after_groups"), F.min("day").cast("string").alias("date_min"), F.max("day").cast("string").alias("date_max"))
+    t.apply(parts["a"], "a")
+    t.dry_run(parts["b"], "b")
+    for run, stop in ((t.apply, "append"), (t.resume, "audit")):
+        try:
+            run(parts["b"], "b", fail_after=stop)
+        except StepFailed:
+            broken = seen(0, "after failure")
+    t.resume(parts["b"], "b")
+    second = t.version()
+    t.apply(parts["c"], "c")
+    t.restore(second)
+    names = "n batch_id mode before_rows before_groups added_rows added_groups after_rows after_groups date_min date_max groups_actual validation report".split()
+    return t.ledger().select(*names).unionByName(broken, allowMissingColumns=True).unionByName(seen(7, "restored"), allowMissingColumns=True)

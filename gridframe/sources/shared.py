@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
@@ -58,3 +59,26 @@ def listed(spark: SparkSession, path: str) -> list[str]:
 def join_counted(left: DataFrame, right: DataFrame, on: list[str], row_bytes: int = 200, most: int = BROADCAST_BYTES) -> DataFrame:
     """Left join that broadcasts `right` only if its counted rows, at row_bytes each, fit into `most` bytes."""
     return left.join(F.broadcast(right) if right.count() * row_bytes <= most else right, on, "left")
+
+
+def put_json(spark: SparkSession, path: str, value: object) -> None:
+    """A small JSON file; it appears under its name when it is whole, and replaces an older one of that name."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at, begun = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(begun, True)
+    out.write(bytearray(json.dumps(value).encode()))
+    out.close()
+    fs.delete(at, False)
+    if not fs.rename(begun, at):
+        raise OSError(f"{path} could not be written")
+
+
+def get_json(spark: SparkSession, path: str) -> object:
+    """The value of a file of put_json."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
