@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import unicodedata
 
 import pandas as pd
@@ -79,6 +81,12 @@ def first_heading(html: str | Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(inner, r"<[^>]+>", " "), r"\s+", " "))
 
 
+def data_attribute(html: str | Column, name: str) -> Column:
+    """Value of the first data-<name> attribute in quotes, white space as one space; '' where there is none."""
+    found = F.regexp_extract(html, rf"(?i)\bdata-{re.escape(name)}=[\"']([^\"']*)[\"']", 1)
+    return F.trim(F.regexp_replace(found, r"\s+", " "))
+
+
 def parse_bool(c: str | Column) -> Column:
     """true for 1, true, yes and false for 0, false, no in any case; null for all else."""
     t = F.lower(clean(c))

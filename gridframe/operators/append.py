@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridframe.sources.shared import write_counted
+
 
 def new_only(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
     """Rows of groups that are not there yet."""
@@ -64,8 +66,7 @@ def append_batch(new: DataFrame, path: str, batch_id: str, key: str) -> int:
     if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
         old = spark.read.parquet(path).where(F.col("batch_id") != batch_id).select(key).distinct()
         rows = rows.join(old, key, "left_anti")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
-    return spark.read.parquet(path).where(F.col("batch_id") == batch_id).count()
+    return write_counted(rows, path, partition_by=["batch_id"], partitionOverwriteMode="dynamic")
 
 
 def dry_run(new: DataFrame, old: DataFrame, group: str, expected: int | None = None) -> DataFrame:
@@ -110,9 +111,7 @@ class AppendRun:
         return self.spark.read.parquet(self.table).where(F.col("batch_id") == self.batch_id)
 
     def _write(self, df: DataFrame, name: str) -> int:
-        path = f"{self.root}/{name}/batch_id={self.batch_id}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path).count()
+        return write_counted(df, f"{self.root}/{name}/batch_id={self.batch_id}")
 
     def run(self, new: DataFrame, stop_after: str | None = None) -> list[str]:
         """Do the steps that are left (up to `stop_after`) and return their names."""

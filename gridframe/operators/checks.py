@@ -100,6 +100,10 @@ def required_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.unpivot([], [F.col(c) for c in columns], "column", "missing")
 
 
+#: Faults of a probability row.
+FAULTS = ["length", "blank", "not finite", "outside [0,1]", "sum"]
+
+
 def prob_issues(pred: DataFrame, key: str, p: str, n: int, tolerance: float = 1e-10) -> DataFrame:
     """key and the first fault of a probability row: length, blank, finite, range or sum."""
     total = F.aggregate(p, F.lit(0.0), lambda a, x: a + x)

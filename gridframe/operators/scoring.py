@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridframe.operators.checks import FAULTS, prob_issues
 from gridframe.operators.quantiles import exact_quantiles, ordered_places
 
 
@@ -169,6 +170,37 @@ def temperature(pred: DataFrame, p: str, actual: str, grid: Sequence[float]) ->
     return g.withColumn("l", loss(own)).groupBy("t").agg(F.avg("l").alias("loss")).orderBy("loss", "t")
 
 
+def calibrate(fit: DataFrame, pred: DataFrame, p: str, actual: str, grid: Sequence[float]) -> tuple[float, DataFrame]:
+    """The temperature that fits `fit` best, and `pred` with raw_loss, calibrated_loss and the calibrated probabilities.
+
+    Only rows of `fit` choose; in a tie the lowest temperature does.
+    """
+    best = float(temperature(fit, p, actual, grid).first()["t"])
+    out = pred.withColumn("calibrated", tempered(p, F.lit(best)))
+    at = F.col(actual).cast("int")
+    return best, out.withColumns({"raw_loss": loss(F.get(p, at)), "calibrated_loss": loss(F.get("calibrated", at))})
+
+
+def qualify(pred: DataFrame, expected: DataFrame, key: str, p: str, n: int, population: str) -> DataFrame:
+    """One row a population of `expected`: how many keys are expected, covered, missing, repeated and valid, the faults and the verdict.
+
+    `errors` lists what disqualifies it as name:count; predictions for keys that nobody expects are in the row of population null.
+    """
+    faults = prob_issues(pred, key, p, n).withColumnRenamed("key", "_k")
+    given = pred.select(F.col(key).alias("_k")).groupBy("_k").agg(F.count("*").alias("rows"))
+    worst = faults.groupBy("_k").agg(F.min("fault").alias("fault"))
+    j = expected.select(F.col(key).alias("_e"), population).join(given.join(worst, "_k", "left"), F.col("_e") == F.col("_k"), "full_outer")
+    known, covered = F.col("_e").isNotNull(), F.col("_e").isNotNull() & F.col("_k").isNotNull()
+    g = j.groupBy(population).agg(
+        F.count_if(known).alias("expected"), F.count_if(covered).alias("covered"), F.count_if(known & F.col("_k").isNull()).alias("missing"), F.count_if(~known).alias("extra"),
+        F.count_if(covered & (F.col("rows") > 1)).alias("repeated"), F.count_if(covered & (F.col("rows") == 1) & F.col("fault").isNull()).alias("valid"),
+        *[F.count_if(F.col("fault") == f).alias(f"_{k}") for k, f in enumerate(FAULTS)],
+    )
+    named = [(name, F.col(name)) for name in ("missing", "extra", "repeated")] + [(f, F.col(f"_{k}")) for k, f in enumerate(FAULTS)]
+    errors = F.array_join(F.array_compact(F.array(*[F.when(c > 0, F.concat(F.lit(f"{name}:"), c.cast("string"))) for name, c in named])), "|")
+    return g.select(population, "expected", "covered", "missing", "extra", "repeated", "valid", errors.alias("errors"), (errors != "").alias("disqualified"))
+
+
 def assemble_log_probs(scores: str | Column) -> Column:
     """Log-probabilities from scores by log-sum-exp."""
     m = F.array_max(scores)

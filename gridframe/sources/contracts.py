@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from gridframe.sources.shared import get_json, put_json, write_counted
+
 ENCODINGS = ["utf-8-sig", "utf-8", "cp932", "shift_jis", "euc_jp"]
 
 
@@ -41,11 +44,31 @@ def to_parquet(df: DataFrame, path: str) -> DataFrame:
 
 def replace_load(df: DataFrame, path: str, issues: DataFrame) -> tuple[int, bool]:
     """Replace the table at `path` by df as text, unless there are issues: rows of the table now, and whether it was loaded."""
-    spark = df.sparkSession
-    clean = not issues.limit(1).count()
-    if clean:
-        as_text(df).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).count(), clean
+    if issues.limit(1).count():
+        return df.sparkSession.read.parquet(path).count(), False
+    return write_counted(as_text(df), path), True
+
+
+def write_report(df: DataFrame, path: str, order: Sequence[str], totals: dict[str, Column] | None = None) -> dict:
+    """A report as CSV files in order, and a manifest with its columns, rows and totals, counted as the rows were written.
+
+    Files go to a folder of this run's own and the manifest, written last, names it: until then readers see the report before,
+    a run that fails shows nothing, and no task writes where another attempt's files lie.
+    """
+    run, seen = uuid.uuid4().hex, Observation()
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    counted = rows.observe(seen, F.count("*").alias("rows"), *[c.alias(n) for n, c in (totals or {}).items()])
+    counted.write.option("header", True).csv(f"{path}/run={run}")
+    manifest = {"run": run, "columns": df.columns, "order": list(order), **seen.get}
+    put_json(df.sparkSession, f"{path}/manifest.json", manifest)
+    return manifest
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the last whole report, as text, with `_at` (their order)."""
+    manifest = get_json(spark, f"{path}/manifest.json")
+    schema = StructType([StructField(c, StringType()) for c in manifest["columns"]])
+    return spark.read.schema(schema).option("header", True).csv(f"{path}/run={manifest['run']}").withColumn("_at", F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")))
 
 
 def semi_select(df: DataFrame, keys: DataFrame, on: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -13,44 +13,56 @@ from gridframe.functions import text as tx
 
 
 class _Tables(HTMLParser):
-    """Rows of cells of the outermost tables, and the text outside scripts and styles."""
+    """Rows of cells of the outermost tables, and the text outside scripts and styles; end tags of cells and rows may be left out."""
+
+    _CELLS, _UNSEEN = {"td", "th"}, {"script", "style"}
 
     def __init__(self) -> None:
         super().__init__()
         self.tables: list[list[list[str]]] = []
         self.text: list[str] = []
-        self.depth = self.hidden = 0
+        self.open_tables: list[int] = []  # what is open, from outside in; only the first is read
+        self.unseen: str | None = None
         self.cell: list[str] | None = None
 
+    def end_cell(self) -> None:
+        if self.cell is not None:
+            self.tables[-1][-1].append(" ".join("".join(self.cell).split()))
+            self.cell = None
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag == "table":
-            self.depth += 1
-            if self.depth == 1:
+        outermost = len(self.open_tables) == 1
+        if tag in self._UNSEEN:
+            self.unseen = tag
+        elif tag == "table":
+            if not self.open_tables:
                 self.tables.append([])
-        elif tag == "tr" and self.depth == 1:
-            self.tables[-1].append([])
-        elif tag in ("td", "th") and self.depth == 1:
-            if not self.tables[-1]:
+            self.open_tables.append(len(self.tables))
+        elif outermost and (tag == "tr" or tag in self._CELLS):
+            self.end_cell()
+            if tag == "tr" or not self.tables[-1]:
                 self.tables[-1].append([])
-            self.cell = []
-        elif tag in ("script", "style"):
-            self.hidden += 1
+            if tag != "tr":
+                self.cell = []
 
     def handle_endtag(self, tag: str) -> None:
-        if tag == "table":
-            self.depth = max(0, self.depth - 1)
-        elif tag in ("td", "th") and self.depth == 1 and self.cell is not None:
-            self.tables[-1][-1].append(" ".join("".join(self.cell).split()))
-            self.cell = None
-        elif tag in ("script", "style"):
-            self.hidden = max(0, self.hidden - 1)
+        if tag == self.unseen:
+            self.unseen = None
+        elif len(self.open_tables) == 1 and (tag in ("tr", "table") or tag in self._CELLS):
+            self.end_cell()
+        if tag == "table" and self.open_tables:
+            self.open_tables.pop()
 
     def handle_data(self, data: str) -> None:
-        if not self.hidden:
+        if self.unseen is None:
             self.text.append(data)
             if self.cell is not None:
                 self.cell.append(data)
 
+    def close(self) -> None:
+        super().close()
+        self.end_cell()
+
 
 def parse_html(pages: DataFrame, key: str = "key", html: str = "html") -> DataFrame:
     """key, html, visible text and tables (array of rows of cells) of each page."""
@@ -87,7 +99,8 @@ HEADERS = {
     "popularity": ["人気"],
     "odds": ["単勝"],
 }
-#: Surfaces by their word on the page.
+#: Words in the labels of the course's condition and of the class; surfaces by their word on the page.
+CONDITION, CLASS_NAME = ["馬場"], ["条件", "クラス", "格"]
 SURFACES = {"ダート": "dirt", "芝": "turf"}
 
 
@@ -98,7 +111,7 @@ def result_entries(parsed: DataFrame, key: str = "key") -> DataFrame:
     place = lambda words: F.expr("get(filter(sequence(0, size(labels) - 1), i -> " + " or ".join(f"contains(labels[i], '{w}')" for w in words) + "), 0)")
     results = row.withColumn("labels", labels).where("size(labels) > 0").where(place(HEADERS["number"]).isNotNull() & place(HEADERS["name"]).isNotNull())
     first = results.withColumn("k", F.row_number().over(Window.partitionBy(key).orderBy("t"))).where("k = 1")
-    entries = first.select(key, "labels", F.posexplode(F.slice("rows", 2, 10_000)).alias("at", "cells"))
+    entries = first.select(key, "labels", F.posexplode(F.slice("rows", F.lit(2), F.size("rows"))).alias("at", "cells"))
     fields = [F.get("cells", place(words).cast("int")).alias(n) for n, words in HEADERS.items()]
     e = entries.select(key, "at", *fields).where("coalesce(number, '') <> '' or coalesce(name, '') <> ''")
     pair = parsed.select(key, F.explode(F.flatten("tables")).alias("cells")).where("size(cells) = 2").select(key, F.get("cells", 0).alias("label"), F.get("cells", 1).alias("v"))
@@ -106,7 +119,8 @@ def result_entries(parsed: DataFrame, key: str = "key") -> DataFrame:
     surface = F.lit("")
     for word, name in SURFACES.items():
         surface = F.when(F.col("course").contains(word), name).otherwise(surface)
-    meta = pair.groupBy(key).agg(course.alias("course"), F.max(F.when(F.col("label") == "天候", F.col("v"))).alias("weather"))
+    known = lambda words: F.max(F.when(sum((F.col("label").contains(w).cast("int") for w in words[1:]), F.col("label").contains(words[0]).cast("int")) > 0, F.col("v")))
+    meta = pair.groupBy(key).agg(course.alias("course"), F.max(F.when(F.col("label") == "天候", F.col("v"))).alias("weather"), known(CONDITION).alias("condition"), known(CLASS_NAME).alias("class_name"))
     sex, weight = tx.split_letters_digits("sex_age"), tx.split_value_change("weight")
     out = e.join(meta, key, "left").select(
         key,
@@ -114,6 +128,8 @@ def result_entries(parsed: DataFrame, key: str = "key") -> DataFrame:
         tx.number_before_unit("course").alias("distance"),
         surface.alias("surface"),
         F.coalesce("weather", F.lit("")).alias("weather"),
+        F.coalesce("condition", F.lit("")).alias("condition"),
+        F.coalesce("class_name", F.lit("")).alias("class_name"),
         tx.clean_int("number").alias("number"),
         tx.clean("name").alias("name"),
         tx.finish_mark("finish").alias("finish"),
