@@ -11,6 +11,10 @@ from gridframe.llm.common import drop_stored, join_small, release, stored
 
 #: Stars that are drawn in turn around the keys before what is left is compared pair by pair.
 STARS = 2
+#: Rounds in which each id tries rows drawn from its keys, after these, and how many.
+DRAWS, TRIES = 2, 8
+#: Rows on each side of a cell, where a key is compared pair by pair.
+SIDE = 256
 
 
 def _least_labels(edges: DataFrame) -> DataFrame:
@@ -61,10 +65,14 @@ def labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     return join_small(postings, labels, ["id"], "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
 
 
-def crossing(postings: DataFrame, labels: DataFrame | None, seed: int) -> DataFrame:
-    """key, id, comp and a row of the key drawn by a hash (lead, lead_comp): postings of keys that lie in several components."""
+def crossing(postings: DataFrame, labels: DataFrame | None, seed: int, each: bool = False) -> DataFrame:
+    """key, id, comp and a row of the key drawn by a hash (lead, lead_comp): postings of keys that lie in several components.
+
+    The hash is one of the ids, so that keys with the same rows have one lead, or with `each` one of ids and keys.
+    """
     rows = labelled(postings, labels)
-    draw = F.min(F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "comp", "id")).alias("lead")
+    h = F.xxhash64("id", "key", F.lit(seed)) if each else F.xxhash64("id", F.lit(seed))
+    draw = F.min(F.struct(h.alias("h"), "comp", "id")).alias("lead")
     first = rows.groupBy("key").agg(draw, F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
     return rows.join(first.select("key", F.col("lead.id").alias("lead"), F.col("lead.comp").alias("lead_comp")), "key")
 
@@ -74,12 +82,30 @@ def star_pairs(crossed: DataFrame) -> DataFrame:
     return crossed.where("comp <> lead_comp").select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b")).distinct()
 
 
+def drawn_pairs(crossed: DataFrame, seed: int) -> DataFrame:
+    """(a, b): each row with up to TRIES of the leads of its keys, drawn by a hash, that are in other components."""
+    leads = crossed.where("comp <> lead_comp").groupBy("id").agg(F.collect_set("lead").alias("leads"))
+    drawn = F.slice(F.array_sort(F.transform("leads", lambda x: F.struct(F.xxhash64(x, "id", F.lit(seed)).alias("h"), x.alias("lead")))), 1, TRIES)
+    pairs = leads.select("id", F.explode(drawn["lead"]).alias("lead"))
+    return pairs.select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b")).distinct()
+
+
 def cross_pairs(postings: DataFrame, fit: Callable[[str, str], Column]) -> DataFrame:
-    """(a, b) of different components that share a key, if `fit` holds for the other columns of both (key, id, comp and others)."""
+    """(a, b) of different components that share a key, if `fit` holds for the other columns of both (key, id, comp and others).
+
+    A key of many rows is a square of cells, each with about SIDE rows of either side, so no task compares a whole key.
+    """
     names = [c for c in postings.columns if c != "key"]
-    left = postings.select("key", *[F.col(c).alias(f"{c}_a") for c in names])
-    right = postings.select("key", *[F.col(c).alias(f"{c}_b") for c in names])
-    both = left.join(right, (left["key"] == right["key"]) & (F.col("comp_a") < F.col("comp_b")) & fit("_a", "_b"))
+    tasks = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    large = stored(postings.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SIDE).select("key", F.ceil(F.col("n") / SIDE).cast("int").alias("cut")), "large")
+    rows = join_small(postings, large, ["key"], "left", 16 * large.count()).withColumn("cut", F.coalesce("cut", F.lit(1)))
+    own, others = F.pmod(F.xxhash64("id"), "cut").cast("int"), F.explode(F.sequence(F.lit(0), F.col("cut") - 1))
+
+    def side(x: str, mine: str, other: str) -> DataFrame:
+        cells = rows.select("key", own.alias(mine), others.alias(other), *[F.col(c).alias(f"{c}{x}") for c in names])
+        return cells.repartition(tasks, "key", "row", "column")  # by number, as few bytes here are much work
+
+    both = side("_a", "row", "column").join(side("_b", "column", "row"), ["key", "row", "column"]).where((F.col("comp_a") < F.col("comp_b")) & fit("_a", "_b"))
     return both.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
@@ -103,20 +129,29 @@ def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], rest: Ca
 
     The keys of `postings` (key, id) are the complete candidates. A star around one row of each key finds most links in a
     number of pairs that is linear in the rows, so large groups of near copies become one component at once; each further
-    star tries another row of the keys that still cross components. `rest` gives the pairs to compare of what is left then
-    (key, id, comp; and the components so far). No link is lost. `verify` returns a stored table of the similar pairs.
+    star tries another row of the keys that still cross components. In a family whose texts are each similar to a part of
+    the others only, few are similar to one row: then each id tries TRIES rows, drawn from its keys anew. `rest` gives the
+    pairs to compare of what is left then (key, id, comp; and the components so far), so no link is lost, and few pairs are
+    compared that a component joins already. `verify` returns a stored table of the similar pairs.
     """
     labels, left = None, postings
-    for seed in range(STARS + 1):
-        before, left = left, stored(crossing(left.select("key", "id"), labels, seed), "crossing")
-        if seed:
+    for step in range(STARS + DRAWS + 1):
+        before = left
+        left = stored(crossing(left.select("key", "id"), labels, step, each=step >= STARS), "crossing")
+        if step:
             drop_stored(before)
         if not left.limit(1).count():
+            drop_stored(left)
             return labels
-        pairs = stored(star_pairs(left) if seed < STARS else rest(left.select("key", "id", "comp"), labels), "pairs")
+        if step < STARS:
+            pairs = star_pairs(left)
+        else:
+            pairs = drawn_pairs(left, step) if step < STARS + DRAWS else rest(left.select("key", "id", "comp"), labels)
+        pairs = stored(pairs, "pairs")
         near = verify(pairs)
         labels = components(near, labels)
         for t in (pairs, near):
             drop_stored(t)
         release(postings.sparkSession)
+    drop_stored(left)
     return labels

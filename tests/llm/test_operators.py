@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridframe.llm import chat, exact, html_text, langid, lines, mixing, mtree, ngram_join, packing, queries, suffix_dedup
+from gridframe.llm import chat, exact, html_text, langid, lines, linking, mixing, mtree, ngram_join, packing, queries, suffix_dedup
 from gridframe.llm.common import stored
 from gridframe.llm.linking import components
 from tests.oracle import assert_same
@@ -57,6 +57,34 @@ def test_sql(spark, name):
 # ---- 1
 
 
+def test_cells_of_a_large_key_hold_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(linking, "SIDE", 3)
+    rows = spark.createDataFrame([(key, i, i % 5) for key in (7, 8) for i in range(40 if key == 7 else 2)], "key long, id long, comp long")
+    got = [(r.a, r.b) for r in linking.cross_pairs(rows, lambda a, b: (F.col(f"id{a}") + F.col(f"id{b}")) % 3 == 0).collect()]
+    want = {(a, b) for a in range(40) for b in range(a + 1, 40) if a % 5 != b % 5 and (a + b) % 3 == 0}
+    assert sorted(got) == sorted(want)
+
+
+def test_a_family_of_partly_similar_texts_leaves_few_pairs(spark, monkeypatch):
+    """Most pairs of texts near one base are just above or below the threshold; components join them before pairs are compared."""
+    monkeypatch.setattr(linking, "SIDE", 16)
+    compared = []
+    verify = linking.similar_pairs
+    monkeypatch.setattr(ngram_join, "similar_pairs", lambda pairs, *rest: compared.append(pairs.count()) or verify(pairs, *rest))
+    for rows in (60, 120):
+        rng, base = np.random.default_rng(5), [f"w{i}" for i in range(200)]
+        texts = {}
+        for i in range(rows):
+            words = list(base)
+            for j in rng.choice(200, 3, replace=False):
+                words[j] = f"n{i}_{j}"
+            texts[i + 1] = " ".join(words)
+        before = len(compared)
+        out = ngram_join.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()} == brute_components(texts)
+        assert sum(compared[before:]) <= 40 * rows
+
+
 def union_find(n):
     parent = list(range(n))
 
