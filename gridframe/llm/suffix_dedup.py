@@ -355,7 +355,7 @@ def _spans(intervals: DataFrame) -> DataFrame:
     return intervals.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("found")).mapInArrow(run, "doc_id long, starts array<long>, stops array<long>")
 
 
-def repeated_spans(docs: DataFrame, batches: int = 3, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def repeated_spans(docs: DataFrame, batches: int = 8, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, starts, stops of the byte spans to remove; documents without any are absent."""
     docs = docs.select("doc_id", "text")
     index = SuffixIndex(length, gram, often(docs, length, gram))
