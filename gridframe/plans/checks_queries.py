@@ -13,6 +13,7 @@ from gridframe.operators import outcomes as oc
 from gridframe.plans.registry import query, r6
 from gridframe.plans.views import E, H, P, T, entry, hist, prob
 from gridframe.session import table
+from gridframe.sources.shared import stored
 from gridframe.sources import contracts as src
 
 # ---- sources
@@ -325,7 +326,7 @@ def version_diff(spark, d):
 
 @query("target_reconcile", f"WITH {E}, {T}, a AS (SELECT group_id, class_id FROM c WHERE group_id % 5 <> 0), b AS (SELECT group_id, CASE WHEN group_id % 3 = 0 THEN class_id + 1 ELSE class_id END AS class_id FROM c WHERE group_id % 7 <> 0) SELECT coalesce(a.group_id, b.group_id) AS group_id, a.class_id AS new_value, b.class_id AS old_value, CASE WHEN a.group_id IS NULL OR b.group_id IS NULL THEN 'one_sided' WHEN a.class_id IS DISTINCT FROM b.class_id THEN 'mismatch' ELSE 'match' END AS status, CASE WHEN a.group_id IS NULL THEN 'missing_new' WHEN b.group_id IS NULL THEN 'missing_old' WHEN a.class_id IS DISTINCT FROM b.class_id THEN 'value' ELSE '' END AS reasons FROM a FULL JOIN b ON a.group_id = b.group_id")
 def target_reconcile(spark, d):
-    c = oc.target_status(entry(spark, d), "group_id", "lane", "finish", least=3).select("group_id", "class_id")
+    c = stored(oc.target_status(entry(spark, d), "group_id", "lane", "finish", least=3).select("group_id", "class_id"), "targets")
     old = c.where("group_id % 7 <> 0").withColumn("class_id", F.when(F.col("group_id") % 3 == 0, F.col("class_id") + 1).otherwise(F.col("class_id")))
     return oc.reconcile_targets(c.where("group_id % 5 <> 0"), old, "group_id", "class_id")
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridframe.operators import outcomes as oc
-from gridframe.plans import SQL
+from gridframe.plans import QUERIES, SQL
 from gridframe.plans.views import entry
 from gridframe.sources import shared
 from tests.oracle import assert_same
@@ -46,3 +46,9 @@ def test_status_counts_distinct_values_as_sql_does(spark):
     got = oc.target_status(t, "g", "lane", "finish").select("g", "n", "n_lanes", "n_finishes")
     want = t.groupBy("g").agg(F.count("*").alias("n"), F.countDistinct("lane").alias("n_lanes"), F.countDistinct("finish").alias("n_finishes"))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_reconciled_targets_are_computed_once(spark, small_tasks):
+    df = QUERIES["target_reconcile"](spark, SF)
+    assert "lineitem" not in "".join(df.inputFiles())
+    assert_same(df, SF, SQL["target_reconcile"])
