@@ -52,3 +52,9 @@ def test_reconciled_targets_are_computed_once(spark, small_tasks):
     df = QUERIES["target_reconcile"](spark, SF)
     assert "lineitem" not in "".join(df.inputFiles())
     assert_same(df, SF, SQL["target_reconcile"])
+
+
+def test_reconciled_sources_are_computed_once(spark, small_tasks):
+    df = QUERIES["source_reconcile"](spark, SF)
+    assert "lineitem" not in "".join(df.inputFiles())
+    assert_same(df, SF, SQL["source_reconcile"])
