@@ -34,15 +34,20 @@ def _breaks(kind: str, v: Column, arg) -> Column:
 _BLANK_BREAKS = {"pattern", "enum", "date", "required"}
 
 
-def check_rows(df: DataFrame, rules: Sequence[tuple[str, str, object]], row_no: str, group: str) -> DataFrame:
-    """Issues of rules (column, kind, argument); one pass over df, whatever the number of rules."""
+def row_issues(rules: Sequence[tuple[str, str, object]]) -> Column:
+    """The issues of a row under rules (column, kind, argument), as an array."""
     found = []
     for column, kind, arg in rules:
         v = clean(F.col(column).cast("string"))
         bad = (v == "") if kind == "required" else F.when(v == "", F.lit(kind in _BLANK_BREAKS)).otherwise(_breaks(kind, v, arg))
         issue = F.struct(F.lit(column).alias("column"), F.lit(kind).alias("rule"), F.concat(F.lit(f"{column} fails {kind}: "), v).alias("message"))
         found.append(F.when(bad, issue))
-    rows = df.select(F.col(row_no).alias("row_no"), F.col(group).cast("string").alias("group_id"), F.explode(F.array_compact(F.array(*found))).alias("i"))
+    return F.array_compact(F.array(*found))
+
+
+def check_rows(df: DataFrame, rules: Sequence[tuple[str, str, object]], row_no: str, group: str) -> DataFrame:
+    """Issues of rules (column, kind, argument); one pass over df, whatever the number of rules."""
+    rows = df.select(F.col(row_no).alias("row_no"), F.col(group).cast("string").alias("group_id"), F.explode(row_issues(rules)).alias("i"))
     return rows.select("row_no", "group_id", "i.*")
 
 

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridframe.operators.checks import check_rows
-from gridframe.sources.shared import exists, join_counted, listed
+from gridframe.operators.checks import row_issues
+from gridframe.sources.shared import dealt, exists, join_counted, listed
 
 #: So many batches' state is merged into one table.
 COMPACT = 16
@@ -51,15 +51,13 @@ class Acceptance:
 
     def _found(self, rows: DataFrame) -> DataFrame:
         """The rows' state: group, member, rows, broken rules, and the least and greatest declared size and metadata."""
-        numbered = rows.withColumn("_row", F.monotonically_increasing_id())
-        broken = F.when(~F.coalesce(F.expr(self.good), F.lit(False)), 1).otherwise(0)
+        bad = ~F.coalesce(F.expr(self.good), F.lit(False))
         if self.rules:
-            bad = check_rows(numbered.withColumn("_text", F.lit("")), self.rules, "_row", "_text").select(F.col("row_no").alias("_bad")).distinct()
-            numbered = numbered.join(bad, F.col("_row") == F.col("_bad"), "left")
-            broken = F.when(F.col("_bad").isNotNull(), 1).otherwise(broken)
+            bad = bad | (F.size(row_issues(self.rules)) > 0)
+        broken = F.when(bad, 1).otherwise(0)
         size = F.col(self.declared).cast("long") if self.declared else F.lit(None).cast("long")
         meta = F.xxhash64(*self.meta) if self.meta else F.lit(0).cast("long")
-        return numbered.groupBy(F.col(self.group).alias("g"), F.col(self.member).alias("m")).agg(
+        return dealt(rows, self.group).groupBy(F.col(self.group).alias("g"), F.col(self.member).alias("m")).agg(
             F.count("*").alias("n"), F.sum(broken).alias("broken"), F.min(size).alias("least"), F.max(size).alias("most"), F.min(meta).alias("meta_a"), F.max(meta).alias("meta_b")
         )
 
@@ -78,12 +76,13 @@ class Acceptance:
         batch.observe(seen, F.count("*").alias("received")).write.mode("overwrite").parquet(self._path("rows", number))
         own = self._found(self.spark.read.schema(batch.schema).parquet(self._path("rows", number)))
         own.write.mode("overwrite").parquet(self._path("state", number))
-        state = own = self.spark.read.schema(own.schema).parquet(self._path("state", number))
-        old = self._before(number)
+        own = self.spark.read.schema(own.schema).parquet(self._path("state", number))
+        state, rows, old = own, own.count(), self._before(number)
         if old is not None:
+            rows += old.count()
             touched = own.select(F.col("g").alias("_g")).distinct()
             state = own.unionByName(old.join(touched, old["g"].eqNullSafe(touched["_g"]), "left_semi").select(*own.columns))
-        self._verdicts(state).write.mode("overwrite").parquet(self._path("verdicts", number))
+        self._verdicts(dealt(state, "g", rows=rows)).write.mode("overwrite").parquet(self._path("verdicts", number))
         now = self.spark.read.parquet(self._path("verdicts", number))
         held = self._latest([n for n in self._numbers("ledger") if n < number])
         turned = now.where("status = 'quarantined'").join(held.where("status <> 'quarantined'").select(F.col("g").alias("_g")), F.col("g").eqNullSafe(F.col("_g")), "left_semi") if held is not None else now.limit(0)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridframe.operators import outcomes as oc
-from gridframe.plans import QUERIES, SQL
+from gridframe.plans import QUERIES, SQL, run_queries
 from gridframe.plans.views import entry
 from gridframe.sources import shared
 from tests.oracle import assert_same
@@ -58,3 +58,10 @@ def test_reconciled_sources_are_computed_once(spark, small_tasks):
     df = QUERIES["source_reconcile"](spark, SF)
     assert "lineitem" not in "".join(df.inputFiles())
     assert_same(df, SF, SQL["source_reconcile"])
+
+
+def test_stream_parts_are_written_by_many_tasks(spark, small_tasks, monkeypatch, tmp_path):
+    monkeypatch.setattr(run_queries, "new_path", lambda spark, name: str(tmp_path / name))
+    assert_same(QUERIES["stream_acceptance"](spark, SF), SF, SQL["stream_acceptance"])
+    files = list((tmp_path / "stream" / "in").glob("*.parquet"))
+    assert len(files) > 4 and len(files) % 4 == 0
