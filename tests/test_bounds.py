@@ -1,10 +1,12 @@
 """What one task holds does not grow with the table: lines are dealt by their order, and nothing is shuffled or tripled again."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from gridframe.operators import outcomes as oc
-from gridframe.plans import QUERIES, SQL, run_queries
+from gridframe.plans import QUERIES, SQL, more_queries, report_queries, run_queries, scoring_queries
 from gridframe.plans.views import entry
 from gridframe.sources import shared
 from tests.oracle import assert_same
@@ -40,6 +42,25 @@ def test_status_shuffles_lines_once(spark, small_tasks, venue):
     assert t.rdd.getNumPartitions() == spark.read.parquet(f"{SF}/lineitem.parquet").count() // 200
 
 
+@pytest.mark.parametrize("name", ["b3", "dominance", "stage_decomp", "grid_refit", "grid_refit_probs", "universe_roles", "outcome_crosstab", "target_status_settled", "b0", "b1", "class_decode", "class_encode"])
+def test_named_queries_shuffle_lines_once_in_many_tasks(spark, small_tasks, monkeypatch, name):
+    plans = []
+
+    def stored(df, to):
+        plans.append(_plan(df))
+        return shared.stored(df, to)
+
+    for module in (scoring_queries, more_queries, report_queries):
+        monkeypatch.setattr(module, "stored", stored)
+    df = QUERIES[name](spark, SF)
+    lines = [p for p in [*plans, _plan(df)] if "l_orderkey" in p]
+    assert len(lines) == 1  # and computed once
+    n = spark.read.parquet(f"{SF}/lineitem.parquet").count() // 200
+    assert lines[0].count("hashpartitioning(l_orderkey") == 1 and re.search(rf"hashpartitioning\(l_orderkey#\d+L?, {n}\)", lines[0])
+    assert "Expand" not in lines[0] and "hashpartitioning(group_id" not in lines[0]
+    assert_same(df, SF, SQL[name])
+
+
 def test_status_counts_distinct_values_as_sql_does(spark):
     rows = [(1, 1, 1), (1, 1, 1), (1, 2, None), (1, None, 2), (2, 9, 7), (2, -3, 7), (2, 9, None), (3, None, None), (None, 1, 1), (None, 1, 2), (None, 2, 2)]
     t = spark.createDataFrame(rows, "g int, lane int, finish int")
