@@ -209,6 +209,8 @@ def predict_language(docs: DataFrame, samples: dict[str, bytes]) -> DataFrame:
             langs, scores = own.predict(part)
             yield pd.DataFrame({"lang_pred": langs, "score": scores})
 
+    # A filter on the label that follows would be pushed below and predict once more, in workers of its own with models of their own.
+    predict = predict.asNondeterministic()
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     told = docs.select(F.struct(*kept).alias("_row"), predict("text").alias("_told"))
     return told.select(*[F.col(f"_row.`{c}`") for c in kept], "_told.lang_pred", "_told.score")
