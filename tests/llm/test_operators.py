@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridframe.llm import chat, exact, html_text, langid, lines, linking, mixing, mtree, ngram_join, packing, queries, suffix_dedup
+from gridframe.llm import chat, common, exact, html_text, langid, lines, linking, mixing, mtree, ngram_join, packing, queries, suffix_dedup
 from gridframe.llm.common import stored
 from gridframe.llm.linking import components
 from tests.oracle import assert_same
@@ -654,6 +654,41 @@ def test_line_dedup_recall_of_character_shingles(spark, texts):
     assert len(links) > 30 and found >= 0.99 * len(links)
 
 
+def test_driver_holds_no_table_of_many_lines(spark, monkeypatch):
+    """A broadcast is counted by what the driver builds of it, and the keys of bands, as many as lines, are never one."""
+    many = spark.range(1_000_000).select("id", F.col("id").alias("comp"))
+    assert common.size_of(many) > common.BROADCAST_BYTES
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    plans = {}
+    monkeypatch.setattr(lines, "stored", lambda df, name: plans.update({name: plan(df)}) or stored(df, name))
+    try:
+        assert "BroadcastHashJoin" not in plan(linking.labelled(many.select("id", F.lit(1).alias("key")), many))
+        lines.op10_line_dedup(spark, SF)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Join" in plans["bands"] and "Broadcast" not in plans["bands"]
+
+
+def test_sketches_pass_similar_lines_and_few_others(spark):
+    """Sets just at the threshold pass; of sets with a little over half in common most pass only if they are large."""
+    rng, rows = np.random.default_rng(3), []
+    for n in (6, 30, 48, 50, 60, 100, 300, 2000):
+        for ratio in (0.76, 0.88, 1.0):
+            for percent in (75, 50):
+                for _ in range(40):
+                    few = int(np.ceil(n * ratio))
+                    both = min(few, int(np.ceil(percent * (few + n) / (100 + percent))))
+                    x = [int(v) for v in np.unique(rng.integers(-(2**63), 2**63, n + few - both, dtype=np.int64) >> 32)]
+                    rng.shuffle(x)
+                    a, b = sorted(x[:few]), sorted(x[:both] + x[few:])
+                    rows.append((n, percent, a[: lines.SKETCH], b[: lines.SKETCH], len(a), len(b)))
+    told = spark.createDataFrame(rows, "n int, percent int, a array<int>, b array<int>, na int, nb int").withColumn("ok", lines.alike("a", "b", "na", "nb"))
+    got = {(r.n, r.percent): r.ok for r in told.groupBy("n", "percent").agg(F.avg(F.col("ok").cast("int")).alias("ok")).collect()}
+    assert all(ok >= 0.99 for (_, percent), ok in got.items() if percent == 75)
+    assert all(ok <= 0.05 for (n, percent), ok in got.items() if percent == 50 and 30 <= n <= 60)
+
+
 # ---- pipeline
 
 
