@@ -705,6 +705,18 @@ def test_pipeline_odd_rows_and_empty_table(spark, odd, empty):
     assert {r.doc_id for r in docs.collect()} <= {None, 4, 5, 6, 8}
 
 
+def test_pipeline_broadcasts_no_million_ids(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = spark.range(1_000_000).withColumnRenamed("id", "doc_id")
+        docs = spark.createDataFrame([(5, "a", "en", "s", 1), (None, "b", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+        out = corpus_pipeline._by_id(docs, ids, "left_semi")
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        assert [r.doc_id for r in out.collect()] == [5]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_pipeline_language_and_lines_equal_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     told = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, docs, SF).collect()}
